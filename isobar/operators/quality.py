@@ -9,23 +9,25 @@ from pyspark.sql import functions as F
 
 from isobar import schema as S
 from isobar.functions.times import parse_time
-from isobar.operators.clean import all_present, in_ranges
+from isobar.operators.clean import all_present, in_ranges, parse_packed
 
 
-def quality_funnel(parsed: DataFrame, required: Sequence[str], tie: str) -> DataFrame:
+def quality_funnel(raw: DataFrame, tie: str, required: Sequence[str] = ("TMP", "DATE")) -> DataFrame:
     """Rows left after each cleaning step, as (step_idx, step, n_rows, n_dropped).
 
     One aggregate per (STATION, DATE) of fixed-width counters, combined before the
     shuffle, then one global sum; no step is counted by a job of its own. The survivor
     of a key is the valid row with the smallest ``tie``.
     """
+    marked = raw.select(tie, *S.RAW_COLUMNS).withColumn("_required", all_present(required))
     keep = F.col("_required") & F.col("_valid")
-    flags = parsed.select(
+    measured = [c for c in S.FEATURES_ALL if c not in ("HOUR", "MONTH", "DAY_OF_YEAR")]
+    flags = parse_packed(marked).select(
         *S.KEY,
         F.col(tie).alias("_tie"),
-        all_present(required).alias("_required"),
+        "_required",
         in_ranges().alias("_valid"),
-        all_present([c for c in S.FEATURES_ALL if c in parsed.columns] + [S.LABEL]).alias("_complete"),
+        all_present(["STATION", *measured, S.LABEL]).alias("_complete"),
     )
     per_key = flags.groupBy(*S.KEY).agg(
         F.count(F.lit(1)).alias("raw"),
