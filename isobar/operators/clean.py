@@ -106,6 +106,8 @@ def dedupe_keyed(
     holding a third of all rows still sends one row per task.
     """
     order = list(order_by) if order_by else [c for c in df.columns if c not in keys]
+    if not order:
+        return df.dropDuplicates(list(keys))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 

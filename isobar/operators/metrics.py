@@ -68,3 +68,29 @@ def prediction_metrics(
         )
         .filter(F.col("n_rows") >= min_rows)
     )
+
+
+def long_scores(df: DataFrame, predictions: dict[str, Column], keep: Sequence[str] = ()) -> DataFrame:
+    """One row per model and scored row: (model, label, prediction), so that all models are
+    compared by one grouped aggregate."""
+    scored = [F.struct(F.lit(m).alias("model"), p.alias("prediction")) for m, p in predictions.items()]
+    return df.select(*keep, "label", F.inline(F.array(*scored)))
+
+
+def exact_and_sample(scores: DataFrame, in_sample: Column, min_rows: int = MIN_ROWS) -> DataFrame:
+    """Per model the scores on all rows and on the marked sample, from one aggregate.
+
+    The sample columns are NULL where the sample has fewer than ``min_rows`` rows.
+    """
+    s_label, s_pred = F.when(in_sample, F.col("label")), F.when(in_sample, F.col("prediction"))
+    marked = scores.na.drop(subset=["label", "prediction"]).withColumns({"_l": s_label, "_p": s_pred})
+    wide = marked.groupBy("model").agg(
+        rmse_of("label", "prediction").alias("test_rmse"),
+        r2_of("label", "prediction").alias("test_r2"),
+        rmse_of("_l", "_p").alias("sample_rmse"),
+        r2_of("_l", "_p").alias("sample_r2"),
+        F.count("_l").alias("sample_rows"),
+    )
+    enough = F.col("sample_rows") >= min_rows
+    sampled = ["sample_rmse", "sample_r2", "sample_rows"]
+    return wide.withColumns({c: F.when(enough, F.col(c)) for c in sampled})

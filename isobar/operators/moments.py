@@ -48,6 +48,10 @@ class Moments:
     def __sub__(self, other: Moments) -> Moments:
         return Moments(self.n - other.n, self.sums - other.sums, self.products - other.products)
 
+    def take(self, columns: Sequence[int]) -> Moments:
+        """Moments of some of the columns, in the given order."""
+        return Moments(self.n, self.sums[columns], self.products[np.ix_(columns, columns)])
+
     @property
     def means(self) -> np.ndarray:
         return self.sums / self.n

@@ -89,15 +89,18 @@ def metrics_record(df: DataFrame, model: str, best: Mapping) -> DataFrame:
     )
 
 
-def leaderboard(exact: DataFrame, sampled: DataFrame | None = None) -> DataFrame:
-    """One row per model, best RMSE first; sample scores stand beside the exact ones."""
-    board = exact.select(F.col("model_name").alias("model"), "test_rmse", "test_r2")
-    if sampled is not None:
-        scores = sampled.select(
-            "model", F.col("rmse").alias("sample_rmse"), F.col("r2").alias("sample_r2"),
-            F.col("n_rows").alias("sample_rows"),
-        )
-        board = board.join(scores, "model", "left")
+def leaderboard(board: DataFrame) -> DataFrame:
+    """Ranks models by exact test RMSE; a model without one comes last."""
     # One row per model, so a window without partitions is a handful of rows.
     place = F.row_number().over(Window.orderBy(F.col("test_rmse").asc_nulls_last(), "model"))
     return board.withColumn("rank", place)
+
+
+def join_sample_scores(exact: DataFrame, sampled: DataFrame) -> DataFrame:
+    """Stored exact scores with the sample scores beside them, never in their place."""
+    scores = sampled.select(
+        "model", F.col("rmse").alias("sample_rmse"), F.col("r2").alias("sample_r2"),
+        F.col("n_rows").alias("sample_rows"),
+    )
+    board = exact.select(F.col("model_name").alias("model"), "test_rmse", "test_r2")
+    return board.join(scores, "model", "left")

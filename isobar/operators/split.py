@@ -30,9 +30,13 @@ def kfold_assign(df: DataFrame, keys: Sequence[str], folds: int = 3) -> DataFram
     return df.withColumn("fold", fold_number(keys, folds))
 
 
+def in_sample(keys: Sequence[str], fraction: float, salt: str = "sample") -> Column:
+    return bucket(keys, salt) < round(fraction * 1000)
+
+
 def sample_fraction(df: DataFrame, keys: Sequence[str], fraction: float, salt: str = "sample") -> DataFrame:
     """Rows of the first ``fraction`` of the buckets; smaller fractions are subsets of larger."""
-    return df.filter(bucket(keys, salt) < round(fraction * 1000))
+    return df.filter(in_sample(keys, fraction, salt))
 
 
 def fraction_index(keys: Sequence[str], fractions: Sequence[float], salt: str = "sample") -> Column:
@@ -53,14 +57,15 @@ def capped_sample(
     ranked. Equal rows travel as one row with a multiplicity, so copies cannot pile up in
     one task, and a boundary row is repeated only as often as the cap still allows.
     """
-    by = list(by)
     cols = df.columns
     drawn = sample_fraction(df, keys, fraction, salt)
     distinct = (
         drawn.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_hash", row_hash(cols, salt))
         .withColumn("_range", F.shiftright("_hash", 16))
+        .withColumn("_all", F.lit(0))
     )
+    by = [*by, "_all"]
     # At most 65,536 hash ranges per group, whatever the number of rows.
     ranges = distinct.groupBy(*by, "_range").agg(F.sum("_n").alias("_m"))
     before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -69,8 +74,9 @@ def capped_sample(
         .filter(F.col("_before") < cap)
         .groupBy(*by).agg(F.max("_range").alias("_last"))
     )
-    near = (distinct.join(cut, by) if by else distinct.crossJoin(F.broadcast(cut)))
-    near = near.filter(F.col("_range") <= F.col("_last"))
+    # ``cut`` has one row per group. Groups are the handful of compared models, and a
+    # shuffle on the group would gather each model in one task.
+    near = distinct.join(F.broadcast(cut), by).filter(F.col("_range") <= F.col("_last"))
     order = Window.partitionBy(*by).orderBy("_hash", *cols).rowsBetween(Window.unboundedPreceding, -1)
     kept = (
         near.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0)))

@@ -420,6 +420,57 @@ add("gbt_two_rounds", "model_tab", f"""
   residual AS (SELECT HOUR, 2 * (TMP_C - CASE WHEN HOUR <= cut THEN left_mean ELSE right_mean END) AS r
     FROM model_tab, first_cut),""" + stump("residual", "r", "second"))
 
+# --- the same splits inside folds, the test score and the learning curve ---------------
+
+
+def grouped_stump(source: str, target: str, prefix: str) -> str:
+    """CTEs ending in ``<prefix>_cut``: the best split of the 'fit' rows of each ``grp``."""
+    return f"""
+  {prefix}_bins AS (SELECT grp, HOUR AS x, count(*) AS n, sum({target}) AS s FROM {source} WHERE role = 'fit' GROUP BY grp, HOUR),
+  {prefix}_run AS (SELECT grp, x, sum(n) OVER o AS nl, sum(s) OVER o AS sl, lead(x) OVER o AS nx,
+      sum(n) OVER (PARTITION BY grp) AS nt, sum(s) OVER (PARTITION BY grp) AS st FROM {prefix}_bins
+      WINDOW o AS (PARTITION BY grp ORDER BY x)),
+  {prefix}_pick AS (SELECT *, row_number() OVER (PARTITION BY grp
+      ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC, x) AS place FROM {prefix}_run WHERE nl < nt),
+  {prefix}_cut AS (SELECT grp, (x + nx) / 2.0e0 AS cut, sl / nl AS left_mean, (st - sl) / (nt - nl) AS right_mean
+    FROM {prefix}_pick WHERE place = 1)"""
+
+
+def side(cut: str) -> str:
+    return f"CASE WHEN HOUR <= {cut}.cut THEN {cut}.left_mean ELSE {cut}.right_mean END"
+
+
+HOUR_ROWS = """hour_rows AS MATERIALIZED (
+    SELECT g AS grp, HOUR, TMP_C, CASE WHEN fold = g THEN 'score' ELSE 'fit' END AS role
+      FROM labelled, (SELECT unnest([0, 1, 2]) AS g) WHERE split = 'train'
+    UNION ALL SELECT 3, HOUR, TMP_C, CASE WHEN split = 'test' THEN 'score' ELSE 'fit' END FROM labelled)"""
+BOOST = (HOUR_ROWS + "," + grouped_stump("hour_rows", "TMP_C", "one") + f""",
+  rest_rows AS MATERIALIZED (SELECT h.grp, HOUR, TMP_C, role, {side('c')} AS p1, 2 * (TMP_C - {side('c')}) AS r
+    FROM hour_rows h JOIN one_cut c ON h.grp = c.grp),""" + grouped_stump("rest_rows", "r", "two") + f""",
+  boosted AS MATERIALIZED (SELECT h.grp, TMP_C, p1, p1 + 0.1 * {side('c')} AS p2
+    FROM rest_rows h JOIN two_cut c ON h.grp = c.grp WHERE role = 'score'),
+  cv_error AS (SELECT avg(e1) AS e1, avg(e2) AS e2 FROM (SELECT sqrt(avg((TMP_C - p1) ** 2)) AS e1,
+    sqrt(avg((TMP_C - p2) ** 2)) AS e2 FROM boosted WHERE grp < 3 GROUP BY grp))""")
+add("cv_dt_stump", "labelled", f"""
+    SELECT CAST(i AS INTEGER) AS grid_idx, round(any_value(e1), 6) AS avg_rmse,
+      {r6(score('TMP_C', 'p1')[0])} AS test_rmse, {r6(score('TMP_C', 'p1')[1])} AS test_r2
+    FROM boosted, cv_error, (SELECT unnest([0, 1]) AS i) WHERE grp = 3 GROUP BY i""", BOOST)
+add("cv_gbt_stump", "labelled", f"""
+    SELECT CAST(i AS INTEGER) AS grid_idx, round(any_value(CASE WHEN i = 0 THEN e1 ELSE e2 END), 6) AS avg_rmse,
+      {r6(score('TMP_C', '(CASE WHEN e1 <= e2 THEN p1 ELSE p2 END)')[0])} AS test_rmse,
+      {r6(score('TMP_C', '(CASE WHEN e1 <= e2 THEN p1 ELSE p2 END)')[1])} AS test_r2
+    FROM boosted, cv_error, (SELECT unnest([0, 1]) AS i) WHERE grp = 3 GROUP BY i""", BOOST)
+add("learning_curve_stump", "labelled", f"""
+    SELECT 'DecisionTree_Tuned' AS model, fraction, count(*) FILTER (WHERE role = 'fit') AS n_rows,
+      round(sqrt(avg((TMP_C - {side('c')}) ** 2) FILTER (WHERE role = 'fit')), 6) AS train_rmse,
+      round(sqrt(avg((TMP_C - {side('c')}) ** 2) FILTER (WHERE role = 'score')), 6) AS test_rmse,
+      round(1.0e0 - sum((TMP_C - {side('c')}) ** 2) FILTER (WHERE role = 'score')
+        / (var_pop(TMP_C) FILTER (WHERE role = 'score') * count(*) FILTER (WHERE role = 'score')), 6) AS test_r2
+    FROM hour_curve h JOIN lcs_cut c ON h.grp = c.grp JOIN fractions ON h.grp = i GROUP BY i, fraction""",
+    FRACTION_CTE + """,
+  hour_curve AS MATERIALIZED (SELECT i AS grp, HOUR, TMP_C, CASE WHEN split = 'train' THEN 'fit' ELSE 'score' END AS role
+    FROM labelled JOIN fractions ON split = 'test' OR part <= i),""" + grouped_stump("hour_curve", "TMP_C", "lcs"))
+
 # --- many-feature least squares: one column made orthogonal at a time -----------------
 
 

@@ -493,6 +493,38 @@ def learning_curve_tree(spark, d):
     return results.learning_curve_table(spark, study.curve_rows)
 
 
+# --- tuning of trees that SQL can follow: one split of the hour --------------------------
+
+STUMPS = {"dt": {"maxDepth": [1], "maxBins": [28, 32]}, "gbt": {"maxDepth": [1], "maxIter": [1, 2]}}
+
+
+def stump_study(spark: SparkSession, d: str, family: str, **options) -> tuning.TreeStudy:
+    return tuning.tune_tree(
+        labelled(spark, d), S.MODEL_KEY, family, ["HOUR"], grid=STUMPS[family], **options
+    )
+
+
+def stump_scores(spark: SparkSession, d: str, family: str) -> DataFrame:
+    study = stump_study(spark, d, family, fractions=[1.0])
+    cv = results.cv_table(spark, study.cv_rows).select("grid_idx", r6("avg_rmse").alias("avg_rmse"))
+    return cv.withColumns({"test_rmse": r6(F.lit(study.test_rmse)), "test_r2": r6(F.lit(study.test_r2))})
+
+
+@query
+def cv_dt_stump(spark, d):
+    return stump_scores(spark, d, "dt")
+
+
+@query
+def cv_gbt_stump(spark, d):
+    return stump_scores(spark, d, "gbt")
+
+
+@query
+def learning_curve_stump(spark, d):
+    return curve_rounded(results.learning_curve_table(spark, stump_study(spark, d, "dt").curve_rows))
+
+
 # --- result tables --------------------------------------------------------------------
 
 def dew_grid(spark: SparkSession, d: str) -> DataFrame:
@@ -542,23 +574,30 @@ def learning_curve_union(spark, d):
 
 @query
 def leaderboard(spark, d):
-    exact, sampled = None, None
-    for name, feature in LEADERBOARD.items():
-        test = scored_ols(spark, d, feature).filter(F.col("split") == "test")
-        row = metrics.prediction_metrics(test, min_rows=1).select(F.lit(name).alias("model_name"), F.col("rmse").alias("test_rmse"), F.col("r2").alias("test_r2"))
-        draw = split.sample_fraction(test, S.MODEL_KEY, train.SAMPLE_FRACTION, "plot").withColumn("model", F.lit(name))
-        exact = row if exact is None else exact.unionByName(row)
-        sampled = draw if sampled is None else sampled.unionByName(draw)
-    board = results.leaderboard(exact, metrics.prediction_metrics(sampled, ["model"]))
+    """Three one-feature models fitted from one moment pass and compared in one scoring pass."""
+    table = labelled(spark, d)
+    columns = [*LEADERBOARD.values(), S.LABEL]
+    [row] = moments.moments_by(table.filter(F.col("split") == "train"), columns, [], S.TYPICAL).collect()
+    everything = moments.from_row(row, len(columns))
+    predictions = {
+        name: linear.solve(everything.take([i, len(LEADERBOARD)]), [feature], S.TYPICAL).prediction()
+        for i, (name, feature) in enumerate(LEADERBOARD.items())
+    }
+    test = features.rename_label(table.filter(F.col("split") == "test"))
+    scores = metrics.long_scores(test, predictions, S.MODEL_KEY)
+    in_sample = split.in_sample(S.MODEL_KEY, train.SAMPLE_FRACTION, "plot")
+    board = results.leaderboard(metrics.exact_and_sample(scores, in_sample))
     return rounded(board, "test_rmse", "test_r2", "sample_rmse", "sample_r2")
 
 
 # --- stored artifacts -----------------------------------------------------------------
 
 def dew_store(spark: SparkSession, d: str) -> ArtifactStore:
-    """One small linear run, written and read back from the shared folder."""
+    """The whole job on one feature: clean, write the split table, train from it, store."""
+    table = scratch_path(spark, "split-table")
+    preprocess.write_split_table(raw(spark, d), table, TIE)
     store = ArtifactStore(spark, scratch_path(spark, "artifacts"))
-    train.train_family(labelled(spark, d), store, "lr", features=["DEW_C"], run_id="run-1")
+    train.train_family(tables.read_parquet(spark, table), store, "lr", features=["DEW_C"], run_id="run-1")
     return store
 
 

@@ -11,15 +11,17 @@ from isobar.sources.artifacts import ArtifactStore
 
 def sample_metrics(store: ArtifactStore) -> DataFrame:
     """Scores on the stored prediction samples, for models with enough rows."""
-    stored = store.read(artifacts.PLOT).select(
-        "model",
-        *[f for f in ("Predicted_Temperature_C", "Actual_Temperature_C")],
-    ).withColumnsRenamed({"Predicted_Temperature_C": "prediction", "Actual_Temperature_C": "label"})
-    return metrics.prediction_metrics(stored, ["model"])
+    stored = store.read(artifacts.PLOT)
+    pairs = stored.withColumnsRenamed(
+        {"Predicted_Temperature_C": "prediction", "Actual_Temperature_C": "label"}
+    )
+    return metrics.prediction_metrics(pairs, ["model"])
 
 
 def leaderboard_from(store: ArtifactStore) -> DataFrame:
-    return results.leaderboard(store.read(artifacts.METRICS), sample_metrics(store))
+    return results.leaderboard(
+        results.join_sample_scores(store.read(artifacts.METRICS), sample_metrics(store))
+    )
 
 
 def validation_curves(store: ArtifactStore) -> DataFrame:

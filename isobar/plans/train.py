@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,10 +53,22 @@ def train_family(
     sample_fraction: float = SAMPLE_FRACTION, sample_cap: int = SAMPLE_CAP,
 ):
     """Tune, refit, score and store one family; ``table`` has a ``split`` column."""
-    spark, features, keys = table.sparkSession, list(features), list(keys)
+    features, keys = list(features), list(keys)
     run_id = run_id or new_run_id()
     name = tuning.MODEL_NAMES[family]
-    ready = prepare(table, features, null_policy, label)
+    # Every step below reads the same rows; lost blocks are recomputed from the table.
+    ready = prepare(table, features, null_policy, label).select("split", *keys, *features, label)
+    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _train_prepared(ready, store, family, name, keys, features, label, grid, run_id,
+                               sample_fraction, sample_cap)
+    finally:
+        ready.unpersist()
+
+
+def _train_prepared(ready, store, family, name, keys, features, label, grid, run_id,
+                    sample_fraction, sample_cap):
+    spark = ready.sparkSession
     if family == "lr":
         study = linear.tune_linear(ready, keys, features, label, name, grid or linear.LINEAR_GRID)
         model = linear_pipeline(ready, features, study.best, label)
