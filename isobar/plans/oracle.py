@@ -277,6 +277,8 @@ add("learning_curve_union", "labelled",
     FRACTION_CTE)
 
 # --- one-feature elastic net: soft threshold of the correlation -----------------------
+# Unpenalised settings are equal by definition, but parallel float sums differ in the last
+# digit, so ties are taken at ten decimals.
 
 GRID_CTES = f"""
   grid AS (SELECT CAST(row_number() OVER (ORDER BY reg, alpha) - 1 AS INTEGER) AS grid_idx, reg, alpha
@@ -291,7 +293,7 @@ GRID_CTES = f"""
     FROM (SELECT f, grid_idx, reg, alpha, sqrt(avg((TMP_C - my - b * (DEW_C - mx)) ** 2)) AS rmse
           FROM fits JOIN labelled ON fold = f AND split = 'train' GROUP BY f, grid_idx, reg, alpha)
     GROUP BY grid_idx, reg, alpha),
-  best AS (SELECT * FROM cv ORDER BY avg_rmse, grid_idx LIMIT 1),
+  best AS (SELECT * FROM cv ORDER BY round(avg_rmse, 10), grid_idx LIMIT 1),
   tuned AS (SELECT *, my - b * mx AS a
     FROM (SELECT reg, alpha, any_value(mx) AS mx, any_value(my) AS my, i, fraction, any_value(n) AS n,
         any_value(sign(rho) * greatest(abs(rho) - reg / sy * alpha, 0) / (1 + reg / sy * (1 - alpha)) * sy / sx) AS b

@@ -70,10 +70,7 @@ def read_json_under(spark: SparkSession, root: str, schema: T.StructType) -> Dat
 
     These are one-record metric files, so each is read as a single text value.
     """
-    files = (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json").text(root)
-    )
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
     record = F.get(F.from_json("value", T.ArrayType(schema)), F.lit(0))
     return (
         files.select(record.alias("r"), F.col("_metadata.file_path").alias("path"))
