@@ -27,10 +27,11 @@ def moments_by(
     x = [F.col(c).cast("double") - F.lit(float(shift.get(c, 0.0))) for c in columns]
     width = range(len(columns))
     centred = df.na.drop(subset=list(columns)).select(*by, *[v.alias(f"x_{i}") for i, v in enumerate(x)])
+    # As SQL text: one call to the JVM per aggregate instead of six.
     return centred.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.sum(f"x_{i}").alias(f"s_{i}") for i in width],
-        *[F.sum(F.col(f"x_{i}") * F.col(f"x_{j}")).alias(f"p_{i}_{j}") for i in width for j in width if i <= j],
+        *[F.expr(f"sum(x_{i}) AS s_{i}") for i in width],
+        *[F.expr(f"sum(x_{i} * x_{j}) AS p_{i}_{j}") for i in width for j in width if i <= j],
     )
 
 

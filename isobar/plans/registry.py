@@ -68,6 +68,13 @@ def labelled(spark: SparkSession, d: str) -> DataFrame:
     return split.train_test_split(model(spark, d), S.MODEL_KEY)
 
 
+def stored(spark: SparkSession, d: str) -> DataFrame:
+    """The split table written once and read back, for queries that pass over it repeatedly."""
+    path = scratch_path(spark, "split-table")
+    preprocess.write_split_table(raw(spark, d), path, TIE)
+    return tables.read_parquet(spark, path)
+
+
 def lineitem(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     return tables.read_parquet(spark, f"{d}/lineitem.parquet", columns)
 
@@ -332,10 +339,10 @@ def learning_curve_lr(spark, d):
 @query
 def cv_lr(spark, d):
     """Average held-out error of plain least squares on all features, and without the leak."""
-    rows = []
+    table, rows = stored(spark, d), []
     for name, feats in (("all", S.FEATURES_ALL), ("no_leak", S.FEATURES_NO_LEAK)):
         study = linear.tune_linear(
-            labelled(spark, d), S.MODEL_KEY, feats, name=name, grid={"regParam": [0.0], "elasticNetParam": [0.0]}
+            table, S.MODEL_KEY, feats, name=name, grid={"regParam": [0.0], "elasticNetParam": [0.0]}
         )
         rows.append((name, study.cv_rows[0][3], study.test_rmse, study.test_r2))
     df = spark.createDataFrame(rows, "features string, avg_rmse double, test_rmse double, test_r2 double")
@@ -371,7 +378,7 @@ def lr_tuned(spark, d):
 # --- scoring --------------------------------------------------------------------------
 
 def scored_ols(spark: SparkSession, d: str, feature: str = "DEW_C") -> DataFrame:
-    table = labelled(spark, d)
+    table = stored(spark, d)
     [(_, m)] = one_feature_moments(table.filter(F.col("split") == "train"), feature, [])
     fit = linear.solve(m, [feature], S.TYPICAL)
     return fit.transform(features.rename_label(table))
@@ -416,7 +423,7 @@ def capped_sample_lineitem(spark, d):
 # --- trees ----------------------------------------------------------------------------
 
 def hour_table(spark: SparkSession, d: str) -> DataFrame:
-    return features.assemble_features(features.rename_label(model(spark, d)), ["HOUR"])
+    return features.assemble_features(features.rename_label(stored(spark, d)), ["HOUR"])
 
 
 def by_hour(fitted, table: DataFrame) -> DataFrame:
@@ -558,7 +565,7 @@ def validation_curve(spark, d):
 @query
 def learning_curve_union(spark, d):
     grid = {"regParam": [0.0], "elasticNetParam": [0.0]}
-    table = labelled(spark, d)
+    table = stored(spark, d)
     dew = linear.tune_linear(table, S.MODEL_KEY, ["DEW_C"], grid=grid)
     wind = linear.tune_linear(table, S.MODEL_KEY, ["WIND_SPEED"], grid=grid)
     # The two spellings found in stored curves.
@@ -575,7 +582,7 @@ def learning_curve_union(spark, d):
 @query
 def leaderboard(spark, d):
     """Three one-feature models fitted from one moment pass and compared in one scoring pass."""
-    table = labelled(spark, d)
+    table = stored(spark, d)
     columns = [*LEADERBOARD.values(), S.LABEL]
     [row] = moments.moments_by(table.filter(F.col("split") == "train"), columns, [], S.TYPICAL).collect()
     everything = moments.from_row(row, len(columns))
@@ -594,10 +601,8 @@ def leaderboard(spark, d):
 
 def dew_store(spark: SparkSession, d: str) -> ArtifactStore:
     """The whole job on one feature: clean, write the split table, train from it, store."""
-    table = scratch_path(spark, "split-table")
-    preprocess.write_split_table(raw(spark, d), table, TIE)
     store = ArtifactStore(spark, scratch_path(spark, "artifacts"))
-    train.train_family(tables.read_parquet(spark, table), store, "lr", features=["DEW_C"], run_id="run-1")
+    train.train_family(stored(spark, d), store, "lr", features=["DEW_C"], run_id="run-1")
     return store
 
 
@@ -655,7 +660,7 @@ def metrics_json_roundtrip(spark, d):
 @query
 def model_save_load(spark, d):
     path = scratch_path(spark, "model")
-    table = labelled(spark, d)
+    table = stored(spark, d)
     fitted = train.linear_pipeline(table, ["DEW_C"], {"regParam": 0.0, "elasticNetParam": 0.0})
     tables.save_model(fitted, path)
     loaded = tables.load_model(path)
