@@ -84,7 +84,9 @@ def score_by_split(model, df: DataFrame) -> dict:
     return {r["split"]: (r["rmse"], r["r2"], r["n"]) for r in rows}
 
 
-def _fold_scores(family: str, settings: list[dict], train: DataFrame, held: DataFrame) -> list[float]:
+def _fold_scores(
+    family: str, settings: list[dict], train: DataFrame, held: DataFrame, options: Mapping = {},
+) -> list[float]:
     """RMSE on ``held`` of every setting fitted on ``train``.
 
     Boosting adds trees one by one, so the settings that differ in ``maxIter`` only are
@@ -98,14 +100,14 @@ def _fold_scores(family: str, settings: list[dict], train: DataFrame, held: Data
             groups.setdefault(rest, []).append(i)
         for members in groups.values():
             longest = max((settings[i] for i in members), key=lambda s: s.get("maxIter", 20))
-            model = estimator(family, longest).fit(train)
+            model = estimator(family, longest, **options).fit(train)
             mse = model.evaluateEachIteration(held, "squared")
             for i in members:
                 scores[i] = mse[settings[i].get("maxIter", 20) - 1] ** 0.5
         return [scores[i] for i in range(len(settings))]
     scored = held
     for i, s in enumerate(settings):
-        model = estimator(family, s).fit(train)
+        model = estimator(family, s, **options).fit(train)
         scored = model.setPredictionCol(f"p_{i}").transform(scored)
     row = scored.agg(*[rmse_of("label", f"p_{i}").alias(f"r_{i}") for i in range(len(settings))]).first()
     return [row[f"r_{i}"] for i in range(len(settings))]
@@ -115,15 +117,16 @@ def tune_tree(
     df: DataFrame, keys: Sequence[str], family: str, features: Sequence[str],
     label: str = S.LABEL, grid: Mapping[str, list] | None = None, folds: int = 3,
     fractions: Sequence[float] = TREE_FRACTIONS, scale: bool = False, parallelism: int = 3,
-    name: str | None = None,
+    name: str | None = None, options: Mapping | None = None,
 ) -> TreeStudy:
     """Grid search, refit, test score and learning curve of a table with a ``split`` column.
 
     Trees do not change when features are scaled, so ``scale`` is off unless a saved
     pipeline has to contain the scaler. Folds and curve samples are hash filters on the
-    one persisted table; nothing is reshuffled or copied per fold.
+    one persisted table; nothing is reshuffled or copied per fold. ``options`` go to every
+    estimator, e.g. ``maxMemoryInMB`` or ``cacheNodeIds`` for deep trees on large data.
     """
-    name = name or MODEL_NAMES[family]
+    name, options = name or MODEL_NAMES[family], dict(options or {})
     settings = expand_grid(grid or GRIDS[family])
     fractions = sorted(fractions)
     table = df.na.drop(subset=[*features, label]).select(
@@ -141,7 +144,7 @@ def tune_tree(
         def run_fold(i: int) -> list[float]:
             rows = assembled.filter(F.col("split") == "train")
             return _fold_scores(
-                family, settings, rows.filter(F.col("fold") != i), rows.filter(F.col("fold") == i)
+                family, settings, rows.filter(F.col("fold") != i), rows.filter(F.col("fold") == i), options
             )
 
         if len(settings) > 1 and len(fold_ids) > 1:
@@ -155,7 +158,7 @@ def tune_tree(
             (name, i, {k: str(v) for k, v in s.items()}, averages[i]) for i, s in enumerate(settings)
         ]
 
-        model = Pipeline(stages=[*stages, estimator(family, best)]).fit(train)
+        model = Pipeline(stages=[*stages, estimator(family, best, **options)]).fit(train)
         scores = score_by_split(model, table)
         curve = []
         for i, fraction in enumerate(fractions):
@@ -165,7 +168,7 @@ def tune_tree(
                 part = train.filter(F.col("part") <= i)
                 if part.isEmpty():
                     continue
-                sub = Pipeline(stages=[*stages, estimator(family, best)]).fit(part)
+                sub = Pipeline(stages=[*stages, estimator(family, best, **options)]).fit(part)
                 rows = table.filter((F.col("split") == "test") | (F.col("part") <= i))
                 sub_scores = score_by_split(sub, rows)
             tr, te = sub_scores.get("train", (None, None, 0)), sub_scores.get("test", (None, None, 0))

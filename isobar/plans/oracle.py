@@ -532,6 +532,51 @@ add("cv_lr", "labelled",
     cv_select("all", "fa", K) + " UNION ALL " + cv_select("no_leak", "fn", K - 1),
     f"{FOLD_ROWS},\n{orthogonal('fold_rows', S.FEATURES_ALL, 'fa')},\n{orthogonal('fold_rows', S.FEATURES_NO_LEAK, 'fn')}")
 
+# --- many-feature elastic net: cyclic coordinate descent as a recursive query -----------
+
+SWEEPS = 400
+NET_MEANS = ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS d{i}" for i, c in enumerate(S.FEATURES_ALL))
+NET_X = ", ".join(f"CASE WHEN d{i} > 0 THEN ({c} - m{i}) / d{i} ELSE 0.0 END AS x{i}" for i, c in enumerate(S.FEATURES_ALL))
+NET_CORR = "[" + ", ".join("[" + ", ".join(f"avg(x{i} * x{j})" for j in range(K)) + "]" for i in range(K)) + "]"
+NET_TARGET = "[" + ", ".join(f"avg(x{i} * ys)" for i in range(K)) + "]"
+NET_LIST = "[" + ", ".join(f"x{i}" for i in range(K)) + "]"
+NET = f"""net_std AS MATERIALIZED (SELECT grp, avg(TMP_C) AS my, stddev_pop(TMP_C) AS sy, {NET_MEANS}
+    FROM fold_rows WHERE role = 'fit' GROUP BY grp),
+  net_rows AS MATERIALIZED (SELECT f.grp, role, TMP_C, my, sy, (TMP_C - my) / sy AS ys, {NET_X}
+    FROM fold_rows f JOIN net_std s ON f.grp = s.grp),
+  net_system AS MATERIALIZED (SELECT grp, any_value(sy) AS sy, {NET_CORR} AS c, {NET_TARGET} AS t
+    FROM net_rows WHERE role = 'fit' GROUP BY grp),
+  grid AS (SELECT CAST(row_number() OVER (ORDER BY reg, alpha) - 1 AS INTEGER) AS grid_idx, reg, alpha
+    FROM (SELECT unnest([0.0e0, 0.01e0, 0.1e0]) AS reg), (SELECT unnest([0.0e0, 0.5e0, 1.0e0]) AS alpha)),
+  descent AS (
+    SELECT 0 AS it, grp, grid_idx, c, t, reg / sy * alpha AS l1, reg / sy * (1 - alpha) AS l2,
+      [{", ".join(["0.0e0"] * K)}] AS w FROM net_system, grid
+    UNION ALL
+    SELECT it + 1, grp, grid_idx, c, t, l1, l2,
+      list_transform(range(1, {K + 1}), lambda k: CASE WHEN k <> j THEN w[k] WHEN c[j][j] = 0 THEN 0.0e0
+        ELSE sign(own) * greatest(abs(own) - l1, 0) / (c[j][j] + l2) END) AS w
+    FROM (SELECT *, t[j] - list_dot_product(c[j], w) + c[j][j] * w[j] AS own
+          FROM (SELECT *, it % {K} + 1 AS j FROM descent WHERE it < {K * SWEEPS}))),
+  net_weights AS MATERIALIZED (SELECT grp, grid_idx, w FROM descent WHERE it = {K * SWEEPS}),
+  net_errors AS MATERIALIZED (SELECT r.grp, grid_idx, TMP_C,
+      TMP_C - my - sy * list_dot_product(w, {NET_LIST}) AS e
+    FROM net_rows r JOIN net_weights n ON r.grp = n.grp WHERE role = 'score'),
+  net_cv AS MATERIALIZED (SELECT grid_idx, avg(r) AS avg_rmse
+    FROM (SELECT grp, grid_idx, sqrt(avg(e * e)) AS r FROM net_errors WHERE grp < 3 GROUP BY grp, grid_idx)
+    GROUP BY grid_idx),
+  net_test AS (SELECT sqrt(avg(e * e)) AS test_rmse, 1.0e0 - sum(e * e) / (var_pop(TMP_C) * count(*)) AS test_r2
+    FROM net_errors WHERE grp = 3 AND grid_idx = (SELECT grid_idx FROM net_cv ORDER BY round(avg_rmse, 9), grid_idx LIMIT 1))"""
+FIT_ON_TRAIN_ROWS = f"""fold_rows AS MATERIALIZED (
+    SELECT g AS grp, {ALL_LIST}, CASE WHEN fold = g THEN 'score' ELSE 'fit' END AS role
+      FROM labelled, (SELECT unnest([0, 1, 2]) AS g) WHERE split = 'train'
+    UNION ALL
+    SELECT 3, {ALL_LIST}, CASE WHEN split = 'test' THEN 'score' ELSE 'fit' END FROM labelled)"""
+add("lr_tuned", "labelled", f"""
+    SELECT 'LinearRegression_Tuned' AS model, grid_idx, reg AS regParam, alpha AS elasticNetParam,
+      {r6('avg_rmse')} AS avg_rmse, {r6('test_rmse')} AS test_rmse, {r6('test_r2')} AS test_r2
+    FROM net_cv JOIN grid USING (grid_idx), net_test""", f"{FIT_ON_TRAIN_ROWS},\n{NET}")
+ORACLE["lr_tuned"] = ORACLE["lr_tuned"].replace("WITH ", "WITH RECURSIVE ", 1)
+
 # Weights by back substitution through the triangular system of slopes, in features of
 # unit population deviation, then rescaled to unit sample deviation.
 D = len(DISTINCT_FEATURES)

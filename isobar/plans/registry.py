@@ -370,9 +370,10 @@ def top_features(spark, d):
 
 @query
 def lr_tuned(spark, d):
+    """The default grid on all features, with the test scores of the best setting."""
     study = linear.tune_linear(labelled(spark, d), S.MODEL_KEY, S.FEATURES_ALL)
-    cv = results.cv_table_wide(results.cv_table(spark, study.cv_rows), list(linear.LINEAR_GRID))
-    return cv.withColumns({"test_rmse": F.lit(study.test_rmse), "test_r2": F.lit(study.test_r2)})
+    cv = numeric_params(results.cv_table(spark, study.cv_rows))
+    return cv.withColumns({"test_rmse": r6(F.lit(study.test_rmse)), "test_r2": r6(F.lit(study.test_r2))})
 
 
 # --- scoring --------------------------------------------------------------------------

@@ -51,23 +51,30 @@ def train_family(
     features: Sequence[str] = tuple(S.FEATURES_ALL), label: str = S.LABEL,
     grid: Mapping[str, list] | None = None, null_policy: str = "drop", run_id: str | None = None,
     sample_fraction: float = SAMPLE_FRACTION, sample_cap: int = SAMPLE_CAP,
+    options: Mapping | None = None,
 ):
-    """Tune, refit, score and store one family; ``table`` has a ``split`` column."""
+    """Tune, refit, score and store one family; ``table`` has a ``split`` column.
+
+    ``options`` are passed to every tree estimator, e.g. ``maxMemoryInMB``.
+    """
     features, keys = list(features), list(keys)
     run_id = run_id or new_run_id()
     name = tuning.MODEL_NAMES[family]
-    # Every step below reads the same rows; lost blocks are recomputed from the table.
     ready = prepare(table, features, null_policy, label).select("split", *keys, *features, label)
-    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
+    # The linear family passes over the rows four times; tree tuning keeps its own copy.
+    # Blocks lost with an executor are recomputed from the table.
+    if family == "lr":
+        ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _train_prepared(ready, store, family, name, keys, features, label, grid, run_id,
-                               sample_fraction, sample_cap)
+                               sample_fraction, sample_cap, options)
     finally:
-        ready.unpersist()
+        if family == "lr":
+            ready.unpersist()
 
 
 def _train_prepared(ready, store, family, name, keys, features, label, grid, run_id,
-                    sample_fraction, sample_cap):
+                    sample_fraction, sample_cap, options):
     spark = ready.sparkSession
     if family == "lr":
         study = linear.tune_linear(ready, keys, features, label, name, grid or linear.LINEAR_GRID)
@@ -75,7 +82,7 @@ def _train_prepared(ready, store, family, name, keys, features, label, grid, run
         coefficients = linear.coefficient_table(spark, study.fit, name)
         store.write(coefficients, name, artifacts.COEFFICIENTS, run_id)
     else:
-        study = tuning.tune_tree(ready, keys, family, features, label, grid)
+        study = tuning.tune_tree(ready, keys, family, features, label, grid, options=options)
         model = study.model
         store.write(tuning.importance_table(spark, study), name, artifacts.IMPORTANCE, run_id)
     store.write(results.cv_table(spark, study.cv_rows), name, artifacts.CV, run_id)
