@@ -6,7 +6,7 @@ standardised with population deviations, and ``regParam`` is divided by that of
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from isobar import schema as S
 from isobar.operators import split
 from isobar.operators.moments import Moments, from_row, moments_by, total
-from isobar.operators.tuning import best_setting, expand_grid
+from isobar.operators.tuning import GRIDS, best_setting, expand_grid
 
-# The default grid and learning-curve fractions.
-LINEAR_GRID = {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.5, 1.0]}
+LINEAR_GRID = GRIDS["lr"]
+# Cross products grow with the square of the width; beyond this, fit by MLlib instead.
+MAX_WIDTH = 60
+# The default learning-curve fractions.
 FRACTIONS = [0.1, 0.25, 0.5, 0.75, 1.0]
 
 # A column whose variance is below this share of its mean square is constant.
@@ -142,6 +144,8 @@ def tune_linear(
 
     One aggregate of at most 2 x folds x (fractions + 1) rows is all that is fetched.
     """
+    if len(features) > MAX_WIDTH:
+        raise ValueError(f"{len(features)} features: use tuning.tune_by_fits above {MAX_WIDTH}")
     fractions = sorted(fractions)
     columns = [*features, label]
     keyed = df.withColumns({
@@ -192,14 +196,16 @@ def tune_linear(
     )
 
 
-def coefficient_rows(fit: LinearFit, name: str) -> list[tuple]:
-    """Weights of the unit-deviation features, largest magnitude first."""
-    scaled = fit.coefficients * fit.deviations
-    rows = [
-        (name, f, float(c), float(abs(c)), float(fit.intercept)) for f, c in zip(fit.features, scaled)
-    ]
+def weight_rows(features: Sequence[str], weights: Iterable[float], intercept: float, name: str) -> list[tuple]:
+    """Coefficient table rows, largest magnitude first."""
+    rows = [(name, f, float(c), abs(float(c)), float(intercept)) for f, c in zip(features, weights)]
     return sorted(rows, key=lambda r: -r[3])
 
 
+def coefficient_rows(fit: LinearFit, name: str) -> list[tuple]:
+    """Weights of the unit-deviation features."""
+    return weight_rows(fit.features, fit.coefficients * fit.deviations, fit.intercept, name)
+
+
 def coefficient_table(spark: SparkSession, fit: LinearFit, name: str) -> DataFrame:
     return spark.createDataFrame(coefficient_rows(fit, name), S.COEFFICIENT_SCHEMA)

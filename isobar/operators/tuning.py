@@ -1,4 +1,4 @@
-"""Grid search for tree regressors: hash folds, concurrent fits, one scoring pass per fold."""
+"""Grid search by MLlib fits: hash folds, concurrent fits, one scoring pass per fold."""
 
 from __future__ import annotations
 
@@ -32,6 +32,7 @@ FAMILIES = {
 }
 # The default grids and model names.
 GRIDS = {
+    "lr": {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.5, 1.0]},
     "dt": {"maxDepth": [4, 6], "maxBins": [32, 64]},
     "rf": {"maxDepth": [6, 12], "numTrees": [20, 50]},
     "gbt": {"maxDepth": [4, 6], "maxIter": [30, 50]},
@@ -62,7 +63,7 @@ def estimator(family: str, params: Mapping, **fixed):
 
 
 @dataclass
-class TreeStudy:
+class FitStudy:
     name: str
     model: PipelineModel
     best: dict
@@ -85,13 +86,15 @@ def score_by_split(model, df: DataFrame) -> dict:
 
 
 def _fold_scores(
-    family: str, settings: list[dict], train: DataFrame, held: DataFrame, options: Mapping = {},
+    family: str, settings: list[dict], train: DataFrame, held: DataFrame,
+    options: Mapping | None = None,
 ) -> list[float]:
     """RMSE on ``held`` of every setting fitted on ``train``.
 
     Boosting adds trees one by one, so the settings that differ in ``maxIter`` only are
     prefixes of the longest one: it is fitted once and scored after each iteration.
     """
+    options = options or {}
     if family == "gbt":
         scores: dict[int, float] = {}
         groups: dict[tuple, list[int]] = {}
@@ -113,15 +116,16 @@ def _fold_scores(
     return [row[f"r_{i}"] for i in range(len(settings))]
 
 
-def tune_tree(
+def tune_by_fits(
     df: DataFrame, keys: Sequence[str], family: str, features: Sequence[str],
     label: str = S.LABEL, grid: Mapping[str, list] | None = None, folds: int = 3,
     fractions: Sequence[float] = TREE_FRACTIONS, scale: bool = False, parallelism: int = 3,
     name: str | None = None, options: Mapping | None = None,
-) -> TreeStudy:
+) -> FitStudy:
     """Grid search, refit, test score and learning curve of a table with a ``split`` column.
 
-    Trees do not change when features are scaled, so ``scale`` is off unless a saved
+    Takes any family; linear models of ordinary width are better served by
+    ``linear.tune_linear``, which needs one pass for all of it. Trees do not change when features are scaled, so ``scale`` is off unless a saved
     pipeline has to contain the scaler. Folds and curve samples are hash filters on the
     one persisted table; nothing is reshuffled or copied per fold. ``options`` go to every
     estimator, e.g. ``maxMemoryInMB`` or ``cacheNodeIds`` for deep trees on large data.
@@ -176,14 +180,14 @@ def tune_tree(
     finally:
         table.unpersist()
     test = scores.get("test", (None, None, 0))
-    return TreeStudy(name, model, best, cv_rows, curve, test[0], test[1], list(features))
+    return FitStudy(name, model, best, cv_rows, curve, test[0], test[1], list(features))
 
 
-def importance_rows(study: TreeStudy) -> list[tuple]:
+def importance_rows(study: FitStudy) -> list[tuple]:
     weights = study.model.stages[-1].featureImportances.toArray()
     rows = [(study.name, f, float(w)) for f, w in zip(study.features, weights)]
     return sorted(rows, key=lambda r: -r[2])
 
 
-def importance_table(spark: SparkSession, study: TreeStudy) -> DataFrame:
+def importance_table(spark: SparkSession, study: FitStudy) -> DataFrame:
     return spark.createDataFrame(importance_rows(study), S.IMPORTANCE_SCHEMA)

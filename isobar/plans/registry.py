@@ -455,8 +455,8 @@ def gbt_two_rounds(spark, d):
     return by_hour(GBTRegressor(maxIter=2, maxDepth=1, seed=tuning.SEED, labelCol="label").fit(table), table)
 
 
-def tree_study(spark: SparkSession, d: str, family: str, **options) -> tuning.TreeStudy:
-    return tuning.tune_tree(
+def tree_study(spark: SparkSession, d: str, family: str, **options) -> tuning.FitStudy:
+    return tuning.tune_by_fits(
         labelled(spark, d), S.MODEL_KEY, family, S.FEATURES_ALL, grid=QUERY_GRIDS[family], **options
     )
 
@@ -482,8 +482,8 @@ def gbt_tuned(spark, d):
     return tuned(spark, d, "gbt")
 
 
-def single_setting(spark: SparkSession, d: str, family: str, params: dict, **options) -> tuning.TreeStudy:
-    return tuning.tune_tree(
+def single_setting(spark: SparkSession, d: str, family: str, params: dict, **options) -> tuning.FitStudy:
+    return tuning.tune_by_fits(
         labelled(spark, d), S.MODEL_KEY, family, S.FEATURES_ALL,
         grid={k: [v] for k, v in params.items()}, **options,
     )
@@ -506,8 +506,8 @@ def learning_curve_tree(spark, d):
 STUMPS = {"dt": {"maxDepth": [1], "maxBins": [28, 32]}, "gbt": {"maxDepth": [1], "maxIter": [1, 2]}}
 
 
-def stump_study(spark: SparkSession, d: str, family: str, **options) -> tuning.TreeStudy:
-    return tuning.tune_tree(
+def stump_study(spark: SparkSession, d: str, family: str, **options) -> tuning.FitStudy:
+    return tuning.tune_by_fits(
         labelled(spark, d), S.MODEL_KEY, family, ["HOUR"], grid=STUMPS[family], **options
     )
 

@@ -76,13 +76,18 @@ def train_family(
 def _train_prepared(ready, store, family, name, keys, features, label, grid, run_id,
                     sample_fraction, sample_cap, options):
     spark = ready.sparkSession
-    if family == "lr":
+    if family == "lr" and len(features) <= linear.MAX_WIDTH:
         study = linear.tune_linear(ready, keys, features, label, name, grid or linear.LINEAR_GRID)
         model = linear_pipeline(ready, features, study.best, label)
         coefficients = linear.coefficient_table(spark, study.fit, name)
         store.write(coefficients, name, artifacts.COEFFICIENTS, run_id)
+    elif family == "lr":
+        study = tuning.tune_by_fits(ready, keys, family, features, label, grid, scale=True, options=options)
+        model = study.model
+        rows = linear.weight_rows(features, model.stages[-1].coefficients, model.stages[-1].intercept, name)
+        store.write(spark.createDataFrame(rows, S.COEFFICIENT_SCHEMA), name, artifacts.COEFFICIENTS, run_id)
     else:
-        study = tuning.tune_tree(ready, keys, family, features, label, grid, options=options)
+        study = tuning.tune_by_fits(ready, keys, family, features, label, grid, options=options)
         model = study.model
         store.write(tuning.importance_table(spark, study), name, artifacts.IMPORTANCE, run_id)
     store.write(results.cv_table(spark, study.cv_rows), name, artifacts.CV, run_id)

@@ -94,14 +94,3 @@ class ArtifactStore:
         return union.groupBy("model", "kind", "path").agg(F.count(F.lit(1)).alias("n")).groupBy(
             "model", "kind"
         ).agg(F.count(F.lit(1)).alias("n_files"), F.sum("n").alias("n_rows"))
-
-    def export_tidy(self, out: str) -> None:
-        """Each kind as one CSV table partitioned by model, and the leaderboard."""
-        from isobar.plans.report import leaderboard_from
-
-        for kind in STORED:
-            df = self.read(kind)
-            if kind == CV:
-                df = df.withColumn("params", F.to_json("params"))
-            tables.write_csv(df, f"{out}/tables/{kind}", ["model"])
-        tables.write_csv(leaderboard_from(self), f"{out}/leaderboard")

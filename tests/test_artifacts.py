@@ -86,7 +86,7 @@ def test_saved_model_scores_the_same(trained, table):
 def test_tidy_export(trained, spark):
     store, _, _ = trained
     out = scratch_path(spark, "tidy")
-    store.export_tidy(out)
+    report.export_tidy(store, out)
     board = spark.read.option("header", True).csv(f"{out}/leaderboard")
     assert board.count() == 2
     assert spark.read.option("header", True).csv(f"{out}/tables/{artifacts.CURVE}").count() == 10

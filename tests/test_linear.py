@@ -5,7 +5,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from isobar import schema as S
-from isobar.operators import features, linear, metrics, moments, split
+from isobar.operators import features, linear, metrics, moments, split, tuning
 from isobar.operators.tuning import expand_grid
 
 
@@ -38,6 +38,22 @@ def test_grid_matches_mllib(study, vectors):
         assert got == pytest.approx(np.mean(scores), rel=1e-5), params
 
 
+def test_wide_path_agrees_with_the_moment_path(table, study):
+    features_ = S.FEATURES_ALL
+    fitted = tuning.tune_by_fits(
+        table, S.MODEL_KEY, "lr", features_, grid={"regParam": [0.0, 0.1], "elasticNetParam": [0.0]},
+        fractions=[1.0], scale=True,
+    )
+    mine = {(p["regParam"], p["elasticNetParam"]): v for _, _, p, v in study.cv_rows}
+    for _, _, p, v in fitted.cv_rows:
+        assert v == pytest.approx(mine[p["regParam"], p["elasticNetParam"]], rel=1e-5)
+
+
+def test_too_wide_is_refused(table):
+    with pytest.raises(ValueError, match="tune_by_fits"):
+        linear.tune_linear(table, S.MODEL_KEY, [f"f{i}" for i in range(61)])
+
+
 def test_test_scores_match_evaluator(study, table):
     scored = study.fit.transform(table.filter("split = 'test'").withColumn("label", F.col("TMP_C")))
     assert study.test_rmse == pytest.approx(RegressionEvaluator(metricName="rmse").evaluate(scored), rel=1e-9)

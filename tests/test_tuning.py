@@ -19,7 +19,7 @@ def keyed(table):
 
 @pytest.fixture(scope="module")
 def tree(table):
-    return tuning.tune_tree(table, S.MODEL_KEY, "dt", FEATURES, grid={"maxDepth": [2, 4], "maxBins": [16, 32]})
+    return tuning.tune_by_fits(table, S.MODEL_KEY, "dt", FEATURES, grid={"maxDepth": [2, 4], "maxBins": [16, 32]})
 
 
 def test_tree_grid_matches_mllib_cross_validator(tree, keyed):
@@ -76,8 +76,8 @@ def test_forest_scores_match_separate_evaluation(keyed):
 
 def test_scaling_does_not_change_a_tree(table):
     grid = {"maxDepth": [3], "maxBins": [32]}
-    plain = tuning.tune_tree(table, S.MODEL_KEY, "dt", FEATURES, grid=grid, fractions=[1.0])
-    scaled = tuning.tune_tree(table, S.MODEL_KEY, "dt", FEATURES, grid=grid, fractions=[1.0], scale=True)
+    plain = tuning.tune_by_fits(table, S.MODEL_KEY, "dt", FEATURES, grid=grid, fractions=[1.0])
+    scaled = tuning.tune_by_fits(table, S.MODEL_KEY, "dt", FEATURES, grid=grid, fractions=[1.0], scale=True)
     assert plain.test_rmse == pytest.approx(scaled.test_rmse, rel=1e-9)
     assert len(scaled.model.stages) == 3
 
