@@ -607,6 +607,102 @@ add("top_features", "labelled", f"""
         CAST(row_number() OVER (ORDER BY abs(coefficient) DESC, feature) AS INTEGER) AS rank FROM coefs)
     WHERE rank <= 5""", WEIGHTS)
 
+# --- trees over all features: binning, then one level of splits at a time ----------------
+
+
+def grown_tree(source: str, bins: list[int], depth: int) -> str:
+    """CTEs for the tree of each ``grp`` and bin count, grown on the 'fit' rows of ``source``.
+
+    ``source`` has grp, role, rid, y and the features. Cut points: every midpoint where a
+    feature has few values; else those where the running count comes closest to equal
+    shares. ``grow_<L>`` holds the node of every row after L levels, ``best_<L>`` the cuts.
+    """
+    long = " UNION ALL ".join(
+        f"SELECT grp, role, rid, y, {i} AS f, CAST({c} AS DOUBLE) AS v FROM {source}" for i, c in enumerate(S.FEATURES_ALL))
+    ctes = [f"""long_rows AS MATERIALIZED ({long}),
+  value_runs AS MATERIALIZED (SELECT *, sum(n) OVER o AS c, row_number() OVER o AS i, lead(v) OVER o AS nv,
+      sum(n) OVER o + lead(n) OVER o / 2.0e0 AS mid, count(*) OVER (PARTITION BY grp, f) AS d,
+      sum(n) OVER (PARTITION BY grp, f) AS total
+    FROM (SELECT grp, f, v, count(*) AS n FROM long_rows WHERE role = 'fit' GROUP BY grp, f, v)
+    WINDOW o AS (PARTITION BY grp, f ORDER BY v)),
+  bin_counts AS (SELECT unnest({bins}) AS mb),
+  goals AS (SELECT grp, mb, f, k, min(i) AS g FROM value_runs, bin_counts, (SELECT unnest(range(1, {max(bins)})) AS k)
+    WHERE d > mb AND k < mb AND mid > k * (total / CAST(mb AS DOUBLE)) GROUP BY grp, mb, f, k),
+  picks AS (SELECT grp, mb, f, k, k + max(g - k) OVER (PARTITION BY grp, mb, f ORDER BY k) AS i FROM goals),
+  cuts AS MATERIALIZED (
+    SELECT grp, mb, f, i - 1 AS b, (v + nv) / 2.0e0 AS cut FROM value_runs, bin_counts WHERE d <= mb AND nv IS NOT NULL
+    UNION ALL
+    SELECT p.grp, mb, p.f, k - 1, (v + nv) / 2.0e0 FROM picks p JOIN value_runs r
+      ON p.grp = r.grp AND p.f = r.f AND p.i = r.i WHERE nv IS NOT NULL),
+  binned AS MATERIALIZED (SELECT grp, mb, rid, role, y, f, count(*) FILTER (WHERE cut < v) AS bin
+    FROM (SELECT * FROM long_rows, bin_counts) LEFT JOIN cuts USING (grp, mb, f)
+    GROUP BY grp, mb, rid, role, y, f),
+  grow_0 AS MATERIALIZED (SELECT grp, mb, rid, role, y, 1 AS node FROM {source}, bin_counts)"""]
+    for level in range(depth):
+        ctes.append(f"""best_{level} AS MATERIALIZED (SELECT * FROM (
+      SELECT *, row_number() OVER (PARTITION BY grp, mb, node ORDER BY round(gain, 7) DESC, f, bin) AS place FROM (
+        SELECT grp, mb, node, f, bin, sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) - st * st / nt AS gain FROM (
+          SELECT grp, mb, node, f, bin, sum(n) OVER o AS nl, sum(s) OVER o AS sl,
+            sum(n) OVER (PARTITION BY grp, mb, node, f) AS nt, sum(s) OVER (PARTITION BY grp, mb, node, f) AS st
+          FROM (SELECT b.grp, b.mb, node, f, bin, count(*) AS n, sum(b.y) AS s
+                FROM binned b JOIN grow_{level} g ON b.grp = g.grp AND b.mb = g.mb AND b.rid = g.rid
+                WHERE b.role = 'fit' GROUP BY b.grp, b.mb, node, f, bin)
+          WINDOW o AS (PARTITION BY grp, mb, node, f ORDER BY bin)) WHERE nl < nt)
+      WHERE gain > 1e-9) WHERE place = 1),
+  grow_{level + 1} AS MATERIALIZED (SELECT g.grp, g.mb, g.rid, g.role, g.y,
+      CASE WHEN s.f IS NULL THEN g.node ELSE 2 * g.node + CASE WHEN b.bin > s.bin THEN 1 ELSE 0 END END AS node
+    FROM grow_{level} g LEFT JOIN best_{level} s ON g.grp = s.grp AND g.mb = s.mb AND g.node = s.node
+    LEFT JOIN binned b ON b.grp = g.grp AND b.mb = g.mb AND b.rid = g.rid AND b.f = s.f)""")
+    return ",\n  ".join(ctes)
+
+
+def leaf_errors(levels: list[int]) -> str:
+    """``leaf_rows``: y and error of every row under the tree cut off at each listed depth."""
+    parts = [f"SELECT {n} AS depth, g.grp, g.mb, role, y, y - p AS e FROM grow_{n} g JOIN "
+             f"(SELECT grp, mb, node, avg(y) AS p FROM grow_{n} WHERE role = 'fit' GROUP BY grp, mb, node) m "
+             "ON g.grp = m.grp AND g.mb = m.mb AND g.node = m.node" for n in levels]
+    return "leaf_rows AS MATERIALIZED (" + " UNION ALL ".join(parts) + ")"
+
+
+NUMBERED = "numbered AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY STATION, DATE_HOUR) AS rid FROM labelled)"
+INPUTS = ", ".join(S.FEATURES_ALL)
+TREE_ROWS = f"""tree_rows AS MATERIALIZED (
+    SELECT g AS grp, CASE WHEN fold = g THEN 'score' ELSE 'fit' END AS role, rid, TMP_C AS y, {INPUTS}
+      FROM numbered, (SELECT unnest([0, 1, 2]) AS g) WHERE split = 'train'
+    UNION ALL
+    SELECT 3, CASE WHEN split = 'test' THEN 'score' ELSE 'fit' END, rid, TMP_C, {INPUTS} FROM numbered)"""
+add("cv_dt_shallow", "labelled", """
+    SELECT CAST(grid_idx AS INTEGER) AS grid_idx, depth AS maxDepth, mb AS maxBins, round(avg_rmse, 6) AS avg_rmse,
+      round((SELECT sqrt(avg(e * e)) FROM chosen), 6) AS test_rmse,
+      round((SELECT 1.0e0 - sum(e * e) / (var_pop(y) * count(*)) FROM chosen), 6) AS test_r2 FROM tree_cv""",
+    f"{NUMBERED},\n{TREE_ROWS},\n{grown_tree('tree_rows', [32, 64], 3)},\n{leaf_errors([2, 3])}" + """,
+  tree_cv AS MATERIALIZED (SELECT depth, mb, avg(r) AS avg_rmse, row_number() OVER (ORDER BY depth, mb) - 1 AS grid_idx
+    FROM (SELECT depth, mb, grp, sqrt(avg(e * e)) AS r FROM leaf_rows WHERE grp < 3 AND role = 'score' GROUP BY depth, mb, grp)
+    GROUP BY depth, mb),
+  winner AS (SELECT depth, mb FROM tree_cv ORDER BY round(avg_rmse, 9), grid_idx LIMIT 1),
+  chosen AS (SELECT y, e FROM leaf_rows JOIN winner USING (depth, mb) WHERE grp = 3 AND role = 'score')""")
+
+ONE_TREE = f"""tree_rows AS MATERIALIZED (SELECT 3 AS grp, 'fit' AS role, rid, TMP_C AS y, {INPUTS}
+    FROM numbered WHERE split = 'train')"""
+FEATURE_NAMES = " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(S.FEATURES_ALL))
+add("feature_importance_shallow", "labelled", f"""
+    SELECT 'DecisionTree_Tuned' AS model, CASE i {FEATURE_NAMES} END AS feature,
+      round(coalesce(sum(gain), 0) / (SELECT sum(gain) FROM gains), 6) AS importance
+    FROM (SELECT unnest(range(0, {K})) AS i) LEFT JOIN gains ON f = i GROUP BY i""",
+    f"{NUMBERED},\n{ONE_TREE},\n{grown_tree('tree_rows', [64], 3)},\n"
+    "gains AS (SELECT f, gain FROM best_0 UNION ALL SELECT f, gain FROM best_1 UNION ALL SELECT f, gain FROM best_2)")
+
+CURVE_TREE = f"""tree_rows AS MATERIALIZED (SELECT i AS grp, CASE WHEN split = 'train' THEN 'fit' ELSE 'score' END AS role,
+    rid, TMP_C AS y, {INPUTS} FROM numbered JOIN fractions ON split = 'test' OR part <= i)"""
+add("learning_curve_shallow", "labelled", """
+    SELECT 'DecisionTree_Tuned' AS model, fraction, count(*) FILTER (WHERE role = 'fit') AS n_rows,
+      round(sqrt(avg(e * e) FILTER (WHERE role = 'fit')), 6) AS train_rmse,
+      round(sqrt(avg(e * e) FILTER (WHERE role = 'score')), 6) AS test_rmse,
+      round(1.0e0 - sum(e * e) FILTER (WHERE role = 'score')
+        / (var_pop(y) FILTER (WHERE role = 'score') * count(*) FILTER (WHERE role = 'score')), 6) AS test_r2
+    FROM leaf_rows JOIN fractions ON grp = i GROUP BY i, fraction""",
+    f"{FRACTION_CTE},\n{NUMBERED},\n{CURVE_TREE},\n{grown_tree('tree_rows', [32], 2)},\n{leaf_errors([2])}")
+
 # --- sources and sinks ----------------------------------------------------------------
 
 add("src_csv_roundtrip", "obs", "SELECT " + ", ".join(S.RAW_COLUMNS) + " FROM obs")

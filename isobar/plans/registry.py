@@ -533,6 +533,35 @@ def learning_curve_stump(spark, d):
     return curve_rounded(results.learning_curve_table(spark, stump_study(spark, d, "dt").curve_rows))
 
 
+# Few enough levels that no two features cut a node into the same rows.
+SHALLOW = {"maxDepth": [2, 3], "maxBins": [32, 64]}
+
+
+@query
+def cv_dt_shallow(spark, d):
+    study = tuning.tune_by_fits(
+        labelled(spark, d), S.MODEL_KEY, "dt", S.FEATURES_ALL, grid=SHALLOW, fractions=[1.0]
+    )
+    cv = results.cv_table_wide(results.cv_table(spark, study.cv_rows), list(SHALLOW))
+    return cv.select(
+        "grid_idx", F.col("maxDepth").cast("int").alias("maxDepth"), F.col("maxBins").cast("int").alias("maxBins"),
+        r6("avg_rmse").alias("avg_rmse"), r6(F.lit(study.test_rmse)).alias("test_rmse"),
+        r6(F.lit(study.test_r2)).alias("test_r2"),
+    )
+
+
+@query
+def feature_importance_shallow(spark, d):
+    study = single_setting(spark, d, "dt", {"maxDepth": 3, "maxBins": 64}, fractions=[1.0])
+    return rounded(tuning.importance_table(spark, study), "importance")
+
+
+@query
+def learning_curve_shallow(spark, d):
+    study = single_setting(spark, d, "dt", {"maxDepth": 2, "maxBins": 32})
+    return curve_rounded(results.learning_curve_table(spark, study.curve_rows))
+
+
 # --- result tables --------------------------------------------------------------------
 
 def dew_grid(spark: SparkSession, d: str) -> DataFrame:
