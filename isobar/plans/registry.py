@@ -463,8 +463,12 @@ def tree_study(spark: SparkSession, d: str, family: str, **options) -> tuning.Fi
 
 def tuned(spark: SparkSession, d: str, family: str) -> DataFrame:
     study = tree_study(spark, d, family, fractions=[1.0])
-    cv = results.cv_table_wide(results.cv_table(spark, study.cv_rows), list(QUERY_GRIDS[family]))
-    return cv.withColumns({"test_rmse": F.lit(study.test_rmse), "test_r2": F.lit(study.test_r2)})
+    names = list(QUERY_GRIDS[family])
+    cv = results.cv_table_wide(results.cv_table(spark, study.cv_rows), names)
+    return cv.select(
+        "model", "grid_idx", *[F.col(n).cast("int").alias(n) for n in names], r6("avg_rmse").alias("avg_rmse"),
+        r6(F.lit(study.test_rmse)).alias("test_rmse"), r6(F.lit(study.test_r2)).alias("test_r2"),
+    )
 
 
 @query
@@ -492,13 +496,13 @@ def single_setting(spark: SparkSession, d: str, family: str, params: dict, **opt
 @query
 def feature_importance(spark, d):
     study = single_setting(spark, d, "dt", {"maxDepth": 6, "maxBins": 64}, fractions=[1.0])
-    return tuning.importance_table(spark, study).orderBy(F.desc("importance"))
+    return rounded(tuning.importance_table(spark, study), "importance").orderBy(F.desc("importance"))
 
 
 @query
 def learning_curve_tree(spark, d):
     study = single_setting(spark, d, "dt", {"maxDepth": 5, "maxBins": 32})
-    return results.learning_curve_table(spark, study.curve_rows)
+    return curve_rounded(results.learning_curve_table(spark, study.curve_rows))
 
 
 # --- tuning of trees that SQL can follow: one split of the hour --------------------------
