@@ -104,12 +104,11 @@ def solve(m: Moments, features: Sequence[str], shift: Mapping[str, float], reg:
 
 def squared_error(fit: LinearFit, m: Moments, shift: Mapping[str, float], label: str = S.LABEL) -> float:
     """Sum of squared errors of ``fit`` on the rows behind ``m``."""
-    k = len(fit.features)
     w = np.append(-fit.coefficients, 1.0)
     origin = np.array([shift.get(c, 0.0) for c in fit.features])
     # Mean error first, spread around it second: no large terms cancel.
     bias = w @ m.means + shift.get(label, 0.0) - fit.coefficients @ origin - fit.intercept
-    return float(m.n * (w @ m.covariance @ w + bias * bias)) if k else float("nan")
+    return float(m.n * (w @ m.covariance @ w + bias * bias))
 
 
 def rmse(fit: LinearFit, m: Moments, shift: Mapping[str, float]) -> float:

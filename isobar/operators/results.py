@@ -79,13 +79,12 @@ def union_curves(curves: Mapping[str, DataFrame]) -> DataFrame:
 
 def metrics_record(df: DataFrame, model: str, best: Mapping) -> DataFrame:
     """(model_name, test_rmse, test_r2, best_hyperparameters as JSON text) from (rmse, r2)."""
-    params = F.create_map(*[x for k, v in best.items() for x in (F.lit(k), F.lit(str(v)))]) if best \
-        else F.from_json(F.lit("{}"), "map<string,string>")
+    params = F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in best.items()])) if best else F.lit("{}")
     return df.select(
         F.lit(model).alias("model_name"),
         F.col("rmse").alias("test_rmse"),
         F.col("r2").alias("test_r2"),
-        F.to_json(params).alias("best_hyperparameters"),
+        params.alias("best_hyperparameters"),
     )
 
 

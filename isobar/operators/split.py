@@ -14,8 +14,19 @@ from pyspark.sql import functions as F
 from isobar.functions.hashing import bucket, row_hash
 
 
+BUCKETS = 1000
+
+
+def _limit(fraction: float) -> int:
+    """Number of buckets in a fraction, which must be a multiple of 1/1000."""
+    buckets = round(fraction * BUCKETS)
+    if abs(buckets - fraction * BUCKETS) > 1e-6:
+        raise ValueError(f"fraction {fraction} is not a multiple of {1 / BUCKETS}")
+    return buckets
+
+
 def split_label(keys: Sequence[str], train: float = 0.7, salt: str = "split") -> Column:
-    return F.when(bucket(keys, salt) < round(train * 1000), F.lit("train")).otherwise(F.lit("test"))
+    return F.when(bucket(keys, salt, BUCKETS) < _limit(train), F.lit("train")).otherwise(F.lit("test"))
 
 
 def train_test_split(df: DataFrame, keys: Sequence[str], train: float = 0.7) -> DataFrame:
@@ -31,7 +42,7 @@ def kfold_assign(df: DataFrame, keys: Sequence[str], folds: int = 3) -> DataFram
 
 
 def in_sample(keys: Sequence[str], fraction: float, salt: str = "sample") -> Column:
-    return bucket(keys, salt) < round(fraction * 1000)
+    return bucket(keys, salt, BUCKETS) < _limit(fraction)
 
 
 def sample_fraction(df: DataFrame, keys: Sequence[str], fraction: float, salt: str = "sample") -> DataFrame:
@@ -41,9 +52,9 @@ def sample_fraction(df: DataFrame, keys: Sequence[str], fraction: float, salt: s
 
 def fraction_index(keys: Sequence[str], fractions: Sequence[float], salt: str = "sample") -> Column:
     """Index of the smallest fraction whose sample holds the row; NULL if none does."""
-    b = bucket(keys, salt)
+    b = bucket(keys, salt, BUCKETS)
     return F.coalesce(*[
-        F.when(b < round(f * 1000), F.lit(i)) for i, f in enumerate(sorted(fractions))
+        F.when(b < _limit(f), F.lit(i)) for i, f in enumerate(sorted(fractions))
     ])
 
 
@@ -76,7 +87,9 @@ def capped_sample(
     )
     # ``cut`` has one row per group. Groups are the handful of compared models, and a
     # shuffle on the group would gather each model in one task.
-    near = distinct.join(F.broadcast(cut), by).filter(F.col("_range") <= F.col("_last"))
+    named = cut.withColumnsRenamed({c: f"_group_{i}" for i, c in enumerate(by)})
+    same = [F.col(c).eqNullSafe(F.col(f"_group_{i}")) for i, c in enumerate(by)]
+    near = distinct.join(F.broadcast(named), [*same, F.col("_range") <= F.col("_last")])
     order = Window.partitionBy(*by).orderBy("_hash", *cols).rowsBetween(Window.unboundedPreceding, -1)
     kept = (
         near.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0)))

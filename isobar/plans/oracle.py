@@ -386,7 +386,7 @@ add("prediction_metrics", "labelled", f"""
     FROM labelled, {LINE} GROUP BY split HAVING count(*) >= 10""")
 add("metrics_json_roundtrip", "labelled", f"""
     SELECT 'ols' AS model_name, {r6(score('TMP_C', P)[0])} AS test_rmse, {r6(score('TMP_C', P)[1])} AS test_r2,
-      '{{"regParam":"0.0"}}' AS best_hyperparameters
+      '{{"regParam":0.0}}' AS best_hyperparameters
     FROM labelled, {LINE} WHERE split = 'test'""")
 ORACLE["capped_sample_lineitem"] = f"""
     SELECT l_returnflag, l_orderkey, l_linenumber, l_quantity FROM (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -9,9 +10,13 @@ from pyspark.sql import DataFrame
 from isobar import schema as S
 from isobar.operators import clean, features, split
 
+log = logging.getLogger(__name__)
+
 
 def parsed_observations(raw: DataFrame, keep: Sequence[str] = (), precip_index: int = 0) -> DataFrame:
-    existing, _ = clean.select_existing(raw, [*keep, *S.RAW_COLUMNS], fill_missing=True)
+    existing, missing = clean.select_existing(raw, [*keep, *S.RAW_COLUMNS], fill_missing=True)
+    if missing:
+        log.warning("columns missing from the input, read as NULL: %s", ", ".join(missing))
     return clean.parse_packed(clean.filter_required(existing), precip_index)
 
 

@@ -34,7 +34,7 @@ def test_metrics_come_back(trained):
     store, linear, tree = trained
     rows = {r["model_name"]: r for r in store.read(artifacts.METRICS).collect()}
     assert rows[LR]["test_rmse"] == pytest.approx(linear.test_rmse, rel=1e-12)
-    assert json.loads(rows[DT]["best_hyperparameters"]) == {k: str(v) for k, v in tree.best.items()}
+    assert json.loads(rows[DT]["best_hyperparameters"]) == tree.best
 
 
 def test_kinds_are_not_mixed_up(trained):

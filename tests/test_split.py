@@ -64,3 +64,14 @@ def test_capped_sample_without_cap_is_the_sample(skewed):
     got = split.capped_sample(skewed, ["k", "v"], 0.3, 1_000_000, ["model"])
     want = split.sample_fraction(skewed, ["k", "v"], 0.3, "plot")
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+
+
+def test_rows_without_a_group_are_kept(spark):
+    df = spark.createDataFrame([(None, i) for i in range(50)] + [("a", i) for i in range(50)], "model string, v int")
+    got = Counter(r["model"] for r in split.capped_sample(df, ["v"], 1.0, 20, ["model"]).collect())
+    assert got == {None: 20, "a": 20}
+
+
+def test_fractions_finer_than_a_bucket_are_refused(table):
+    with pytest.raises(ValueError, match="multiple"):
+        split.sample_fraction(table, S.MODEL_KEY, 0.0005)
