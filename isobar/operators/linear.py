@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from isobar import schema as S
 from isobar.operators import split
 from isobar.operators.moments import Moments, from_row, moments_by, total
+from isobar.operators.results import small_table
 from isobar.operators.tuning import GRIDS, best_setting, expand_grid
 
 LINEAR_GRID = GRIDS["lr"]
@@ -207,4 +208,4 @@ def coefficient_rows(fit: LinearFit, name: str) -> list[tuple]:
 
 
 def coefficient_table(spark: SparkSession, fit: LinearFit, name: str) -> DataFrame:
-    return spark.createDataFrame(coefficient_rows(fit, name), S.COEFFICIENT_SCHEMA)
+    return small_table(spark, coefficient_rows(fit, name), S.COEFFICIENT_SCHEMA)

@@ -16,9 +16,15 @@ CURVE_SYNONYMS = {
 }
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema) -> DataFrame:
+    """A handful of driver rows in one partition; by default they would be spread over as
+    many tasks as the cluster has cores."""
+    return spark.createDataFrame(list(rows), schema).coalesce(1)
+
+
 def cv_table(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
     """(model, grid_idx, params, avg_rmse), one row per tried setting."""
-    return spark.createDataFrame(list(rows), S.CV_SCHEMA)
+    return small_table(spark, rows, S.CV_SCHEMA)
 
 
 def cv_table_wide(cv: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -29,7 +35,7 @@ def cv_table_wide(cv: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def learning_curve_table(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
-    return spark.createDataFrame(list(rows), S.LEARNING_CURVE_SCHEMA)
+    return small_table(spark, rows, S.LEARNING_CURVE_SCHEMA)
 
 
 def best_params(cv: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ from isobar import schema as S
 from isobar.operators import features as feat
 from isobar.operators import split
 from isobar.operators.metrics import r2_of, rmse_of
+from isobar.operators.results import small_table
 
 SEED = 42
 FAMILIES = {
@@ -128,7 +129,8 @@ def tune_by_fits(
     ``linear.tune_linear``, which needs one pass for all of it. Trees do not change when features are scaled, so ``scale`` is off unless a saved
     pipeline has to contain the scaler. Folds and curve samples are hash filters on the
     one persisted table; nothing is reshuffled or copied per fold. ``options`` go to every
-    estimator, e.g. ``maxMemoryInMB`` or ``cacheNodeIds`` for deep trees on large data.
+    estimator, e.g. ``maxMemoryInMB`` or ``cacheNodeIds`` for deep trees on large data. Each
+    of the ``parallelism`` concurrent folds keeps a binned copy of its rows inside MLlib.
     """
     name, options = name or MODEL_NAMES[family], dict(options or {})
     settings = expand_grid(grid or GRIDS[family])
@@ -190,4 +192,4 @@ def importance_rows(study: FitStudy) -> list[tuple]:
 
 
 def importance_table(spark: SparkSession, study: FitStudy) -> DataFrame:
-    return spark.createDataFrame(importance_rows(study), S.IMPORTANCE_SCHEMA)
+    return small_table(spark, importance_rows(study), S.IMPORTANCE_SCHEMA)

@@ -270,7 +270,7 @@ def ols_simple(spark, d):
     fit = linear.solve(m, ["DEW_C"], S.TYPICAL)
     rows = [(int(m.n), float(fit.coefficients[0]), fit.intercept, linear.rmse(fit, m, S.TYPICAL),
              linear.r2(fit, m, S.TYPICAL))]
-    df = spark.createDataFrame(rows, "n_rows bigint, slope double, intercept double, rmse double, r2 double")
+    df = results.small_table(spark, rows, "n_rows bigint, slope double, intercept double, rmse double, r2 double")
     return rounded(df, "slope", "intercept", "rmse", "r2")
 
 
@@ -279,8 +279,7 @@ def ols_lineitem(spark, d):
     columns = ["l_quantity", "l_extendedprice"]
     [row] = moments.moments_by(lineitem(spark, d, *columns), columns, [], {"l_extendedprice": 50000.0}).collect()
     fit = linear.solve(moments.from_row(row, 2), columns[:1], {"l_extendedprice": 50000.0}, label="l_extendedprice")
-    df = spark.createDataFrame(
-        [(row["n"], float(fit.coefficients[0]), fit.intercept)], "n_rows bigint, slope double, intercept double"
+    df = results.small_table(spark, [(row["n"], float(fit.coefficients[0]), fit.intercept)], "n_rows bigint, slope double, intercept double"
     )
     return df.select("n_rows", r6("slope").alias("slope"), r6("intercept", 4).alias("intercept"))
 
@@ -293,7 +292,7 @@ def ridge_simple(spark, d):
         fit = linear.solve(m, ["DEW_C"], S.TYPICAL, reg)
         rows.append((reg, float(fit.coefficients[0]), fit.intercept))
     return rounded(
-        spark.createDataFrame(rows, "reg_param double, slope double, intercept double"), "slope", "intercept"
+        results.small_table(spark, rows, "reg_param double, slope double, intercept double"), "slope", "intercept"
     )
 
 
@@ -307,7 +306,7 @@ def cv_ols(spark, d):
         fit = linear.solve(rest, ["DEW_C"], S.TYPICAL)
         rows.append((fold, int(rest.n), float(fit.coefficients[0]), fit.intercept,
                      linear.rmse(fit, held, S.TYPICAL)))
-    df = spark.createDataFrame(rows, "fold int, n_train bigint, slope double, intercept double, rmse double")
+    df = results.small_table(spark, rows, "fold int, n_train bigint, slope double, intercept double, rmse double")
     return rounded(df, "slope", "intercept", "rmse")
 
 
@@ -345,7 +344,7 @@ def cv_lr(spark, d):
             table, S.MODEL_KEY, feats, name=name, grid={"regParam": [0.0], "elasticNetParam": [0.0]}
         )
         rows.append((name, study.cv_rows[0][3], study.test_rmse, study.test_r2))
-    df = spark.createDataFrame(rows, "features string, avg_rmse double, test_rmse double, test_r2 double")
+    df = results.small_table(spark, rows, "features string, avg_rmse double, test_rmse double, test_r2 double")
     return rounded(df, "avg_rmse", "test_rmse", "test_r2")
 
 

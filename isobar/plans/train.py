@@ -85,15 +85,15 @@ def _train_prepared(ready, store, family, name, keys, features, label, grid, run
         study = tuning.tune_by_fits(ready, keys, family, features, label, grid, scale=True, options=options)
         model = study.model
         rows = linear.weight_rows(features, model.stages[-1].coefficients, model.stages[-1].intercept, name)
-        store.write(spark.createDataFrame(rows, S.COEFFICIENT_SCHEMA), name, artifacts.COEFFICIENTS, run_id)
+        store.write(results.small_table(spark, rows, S.COEFFICIENT_SCHEMA), name, artifacts.COEFFICIENTS, run_id)
     else:
         study = tuning.tune_by_fits(ready, keys, family, features, label, grid, options=options)
         model = study.model
         store.write(tuning.importance_table(spark, study), name, artifacts.IMPORTANCE, run_id)
     store.write(results.cv_table(spark, study.cv_rows), name, artifacts.CV, run_id)
     store.write(results.learning_curve_table(spark, study.curve_rows), name, artifacts.CURVE, run_id)
-    record = spark.createDataFrame(
-        [(study.test_rmse, study.test_r2)], "rmse double, r2 double"
+    record = results.small_table(
+        spark, [(study.test_rmse, study.test_r2)], "rmse double, r2 double"
     )
     store.write(results.metrics_record(record, name, study.best), name, artifacts.METRICS, run_id)
     test = ready.filter(F.col("split") == "test").withColumn("label", F.col(label).cast("double"))
