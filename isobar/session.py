@@ -26,20 +26,20 @@ def local_session(cpus: int | str = 8, app: str = "isobar") -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
+    """Folder every executor can reach: the session's ``spark.checkpoint.dir``.
 
-    Only a local master, where driver and executors share a disk, may fall back to
-    a temporary folder, and then it becomes the session's setting.
+    Where that is unset the context's checkpoint folder counts. A plain local master, whose
+    executors are threads of the driver, may get a folder of its own; on any other master
+    an unset folder is an error.
     """
-    conf = spark.sparkContext.getConf()
-    base = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    base = tempfile.mkdtemp(prefix="isobar-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="isobar-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

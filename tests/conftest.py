@@ -20,7 +20,7 @@ def spark(tmp_path_factory):
     session = local_session(8, "isobar-tests")
     session.sparkContext.setLogLevel("ERROR")
     if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 
