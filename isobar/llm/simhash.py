@@ -45,7 +45,7 @@ SEED = 42
 RADIUS = 4
 SHINGLE = 4
 BLOCK = 4096
-SAMPLE = 4000  # fingerprints whose bits are compared to choose partitions
+SAMPLE = 2000  # fingerprints whose bits are compared to choose partitions
 VOTES = 1 << 16  # shingles whose bits are unpacked at once
 SMALL = 12  # buckets up to this size are compared pair by pair
 # Cost of one dealt row against one compared pair.
@@ -143,7 +143,7 @@ def match_rates(bits: np.ndarray, group: list[int], most: int) -> list[float]:
     n = len(bits)
     if n < 2:
         return floor.tolist()
-    part = bits[:, group].astype(np.int32)
+    part = bits[:, group].astype(np.float32)
     ones = part.sum(1)
     found = np.zeros(most + 1)
     for at in range(0, n, 512):
