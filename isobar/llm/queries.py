@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import simhash
+from isobar.llm import language, pieces, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,3 +28,16 @@ def documents(spark: SparkSession, d: str) -> DataFrame:
 def op4_simhash_components(spark, d):
     found = simhash.near_duplicate_components(documents(spark, d))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op8_sentencepiece(spark, d):
+    return pieces.piece_digests(documents(spark, d), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op10_language_rank(spark, d):
+    docs = documents(spark, d)
+    out = language.held_out()
+    profiles = language.learn(docs.filter(~out))
+    return language.predict(docs, profiles).select("doc_id", out.alias("held_out"), "lang_pred", "score")
