@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import language, pieces, simhash
+from isobar.llm import language, ordinal, pieces, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+ACCEPT = 0.5
 
 
 def query(fn: Query) -> Query:
@@ -41,3 +42,22 @@ def op10_language_rank(spark, d):
     out = language.held_out()
     profiles = language.learn(docs.filter(~out))
     return language.predict(docs, profiles).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op1_quality_ordinal(spark, d):
+    """Expected grade and P(quality >= 1) of every document; ``accepted`` is what the pipeline keeps."""
+    docs = documents(spark, d)
+    model = ordinal.learn(docs, spark.read.parquet(f"{d}/labels.parquet"))
+    return ordinal.score(docs, model).withColumn("accepted", F.col("tail_probability") >= ACCEPT)
+
+
+@query
+def op7_toxicity_fm(spark, d):
+    docs = documents(spark, d)
+    out = language.held_out()
+    labels = spark.read.parquet(f"{d}/labels.parquet").filter(~out)
+    model = toxicity.learn(docs, labels)
+    return toxicity.score(docs, model).select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
