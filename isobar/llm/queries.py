@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import language, ordinal, pieces, simhash, toxicity
+from isobar.llm import language, ordinal, packing, pieces, simhash, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,3 +61,30 @@ def op7_toxicity_fm(spark, d):
     return toxicity.score(docs, model).select(
         "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@query
+def op3_grouping_packing(spark, d):
+    return packing.packed_documents(documents(spark, d), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op6_exact_topk(spark, d):
+    vectors = spark.read.parquet(f"{d}/embeddings.parquet")
+    return topk.exact_top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+ORACLE["op6_exact_topk"] = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
