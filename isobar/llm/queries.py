@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import language, ordinal, packing, pieces, simhash, topk, toxicity
+from isobar.llm import language, ordinal, packing, pieces, pii, simhash, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,3 +88,9 @@ WITH usable AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@query
+def op5_crf_pii(spark, d):
+    docs = documents(spark, d)
+    return pii.find(docs, pii.learn(docs))
