@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import language, ordinal, packing, pieces, pii, simhash, topk, toxicity
+from isobar.llm import language, ordinal, packing, pieces, pii, secrets, simhash, syncmers, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -94,3 +94,13 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 def op5_crf_pii(spark, d):
     docs = documents(spark, d)
     return pii.find(docs, pii.learn(docs))
+
+
+@query
+def op2_syncmer_fingerprints(spark, d):
+    return syncmers.edited_fingerprints(documents(spark, d))
+
+
+@query
+def op9_entropy_secrets(spark, d):
+    return secrets.find(documents(spark, d))
