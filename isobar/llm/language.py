@@ -159,3 +159,15 @@ def predict(
     columns = list(dict.fromkeys([*keep, text]))
     schema = ", ".join([*(f"`{c}` {fields[c]}" for c in keep), "lang_pred string, score double"])
     return map_slices(docs.select(*columns), text, run, schema)
+
+
+def accept(docs: DataFrame, profiles: Profiles, least: float, text: str = "text", size: int = SIZE) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is known with a score of ``least`` or more."""
+
+    def run(part: pa.RecordBatch) -> pa.RecordBatch:
+        ranker = Ranker(profiles, size)
+        codes, begin = letters(part.column(text))
+        found = [ranker.predict(codes[a:b]) for a, b in zip(begin[:-1], begin[1:])]
+        return part.filter(pa.array([name != UNKNOWN and score >= least for name, score in found], pa.bool_()))
+
+    return map_slices(docs, text, run, ", ".join(f"`{c}` {t}" for c, t in docs.dtypes))

@@ -36,6 +36,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from isobar.llm.batches import map_slices, offsets_of, words
 from isobar.session import scratch_path
@@ -357,16 +358,19 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicate_components(
     docs: DataFrame, text: str = "text", id_column: str = "doc_id", shingle: int = SHINGLE, radius: int = RADIUS,
-    block: int = BLOCK, sample: int = SAMPLE,
+    block: int = BLOCK, sample: int = SAMPLE, keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(id, fp bigint, component_id): the smallest id that links reach from a row.
+    """(id, kept columns, fp bigint, root bigint, component_id) for every row.
+
+    component_id is the smallest id that links reach from a row; root is one of the component's
+    fingerprints and names it even where all ids are null.
 
     ``sample`` fingerprints, the first in a hashed order, only steer the choice of partitions;
     every fingerprint is compared.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "fingerprints")
-    fingerprints(docs, text, id_column, shingle).write.parquet(path)
+    fingerprints(docs, text, id_column, shingle, keep).write.parquet(path)
     rows = spark.read.parquet(path)
     path = scratch_path(spark, "nodes")
     rows.groupBy("fp").agg(F.min(id_column).alias("low")).write.parquet(path)
@@ -376,10 +380,31 @@ def near_duplicate_components(
     plan = choose_partitions(seen, max(nodes.count(), 1), radius)
     edges = links(nodes.select("fp"), plan, radius, block)
     if edges.isEmpty():
-        found = nodes.select("fp", F.col("low").alias("component_id"))
+        found = nodes.select("fp", F.col("fp").alias("root"), F.col("low").alias("component_id"))
     else:
         roots = components(edges)
         named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
         lows = named.groupBy("root").agg(F.min("low").alias("component_id"))
-        found = named.join(lows, "root").select("fp", "component_id")
-    return rows.join(found, "fp").select(id_column, "fp", "component_id")
+        found = named.join(lows, "root").select("fp", "root", "component_id")
+    return rows.join(found, "fp").select(id_column, *keep, "fp", "root", "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, text: str = "text", id_column: str = "doc_id", shingle: int = SHINGLE, radius: int = RADIUS
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that are first of their component: smallest id, nulls last.
+
+    Of rows that are equal in every column one stays.
+    """
+    names = docs.columns
+    key, row = "_row_key", "_row_number"
+    while key in names or row in names:
+        key, row = "_" + key, "_" + row
+    keyed = docs.withColumn(key, F.xxhash64(*names))
+    found = near_duplicate_components(keyed.select(id_column, text, key), text, id_column, shingle, radius, keep=(key,))
+    order = F.struct(F.col(id_column).isNull().alias("a"), F.col(id_column).alias("b"), F.col(key).alias("c"))
+    first = found.groupBy("root").agg(F.min(order).alias("first"))
+    stays = first.select(F.col("first")["c"].alias(key), F.col("first")["b"].alias(f"{key}_id"))
+    joined = keyed.join(stays, key).filter(F.col(id_column).eqNullSafe(F.col(f"{key}_id")))
+    number = F.row_number().over(Window.partitionBy(key).orderBy(F.col(id_column)))
+    return joined.withColumn(row, number).filter(F.col(row) == 1).select(*names)
