@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -80,7 +80,13 @@ def gather(starts: np.ndarray, counts: np.ndarray, chosen: np.ndarray) -> tuple[
     return shift + np.arange(total), sizes
 
 
-def column_or_default(names: Sequence[str], name: str) -> str:
-    if name not in names:
-        raise ValueError(f"no column {name!r} among {list(names)}")
-    return name
+class Kinds(dict):
+    """Translation of digits to 9, capitals to A and other letters to a."""
+
+    def __missing__(self, point: int) -> str:
+        c = chr(point)
+        self[point] = kind = "9" if c.isdigit() else ("A" if c.isupper() else "a") if c.isalpha() else c
+        return kind
+
+
+KIND = Kinds()

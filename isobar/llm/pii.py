@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isobar.llm.batches import distinct, gather, map_slices, offsets_of, words
+from isobar.llm.batches import KIND, distinct, gather, map_slices, offsets_of, words
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # start, end, number of the kind
@@ -107,18 +107,6 @@ def written(spans: list[Span]) -> str:
 
 # --- features -------------------------------------------------------------------------
 
-class Kinds(dict):
-    """Translation of digits to 9, capitals to A and other letters to a."""
-
-    def __missing__(self, point: int) -> str:
-        c = chr(point)
-        self[point] = kind = "9" if c.isdigit() else ("A" if c.isupper() else "a") if c.isalpha() else c
-        return kind
-
-
-KIND = Kinds()
-
-
 def shape(word: str) -> str:
     kinds = word[:48].translate(KIND)
     return "".join(k for i, k in enumerate(kinds) if not i or k != kinds[i - 1])
