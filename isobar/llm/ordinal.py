@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isobar.llm.batches import distinct, gather, map_slices, offsets_of, words
+from isobar.llm.batches import KIND, distinct, gather, map_slices, offsets_of, words
+from isobar.llm.samples import labelled_sample
 
 WIDTH = 1 << 12
 ROWS = 2500
@@ -38,10 +39,8 @@ SIGNS = re.compile(r"[\W_]+$")
 
 
 def form(word: str) -> str:
-    """Capitals as A, other letters as a, digits as 9; runs collapsed to one sign."""
-    kinds = [
-        "9" if c.isdigit() else ("A" if c.isupper() else "a") if c.isalpha() else c for c in word[:64]
-    ]
+    """Kinds of the signs, runs collapsed to one."""
+    kinds = word[:64].translate(KIND)
     return "".join(k for i, k in enumerate(kinds) if not i or k != kinds[i - 1])
 
 
@@ -142,19 +141,13 @@ def learn(
 ) -> CumulativeLink:
     """Fit on rated documents. Sparse features of the bounded sample reach the driver."""
     rated = ratings.filter(F.col(grade).isNotNull() & F.col(id_column).isNotNull())
-    rated = rated.select(id_column, F.col(grade).cast("int").alias("grade"))
-    share = {r["grade"]: rows / r["count"] for r in rated.groupBy("grade").count().collect()}
-    if not share:
-        return CumulativeLink(np.zeros(width), np.empty(0))
-    rate = F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(v))])[F.col("grade")]
-    draw = F.pmod(F.xxhash64(id_column), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    chosen = docs.select(id_column, text).join(rated.filter(draw < rate), id_column).select("grade", text)
+    chosen = labelled_sample(docs, rated.select(id_column, F.col(grade).cast("int").alias("label")), rows, text, id_column)
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
         at, values, begin = features(part.column(text), width)
         cuts = pa.array(begin, pa.int32())
         return pa.RecordBatch.from_arrays(
-            [part.column("grade"), pa.ListArray.from_arrays(cuts, pa.array(at.astype(np.int32))),
+            [part.column("label"), pa.ListArray.from_arrays(cuts, pa.array(at.astype(np.int32))),
              pa.ListArray.from_arrays(cuts, pa.array(values.astype(np.float32)))],
             ["grade", "at", "share"],
         )
