@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isobar.llm.batches import distinct, gather, map_slices, offsets_of, words
+from isobar.llm.samples import labelled_sample
 
 BITS = 18
 ROWS = 4000
@@ -165,12 +166,7 @@ def learn(
     """Fit on labelled documents. Hashed terms of the bounded sample reach the driver."""
     known = labels.filter(F.col(label).isNotNull() & F.col(id_column).isNotNull())
     known = known.select(id_column, (F.col(label) > 0).cast("int").alias("label"))
-    share = {r["label"]: min(1.0, rows / r["count"]) for r in known.groupBy("label").count().collect()}
-    if not share:
-        return fit(np.empty(0, np.int64), np.zeros(1, np.int64), np.empty(0), np.empty(0), bits, most)
-    rate = F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(v))])[F.col("label")]
-    draw = F.pmod(F.xxhash64(id_column), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    chosen = docs.select(id_column, text).join(known.filter(draw < rate), id_column).select("label", text)
+    chosen = labelled_sample(docs, known, rows, text, id_column)
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
         at, begin = terms(part.column(text), bits)
