@@ -30,6 +30,7 @@ SIZE = 300
 PER_LANGUAGE = 3000
 UNKNOWN = "und"
 SHIFT = 21  # a code point has at most 21 bits
+BLANK = 32
 Profiles = Mapping[str, np.ndarray]
 
 
@@ -39,7 +40,7 @@ def held_out(id_column: str = "doc_id", folds: int = 5) -> Column:
 
 
 def letters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Lower-case code points with one blank (0) for every run of others, and where texts begin.
+    """Lower-case code points with one blank for every run of others, and where texts begin.
 
     Every text begins and ends with a blank.
     """
@@ -50,10 +51,10 @@ def letters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     present = np.flatnonzero(np.bincount(points)) if len(points) else np.empty(0, np.int64)
     is_letter = np.zeros(int(present[-1]) + 1 if len(present) else 1, bool)
     is_letter[[c for c in present.tolist() if chr(c).isalpha()]] = True
-    points[~is_letter[points]] = 0
+    points[~is_letter[points]] = BLANK
     begin = offsets_of(counts)
     keep = np.ones(len(points), bool)
-    keep[1:] = (points[1:] != 0) | (points[:-1] != 0)
+    keep[1:] = (points[1:] != BLANK) | (points[:-1] != BLANK)
     keep[begin[:-1]] = True
     kept = np.concatenate([[0], np.cumsum(keep)])
     return points[keep], kept[begin]
@@ -61,10 +62,10 @@ def letters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def grams(run: np.ndarray) -> np.ndarray:
     """Codes of all 1- to 3-grams of one text's letters; none has a blank inside or is blank."""
-    one = run[run != 0]
+    letter = run != BLANK
     two = run[:-1] << SHIFT | run[1:]
     three = two[:-1] << SHIFT | run[2:]
-    return np.concatenate([one, two[(run[:-1] | run[1:]) != 0], three[run[1:-1] != 0]])
+    return np.concatenate([run[letter], two[letter[:-1] | letter[1:]], three[letter[1:-1]]])
 
 
 def top(codes: np.ndarray, size: int) -> np.ndarray:

@@ -46,8 +46,8 @@ def form(word: str) -> str:
 
 def slots(word: str, width: int) -> list[int]:
     """Hashed features of one word."""
-    tail = SIGNS.search(word)
-    core = word[:tail.start()] if tail else word
+    tail = SIGNS.search(word[-8:])  # a longer run of signs says no more
+    core = word[:len(word) - len(tail.group())] if tail else word
     names = (
         "f" + form(word), "s" + (tail.group()[-4:] if tail else ""), "n" + str(min(len(core), 24) // 2),
         "e" + core[-3:].lower(),
@@ -95,6 +95,13 @@ class CumulativeLink:
         return self.first + self.tails(eta).sum(1)
 
 
+def tail_of(model: CumulativeLink, eta: np.ndarray, cut: int) -> np.ndarray:
+    """P(grade >= cut); certain where there is only one grade."""
+    if 1 <= cut <= len(model.thresholds):
+        return model.tails(eta)[:, cut - 1]
+    return np.full(len(eta), float(cut < 1 or (not len(model.thresholds) and model.first >= cut)))
+
+
 def fit(
     at: np.ndarray, values: np.ndarray, begin: np.ndarray, grades: np.ndarray, width: int = WIDTH, steps: int = STEPS,
     l2: float = L2,
@@ -168,10 +175,7 @@ def score(
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
         eta = model.eta(*features(part.column(text), width))
-        if len(model.thresholds) >= cut:
-            tail = model.tails(eta)[:, cut - 1]
-        else:
-            tail = np.full(len(eta), float(model.first >= cut))
+        tail = tail_of(model, eta, cut)
         return pa.RecordBatch.from_arrays(
             [*(part.column(c) for c in keep), pa.array(model.expected(eta)), pa.array(tail)],
             [*keep, "expected_grade", "tail_probability"],
@@ -181,3 +185,13 @@ def score(
     columns = list(dict.fromkeys([*keep, text]))
     schema = ", ".join([*(f"`{c}` {fields[c]}" for c in keep), "expected_grade double, tail_probability double"])
     return map_slices(docs.select(*columns), text, run, schema)
+
+
+def accept(docs: DataFrame, model: CumulativeLink, least: float, text: str = "text", cut: int = 1) -> DataFrame:
+    """The rows of ``docs``, all columns, with P(grade >= cut) of ``least`` or more."""
+    width = len(model.weights)
+
+    def run(part: pa.RecordBatch) -> pa.RecordBatch:
+        return part.filter(pa.array(tail_of(model, model.eta(*features(part.column(text), width)), cut) >= least))
+
+    return map_slices(docs, text, run, ", ".join(f"`{c}` {t}" for c, t in docs.dtypes))
