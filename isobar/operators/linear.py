@@ -1,37 +1,40 @@
-"""Linear regression with an elastic-net penalty from moments.
+"""Linear regression with an elastic-net penalty.
 
-Penalties follow the convention of MLlib's normal-equation solver: features and label are
-standardised with population deviations, and ``regParam`` is divided by that of the label.
+Settings without an absolute-value penalty are solved from moments: one pass over the rows serves
+all folds, settings and sample fractions. Settings with one are fitted by MLlib's normal-equation
+solver on the same folds. Both follow one convention: features and label are standardised with
+population deviations, and ``regParam`` is divided by that of the label.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar import schema as S
+from isobar.operators import features as feat
 from isobar.operators import split
-from isobar.operators.moments import Moments, from_row, moments_by, total
+from isobar.operators.moments import Moments, column_means, from_row, moments_by, total
 from isobar.operators.results import small_table
 from isobar.operators.tuning import GRIDS, best_setting, expand_grid
 
 LINEAR_GRID = GRIDS["lr"]
-# Cross products grow with the square of the width; beyond this, fit by MLlib instead.
-MAX_WIDTH = 60
 # The default learning-curve fractions.
 FRACTIONS = [0.1, 0.25, 0.5, 0.75, 1.0]
 
-# A column whose variance is below this share of its mean square is constant.
-CONSTANT = 1e-12
-# Coordinate descent stops when no standardised weight moves by more than this.
-SETTLED = 1e-9
-MAX_SWEEPS = 10_000
 # Directions of the correlation matrix below this are exact linear combinations.
 COLLINEAR = 1e-9
+# MLlib's stopping rule for penalised fits, tight enough for six digits of the scores.
+TOLERANCE, MAX_ITERATIONS = 1e-13, 10_000
 
 
 @dataclass(frozen=True)
@@ -40,6 +43,7 @@ class LinearFit:
     coefficients: np.ndarray
     intercept: float
     deviations: np.ndarray = field(repr=False)
+    label: str = S.LABEL
 
     def prediction(self) -> Column:
         """The fitted formula as a native column expression."""
@@ -49,71 +53,72 @@ class LinearFit:
     def transform(self, df: DataFrame) -> DataFrame:
         return df.withColumn("prediction", self.prediction())
 
+    def pipeline(self) -> PipelineModel:
+        """The formula, digit for digit, as a saveable model that adds ``prediction``."""
+        terms = [f"{float(w)!r}D * `{c}`" for c, w in zip(self.features, self.coefficients)]
+        formula = " + ".join([*terms, f"{float(self.intercept)!r}D"])
+        return PipelineModel([SQLTransformer(statement=f"SELECT *, {formula} AS prediction FROM __THIS__")])
 
-def _penalised(corr: np.ndarray, target: np.ndarray, l1: float, l2: float) -> np.ndarray:
-    """Minimise w'Cw/2 - t'w + l1|w| + l2 w'w/2 for a correlation matrix C."""
-    if l1 == 0.0:
-        system = corr + l2 * np.eye(len(target))
-        return np.linalg.pinv(system, rcond=COLLINEAR, hermitian=True) @ target
-    # Coordinate descent finds which weights are zero; those left solve a linear system,
-    # which is exact where nearly equal columns would make descent crawl.
-    w, pull = np.zeros(len(target)), target.copy()
-    for sweep in range(MAX_SWEEPS):
-        moved = 0.0
-        for j in range(len(w)):
-            own = pull[j] + corr[j, j] * w[j]
-            step = float(np.copysign(max(abs(own) - l1, 0.0), own)) / (corr[j, j] + l2) - w[j]
-            if step:
-                w[j] += step
-                pull -= corr[j] * step
-                moved = max(moved, abs(step))
-        if moved < SETTLED:
-            break
-        if sweep % 20 == 19:
-            used = np.flatnonzero(w)
-            exact = np.zeros(len(w))
-            system = corr[np.ix_(used, used)] + l2 * np.eye(len(used))
-            exact[used] = np.linalg.pinv(system, rcond=COLLINEAR, hermitian=True) @ (
-                target[used] - l1 * np.sign(w[used]))
-            unused = np.setdiff1d(np.arange(len(w)), used)
-            rest = np.abs(target - corr @ exact)[unused]
-            if (np.sign(exact) == np.sign(w)).all() and (rest <= l1 + SETTLED).all():
-                return exact
-    return w
+
+def has_l1(setting: Mapping) -> bool:
+    return setting["regParam"] > 0 and setting["elasticNetParam"] > 0
 
 
 def solve(m: Moments, features: Sequence[str], shift: Mapping[str, float], reg: float = 0.0,
-          alpha: float = 0.0, label: str = S.LABEL) -> LinearFit:
-    """Fit from moments whose last column is the label. Constant columns get weight 0."""
-    cov, means = m.covariance, m.means
-    k = len(features)
+          label: str = S.LABEL) -> LinearFit:
+    """Least squares with a squared penalty, from moments whose last column is the label.
+
+    Constant columns get weight 0; of equally good weights the smallest are taken.
+    """
+    cov, k = m.covariance, len(features)
     spread = np.sqrt(np.clip(np.diag(cov), 0.0, None))
-    scale = np.sqrt(np.diag(m.products) / m.n)
-    live = [i for i in range(k) if spread[i] > np.sqrt(CONSTANT) * max(scale[i], 1e-300)]
+    live = [i for i in range(k) if spread[i] > 0]
     w = np.zeros(k)
     if live and spread[k] > 0:
         corr = cov[np.ix_(live, live)] / np.outer(spread[live], spread[live])
         target = cov[live, k] / (spread[live] * spread[k])
-        reg_std = reg / spread[k]
-        std = _penalised(corr, target, reg_std * alpha, reg_std * (1.0 - alpha))
-        w[live] = std * spread[k] / spread[live]
-    origin = means[:k] + np.array([shift.get(c, 0.0) for c in features])
-    intercept = means[k] + shift.get(label, 0.0) - w @ origin
-    sample = spread[:k] * np.sqrt(m.n / (m.n - 1)) if m.n > 1 else np.zeros(k)
-    return LinearFit(list(features), w, float(intercept), sample)
+        system = corr + reg / spread[k] * np.eye(len(live))
+        w[live] = np.linalg.pinv(system, rcond=COLLINEAR, hermitian=True) @ target * spread[k] / spread[live]
+    return finished(m, features, shift, w, label)
 
 
-def squared_error(fit: LinearFit, m: Moments, shift: Mapping[str, float], label: str = S.LABEL) -> float:
+def finished(m: Moments, features: Sequence[str], shift: Mapping[str, float], w: np.ndarray, label: str) -> LinearFit:
+    """The fit with weights ``w`` whose mean error on the rows behind ``m`` is 0."""
+    k = len(features)
+    origin = m.means[:k] + np.array([shift.get(c, 0.0) for c in features])
+    intercept = m.means[k] + shift.get(label, 0.0) - w @ origin
+    spread = np.sqrt(np.clip(np.diag(m.covariance), 0.0, None))
+    sample = spread[:k] * np.sqrt(m.n / (m.n - 1)) if m.n > 1 else np.zeros(k)
+    return LinearFit(list(features), w, float(intercept), sample, label)
+
+
+def fit_penalised(rows: DataFrame, m: Moments, features: Sequence[str], shift: Mapping[str, float],
+                  setting: Mapping, label: str = S.LABEL) -> LinearFit:
+    """MLlib's elastic net on ``rows`` around their means; ``m`` holds the moments of the same rows."""
+    varies = np.flatnonzero(m.low < m.high)
+    live = [i for i in varies.tolist() if i < len(features)]
+    w = np.zeros(len(features))
+    if live and len(features) in varies:
+        moved = [(F.col(c) - F.lit(float(shift.get(c, 0.0)))).alias(c) for c in (*[features[i] for i in live], label)]
+        vectors = feat.assemble_features(rows.select(*moved), [features[i] for i in live])
+        solver = LinearRegression(
+            featuresCol="features", labelCol=label, solver="normal", tol=TOLERANCE, maxIter=MAX_ITERATIONS, **setting
+        )
+        w[live] = solver.fit(vectors).coefficients.toArray()
+    return finished(m, features, shift, w, label)
+
+
+def squared_error(fit: LinearFit, m: Moments, shift: Mapping[str, float]) -> float:
     """Sum of squared errors of ``fit`` on the rows behind ``m``."""
     w = np.append(-fit.coefficients, 1.0)
     origin = np.array([shift.get(c, 0.0) for c in fit.features])
     # Mean error first, spread around it second: no large terms cancel.
-    bias = w @ m.means + shift.get(label, 0.0) - fit.coefficients @ origin - fit.intercept
-    return float(m.n * (w @ m.covariance @ w + bias * bias))
+    bias = w @ m.means + shift.get(fit.label, 0.0) - fit.coefficients @ origin - fit.intercept
+    return float(m.n * (max(w @ m.covariance @ w, 0.0) + bias * bias))
 
 
 def rmse(fit: LinearFit, m: Moments, shift: Mapping[str, float]) -> float:
-    return float(np.sqrt(max(squared_error(fit, m, shift), 0.0) / m.n))
+    return float(np.sqrt(squared_error(fit, m, shift) / m.n))
 
 
 def r2(fit: LinearFit, m: Moments, shift: Mapping[str, float]) -> float | None:
@@ -124,7 +129,7 @@ def r2(fit: LinearFit, m: Moments, shift: Mapping[str, float]) -> float | None:
 
 @dataclass
 class LinearStudy:
-    """Everything the tuned linear model reports, from one pass over the table."""
+    """Everything the tuned linear model reports."""
 
     name: str
     fit: LinearFit
@@ -138,54 +143,79 @@ class LinearStudy:
 def tune_linear(
     df: DataFrame, keys: Sequence[str], features: Sequence[str], label: str = S.LABEL,
     name: str = "LinearRegression_Tuned", grid: Mapping[str, list] = LINEAR_GRID,
-    folds: int = 3, fractions: Sequence[float] = FRACTIONS, shift: Mapping[str, float] = S.TYPICAL,
+    folds: int = 3, fractions: Sequence[float] = FRACTIONS, shift: Mapping[str, float] | None = None,
+    parallelism: int = 8,
 ) -> LinearStudy:
     """Grid search, refit, test score and learning curve of a table with a ``split`` column.
 
-    One aggregate of at most 2 x folds x (fractions + 1) rows is all that is fetched.
+    Rows with a missing value take no part. At most 2 x folds x (fractions + 1) rows of moments
+    are fetched; they score every fit, and give those without an absolute-value penalty.
     """
-    if len(features) > MAX_WIDTH:
-        raise ValueError(f"{len(features)} features: use tuning.tune_by_fits above {MAX_WIDTH}")
     fractions = sorted(fractions)
     columns = [*features, label]
-    keyed = df.withColumns({
-        "fold": split.fold_number(keys, folds),
-        "part": F.coalesce(split.fraction_index(keys, fractions), F.lit(len(fractions))),
-    })
-    rows = moments_by(keyed, columns, ["split", "fold", "part"], shift).collect()
-    cells = {(r["split"], r["fold"], r["part"]): from_row(r, len(columns)) for r in rows}
-
-    def pick(where) -> Moments | None:
-        return total(m for key, m in cells.items() if where(*key))
-
-    train = pick(lambda s, f, p: s == "train")
-    test = pick(lambda s, f, p: s == "test")
-    if train is None:
-        raise ValueError("no training rows")
-    held = [pick(lambda s, f, p, i=i: s == "train" and f == i) for i in range(folds)]
-    held = [h for h in held if h is not None and h.n < train.n]
-    rest = [train - h for h in held]
-
-    cv_rows = []
-    for idx, setting in enumerate(expand_grid(grid)):
-        reg, alpha = setting["regParam"], setting["elasticNetParam"]
-        scores = [
-            rmse(solve(r, features, shift, reg, alpha, label), h, shift) for r, h in zip(rest, held)
-        ]
-        cv_rows.append((name, idx, {k: str(v) for k, v in setting.items()},
-                        float(np.mean(scores)) if scores else None))
-    best = best_setting(expand_grid(grid), [r[3] for r in cv_rows])
-
-    def fit_on(m: Moments) -> LinearFit:
-        return solve(m, features, shift, best["regParam"], best["elasticNetParam"], label)
-
-    fit = fit_on(train)
+    table = df.na.drop(subset=columns).select(
+        "split", split.fold_number(keys, folds).alias("fold"),
+        F.coalesce(split.fraction_index(keys, fractions), F.lit(len(fractions))).alias("part"),
+        *[F.col(c).cast("double").alias(c) for c in columns],
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        shift = column_means(table, columns) if shift is None else shift
+        rows = moments_by(table, columns, ["split", "fold", "part"], shift).collect()
+        cells = {(r["split"], r["fold"], r["part"]): from_row(r, len(columns)) for r in rows}
+
+        def pick(where) -> Moments | None:
+            return total(m for key, m in cells.items() if where(*key))
+
+        train = pick(lambda s, f, p: s == "train")
+        test = pick(lambda s, f, p: s == "test")
+        if train is None:
+            raise ValueError("no training rows")
+        in_train = table.filter(F.col("split") == "train")
+        settings = expand_grid(grid)
+        pairs = {}
+        for i in range(folds):
+            held = pick(lambda s, f, p, i=i: s == "train" and f == i)
+            rest = pick(lambda s, f, p, i=i: s == "train" and f != i)
+            if held is not None and rest is not None:
+                pairs[i] = (rest, held)
+
+        def fit_on(m: Moments, setting: Mapping, rows: DataFrame) -> LinearFit:
+            if has_l1(setting):
+                return fit_penalised(rows, m, features, shift, setting, label)
+            return solve(m, features, shift, setting["regParam"], label)
+
+        def score(task: tuple[int, int]) -> float:
+            rest, held = pairs[task[1]]
+            return rmse(fit_on(rest, settings[task[0]], in_train.filter(F.col("fold") != task[1])), held, shift)
+
+        def at_once(fn, tasks: list) -> list:
+            if not tasks:
+                return []
+            with ThreadPool(min(parallelism, len(tasks))) as pool:
+                return pool.map(inheritable_thread_target(df.sparkSession)(fn), tasks, chunksize=1)
+
+        tasks = [(k, i) for k in range(len(settings)) for i in pairs]
+        scores = dict(zip(tasks, at_once(score, tasks)))
+        averages = [float(np.mean([scores[k, i] for i in pairs])) if pairs else None for k in range(len(settings))]
+        cv_rows = [(name, k, {p: str(v) for p, v in s.items()}, averages[k]) for k, s in enumerate(settings)]
+        best = best_setting(settings, averages)
+
+        def fit_part(i: int) -> LinearFit | None:
+            part = pick(lambda s, f, p: s == "train" and p <= i)
+            return None if part is None else fit_on(part, best, in_train.filter(F.col("part") <= i))
+
+        # The whole training set is the fit that everything else reports.
+        whole = len(fractions)
+        fits = dict(zip(range(whole + 1), at_once(fit_part, list(range(whole + 1)))))
+        fit = fits[whole]
+    finally:
+        table.unpersist()
     curve = []
     for i, fraction in enumerate(fractions):
         part = pick(lambda s, f, p: s == "train" and p <= i)
         if part is None:
             continue
-        sub = fit_on(part)
+        sub = fit if part.n == train.n else fits[i]
         curve.append((
             name, float(fraction), int(part.n), rmse(sub, part, shift),
             rmse(sub, test, shift) if test else None, r2(sub, test, shift) if test else None,

@@ -1,8 +1,9 @@
 """First and second moments of features and label: one aggregate for many linear fits.
 
 Least squares needs only n, sums and cross products. Grouped by split, fold and sample
-fraction they are additive, so every fold, every learning-curve point and every penalty
-setting comes out of a single pass over the rows.
+fraction they are additive, so every fold and every learning-curve point comes out of a
+single pass over the rows. The products are taken around the columns' means, found in a
+cheap pass of its own: around zero, columns with a large mean would lose their digits.
 """
 
 from __future__ import annotations
@@ -15,12 +16,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def column_means(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+    """Means over the rows that have all columns; 0 if there are none."""
+    row = df.na.drop(subset=list(columns)).agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(columns)]).first()
+    return {c: float(row[f"m_{i}"] or 0.0) for i, c in enumerate(columns)}
+
+
 def moments_by(
     df: DataFrame, columns: Sequence[str], by: Sequence[str], shift: Mapping[str, float] | None = None
 ) -> DataFrame:
-    """Per group: ``n``, ``s_i`` (sums) and ``p_i_j`` (cross products, i <= j).
+    """Per group: ``n``, ``s_i`` (sums), ``l_i``, ``h_i`` (extremes), ``p_i_j`` (cross products, i <= j).
 
-    ``shift`` is subtracted from the columns first. The group count must be small and
+    ``shift``, usually ``column_means``, is subtracted from the columns first. The group count must be small and
     known, as for split x fold x fraction: each group is one row of the result.
     """
     shift = shift or {}
@@ -31,27 +38,33 @@ def moments_by(
     return centred.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.expr(f"sum(x_{i}) AS s_{i}") for i in width],
+        *[F.expr(f"min(x_{i}) AS l_{i}") for i in width],
+        *[F.expr(f"max(x_{i}) AS h_{i}") for i in width],
         *[F.expr(f"sum(x_{i} * x_{j}) AS p_{i}_{j}") for i in width for j in width if i <= j],
     )
 
 
 @dataclass(frozen=True)
 class Moments:
-    """Moments of one set of rows; ``+`` and ``-`` join and take apart row sets."""
+    """Moments of one set of rows; ``+`` joins disjoint sets."""
 
     n: float
     sums: np.ndarray
     products: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
 
     def __add__(self, other: Moments) -> Moments:
-        return Moments(self.n + other.n, self.sums + other.sums, self.products + other.products)
-
-    def __sub__(self, other: Moments) -> Moments:
-        return Moments(self.n - other.n, self.sums - other.sums, self.products - other.products)
+        return Moments(
+            self.n + other.n, self.sums + other.sums, self.products + other.products,
+            np.minimum(self.low, other.low), np.maximum(self.high, other.high),
+        )
 
     def take(self, columns: Sequence[int]) -> Moments:
         """Moments of some of the columns, in the given order."""
-        return Moments(self.n, self.sums[columns], self.products[np.ix_(columns, columns)])
+        return Moments(
+            self.n, self.sums[columns], self.products[np.ix_(columns, columns)], self.low[columns], self.high[columns]
+        )
 
     @property
     def means(self) -> np.ndarray:
@@ -59,8 +72,12 @@ class Moments:
 
     @property
     def covariance(self) -> np.ndarray:
-        """Population covariance."""
-        return self.products / self.n - np.outer(self.means, self.means)
+        """Population covariance; exactly 0 for a constant column."""
+        cov = self.products / self.n - np.outer(self.means, self.means)
+        constant = self.low == self.high
+        cov[constant, :] = 0.0
+        cov[:, constant] = 0.0
+        return cov
 
 
 def from_row(row: Mapping, width: int) -> Moments:
@@ -68,7 +85,8 @@ def from_row(row: Mapping, width: int) -> Moments:
     for i in range(width):
         for j in range(i, width):
             p[i, j] = p[j, i] = row[f"p_{i}_{j}"]
-    return Moments(float(row["n"]), np.array([row[f"s_{i}"] for i in range(width)]), p)
+    sums, low, high = (np.array([row[f"{k}_{i}"] for i in range(width)]) for k in "slh")
+    return Moments(float(row["n"]), sums, p, low, high)
 
 
 def total(parts: Iterable[Moments]) -> Moments | None:

@@ -233,6 +233,16 @@ add("ols_simple", "model_tab", f"""
 ORACLE["ols_lineitem"] = """
     SELECT count(*) AS n_rows, round(regr_slope(l_extendedprice, l_quantity), 6) AS slope,
            round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem"""
+def regression(table: str, x: str, y: str, digits: int) -> str:
+    return f"""
+    SELECT regr_count(y, x) AS n_rows, round(regr_slope(y, x), {digits}) AS slope,
+      round(sqrt(regr_syy(y, x) * (1 - regr_r2(y, x)) / regr_count(y, x)), 6) AS rmse, round(regr_r2(y, x), 6) AS r2
+    FROM (SELECT CAST({x} AS DOUBLE) AS x, {y} AS y FROM {table})"""
+
+
+# Around a fixed instant: SQL's own sums would lose the digits of seconds since 1970.
+ORACLE["ols_epoch"] = regression("events", "epoch(ts) - 1.7e9", "value", 12)
+ORACLE["ols_offset"] = regression("lineitem", "l_quantity", "l_extendedprice", 6)
 add("ridge_simple", "model_tab", f"""
     SELECT reg AS reg_param, {r6('b / (1 + reg / sy)')} AS slope, {r6('my - mx * b / (1 + reg / sy)')} AS intercept
     FROM (SELECT regr_slope(TMP_C, DEW_C) AS b, avg(DEW_C) AS mx, avg(TMP_C) AS my, stddev_pop(TMP_C) AS sy
@@ -373,8 +383,7 @@ add("pred_vs_actual", "labelled", f"""
     FROM labelled, {LINE} WHERE split = 'test'""")
 add("pred_sample", "labelled", f"""
     SELECT STATION, DATE_HOUR, {r6(P)} AS Predicted_Temperature_C, TMP_C AS Actual_Temperature_C
-    FROM labelled, {LINE} WHERE {SAMPLED}
-    ORDER BY {bucket('plot', 'STATION', 'DATE_HOUR')} LIMIT 100000""")
+    FROM labelled, {LINE} WHERE {SAMPLED}""")
 add("resolve_prediction_columns", "labelled",
     f"SELECT TMP_C AS label, {r6(P)} AS prediction FROM labelled, {LINE}")
 add("model_save_load", "labelled",

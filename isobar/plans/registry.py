@@ -26,10 +26,7 @@ QUERIES: dict[str, Query] = {}
 TIE = "obs_id"
 # Features without the constant and collinear columns of the station grid, so that
 # every weight is determined.
-DISTINCT_FEATURES = [
-    "HOUR", "DAY_OF_YEAR", "LATITUDE", "WIND_DIR", "WIND_SPEED", "DEW_C", "SLP_HPA",
-    "PRECIP_MM", "RH_PCT", "VIS_M",
-]
+DISTINCT_FEATURES = [c for c in S.FEATURES_ALL if c not in ("MONTH", "LONGITUDE", "ELEVATION")]
 LEADERBOARD = {"ols_dew": "DEW_C", "ols_humidity": "RH_PCT", "ols_pressure": "SLP_HPA"}
 # Small grids for the registered runs; the library defaults are larger.
 QUERY_GRIDS = {
@@ -259,37 +256,57 @@ def vector_explode(spark, d):
 
 # --- linear models --------------------------------------------------------------------
 
-def one_feature_moments(df: DataFrame, feature: str, by: list[str]) -> list:
-    rows = moments.moments_by(df, [feature, S.LABEL], by, S.TYPICAL).collect()
-    return [(tuple(r[b] for b in by), moments.from_row(r, 2)) for r in rows]
+def one_feature_moments(df: DataFrame, feature: str, by: list[str], label: str = S.LABEL) -> tuple[dict, dict]:
+    """The means that are subtracted, and the moments of every group."""
+    shift = moments.column_means(df, [feature, label])
+    rows = moments.moments_by(df, [feature, label], by, shift).collect()
+    return shift, {tuple(r[b] for b in by): moments.from_row(r, 2) for r in rows}
+
+
+def fitted_line(spark: SparkSession, df: DataFrame, feature: str, label: str = S.LABEL, digits: int = 6) -> DataFrame:
+    """Least squares of one feature by the moment solver."""
+    shift, cells = one_feature_moments(df, feature, [], label)
+    m = cells[()]
+    fit = linear.solve(m, [feature], shift, label=label)
+    rows = [(int(m.n), float(fit.coefficients[0]), fit.intercept, linear.rmse(fit, m, shift), linear.r2(fit, m, shift))]
+    table = results.small_table(spark, rows, "n_rows bigint, slope double, intercept double, rmse double, r2 double")
+    return table.select("n_rows", r6("slope", digits).alias("slope"), "intercept", r6("rmse").alias("rmse"), r6("r2").alias("r2"))
 
 
 @query
 def ols_simple(spark, d):
-    [(_, m)] = one_feature_moments(model(spark, d), "DEW_C", [])
-    fit = linear.solve(m, ["DEW_C"], S.TYPICAL)
-    rows = [(int(m.n), float(fit.coefficients[0]), fit.intercept, linear.rmse(fit, m, S.TYPICAL),
-             linear.r2(fit, m, S.TYPICAL))]
-    df = results.small_table(spark, rows, "n_rows bigint, slope double, intercept double, rmse double, r2 double")
-    return rounded(df, "slope", "intercept", "rmse", "r2")
+    return rounded(fitted_line(spark, model(spark, d), "DEW_C"), "intercept")
 
 
 @query
 def ols_lineitem(spark, d):
-    columns = ["l_quantity", "l_extendedprice"]
-    [row] = moments.moments_by(lineitem(spark, d, *columns), columns, [], {"l_extendedprice": 50000.0}).collect()
-    fit = linear.solve(moments.from_row(row, 2), columns[:1], {"l_extendedprice": 50000.0}, label="l_extendedprice")
-    df = results.small_table(spark, [(row["n"], float(fit.coefficients[0]), fit.intercept)], "n_rows bigint, slope double, intercept double"
-    )
-    return df.select("n_rows", r6("slope").alias("slope"), r6("intercept", 4).alias("intercept"))
+    line = fitted_line(spark, lineitem(spark, d, "l_quantity", "l_extendedprice"), "l_quantity", "l_extendedprice")
+    return line.select("n_rows", "slope", r6("intercept", 4).alias("intercept"))
+
+
+@query
+def ols_epoch(spark, d):
+    """A feature whose mean is a thousand times its spread: seconds since 1970."""
+    events = tables.read_parquet(spark, f"{d}/events.parquet", ["ts", "value"])
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp")).cast("double")
+    line = fitted_line(spark, events.select(seconds.alias("seconds"), "value"), "seconds", "value", 12)
+    return line.select("n_rows", "slope", "rmse", "r2")
+
+
+@query
+def ols_offset(spark, d):
+    """The same line as on the quantity alone; only the intercept moves."""
+    items = lineitem(spark, d, "l_quantity", "l_extendedprice")
+    moved = items.select((F.col("l_quantity") + F.lit(1.7e9)).alias("far"), "l_extendedprice")
+    return fitted_line(spark, moved, "far", "l_extendedprice").select("n_rows", "slope", "rmse", "r2")
 
 
 @query
 def ridge_simple(spark, d):
-    [(_, m)] = one_feature_moments(model(spark, d), "DEW_C", [])
+    shift, cells = one_feature_moments(model(spark, d), "DEW_C", [])
     rows = []
     for reg in (0.01, 0.1, 5.0):
-        fit = linear.solve(m, ["DEW_C"], S.TYPICAL, reg)
+        fit = linear.solve(cells[()], ["DEW_C"], shift, reg)
         rows.append((reg, float(fit.coefficients[0]), fit.intercept))
     return rounded(
         results.small_table(spark, rows, "reg_param double, slope double, intercept double"), "slope", "intercept"
@@ -298,14 +315,12 @@ def ridge_simple(spark, d):
 
 @query
 def cv_ols(spark, d):
-    cells = one_feature_moments(split.kfold_assign(model(spark, d), S.MODEL_KEY), "DEW_C", ["fold"])
-    everything = moments.total(m for _, m in cells)
+    shift, cells = one_feature_moments(split.kfold_assign(model(spark, d), S.MODEL_KEY), "DEW_C", ["fold"])
     rows = []
-    for (fold,), held in cells:
-        rest = everything - held
-        fit = linear.solve(rest, ["DEW_C"], S.TYPICAL)
-        rows.append((fold, int(rest.n), float(fit.coefficients[0]), fit.intercept,
-                     linear.rmse(fit, held, S.TYPICAL)))
+    for (fold,), held in cells.items():
+        rest = moments.total(m for (other,), m in cells.items() if other != fold)
+        fit = linear.solve(rest, ["DEW_C"], shift)
+        rows.append((fold, int(rest.n), float(fit.coefficients[0]), fit.intercept, linear.rmse(fit, held, shift)))
     df = results.small_table(spark, rows, "fold int, n_train bigint, slope double, intercept double, rmse double")
     return rounded(df, "slope", "intercept", "rmse")
 
@@ -316,7 +331,8 @@ def gram_by_fold(spark, d):
     gram = moments.moments_by(
         split.kfold_assign(model(spark, d), S.MODEL_KEY), columns, ["fold"], S.TYPICAL
     )
-    return rounded(gram, *[c for c in gram.columns if c not in ("fold", "n")])
+    sums = [c for c in gram.columns if c[:2] in ("s_", "p_")]
+    return rounded(gram, *sums).select("fold", "n", *sums)
 
 
 def curve_rounded(df: DataFrame) -> DataFrame:
@@ -350,8 +366,10 @@ def cv_lr(spark, d):
 
 def distinct_fit(spark: SparkSession, d: str) -> linear.LinearFit:
     columns = [*DISTINCT_FEATURES, S.LABEL]
-    [row] = moments.moments_by(model(spark, d), columns, [], S.TYPICAL).collect()
-    return linear.solve(moments.from_row(row, len(columns)), DISTINCT_FEATURES, S.TYPICAL)
+    table = model(spark, d)
+    shift = moments.column_means(table, columns)
+    [row] = moments.moments_by(table, columns, [], shift).collect()
+    return linear.solve(moments.from_row(row, len(columns)), DISTINCT_FEATURES, shift)
 
 
 @query
@@ -379,8 +397,8 @@ def lr_tuned(spark, d):
 
 def scored_ols(spark: SparkSession, d: str, feature: str = "DEW_C") -> DataFrame:
     table = stored(spark, d)
-    [(_, m)] = one_feature_moments(table.filter(F.col("split") == "train"), feature, [])
-    fit = linear.solve(m, [feature], S.TYPICAL)
+    shift, cells = one_feature_moments(table.filter(F.col("split") == "train"), feature, [])
+    fit = linear.solve(cells[()], [feature], shift)
     return fit.transform(features.rename_label(table))
 
 
@@ -405,11 +423,8 @@ def resolve_prediction_columns(spark, d):
 @query
 def pred_sample(spark, d):
     test = scored_ols(spark, d).filter(F.col("split") == "test")
-    pairs = metrics.predicted_vs_actual(test, S.MODEL_KEY)
-    return rounded(
-        split.capped_sample(pairs, S.MODEL_KEY, train.SAMPLE_FRACTION, train.SAMPLE_CAP),
-        "Predicted_Temperature_C",
-    )
+    chosen = split.sample_fraction(test, S.MODEL_KEY, train.SAMPLE_FRACTION, "plot")
+    return rounded(metrics.predicted_vs_actual(chosen, S.MODEL_KEY), "Predicted_Temperature_C")
 
 
 @query
@@ -617,10 +632,12 @@ def leaderboard(spark, d):
     """Three one-feature models fitted from one moment pass and compared in one scoring pass."""
     table = stored(spark, d)
     columns = [*LEADERBOARD.values(), S.LABEL]
-    [row] = moments.moments_by(table.filter(F.col("split") == "train"), columns, [], S.TYPICAL).collect()
+    fitted = table.filter(F.col("split") == "train")
+    shift = moments.column_means(fitted, columns)
+    [row] = moments.moments_by(fitted, columns, [], shift).collect()
     everything = moments.from_row(row, len(columns))
     predictions = {
-        name: linear.solve(everything.take([i, len(LEADERBOARD)]), [feature], S.TYPICAL).prediction()
+        name: linear.solve(everything.take([i, len(LEADERBOARD)]), [feature], shift).prediction()
         for i, (name, feature) in enumerate(LEADERBOARD.items())
     }
     test = features.rename_label(table.filter(F.col("split") == "test"))
@@ -694,8 +711,9 @@ def metrics_json_roundtrip(spark, d):
 def model_save_load(spark, d):
     path = scratch_path(spark, "model")
     table = stored(spark, d)
-    fitted = train.linear_pipeline(table, ["DEW_C"], {"regParam": 0.0, "elasticNetParam": 0.0})
-    tables.save_model(fitted, path)
+    plain = {"regParam": [0.0], "elasticNetParam": [0.0]}
+    study = linear.tune_linear(table, S.MODEL_KEY, ["DEW_C"], grid=plain)
+    tables.save_model(study.fit.pipeline(), path)
     loaded = tables.load_model(path)
     test = table.filter(F.col("split") == "test")
     return loaded.transform(test).select(*S.MODEL_KEY, r6("prediction").alias("prediction"))

@@ -5,18 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isobar import schema as S
-from isobar.operators import clean, features as feat, linear, metrics, results, split, tuning
+from isobar.operators import clean, linear, metrics, results, split, tuning
 from isobar.sources import artifacts, tables
 from isobar.sources.artifacts import ArtifactStore
 
 SAMPLE_FRACTION = 0.01
-SAMPLE_CAP = 100_000
 
 
 def prepare(
@@ -29,75 +26,53 @@ def prepare(
 
 
 def prediction_sample(
-    scored: DataFrame, keys: Sequence[str], fraction: float = SAMPLE_FRACTION, cap: int = SAMPLE_CAP
+    model, rows: DataFrame, keys: Sequence[str], fraction: float = SAMPLE_FRACTION, cap: int | None = None
 ) -> DataFrame:
-    pairs = metrics.predicted_vs_actual(scored, keys)
-    return split.capped_sample(pairs, keys, fraction, cap).drop(*keys)
+    """Scored pairs of the fraction sample, of at most ``cap`` rows if given. Sampled, then scored."""
+    chosen = split.sample_fraction(rows, keys, fraction, "plot")
+    if cap is not None:
+        chosen = split.capped_sample(rows, keys, fraction, cap)
+    return metrics.predicted_vs_actual(model.transform(chosen))
 
 
 def new_run_id() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S.%fZ")
 
 
-def linear_pipeline(table: DataFrame, features: Sequence[str], best: Mapping, label: str = S.LABEL) -> PipelineModel:
-    """The chosen linear setting as a saved-model pipeline with its scaler."""
-    train = table.filter(F.col("split") == "train").withColumn("label", F.col(label))
-    stages = [*feat.feature_stages(features, scale=True), tuning.estimator("lr", best)]
-    return Pipeline(stages=stages).fit(train)
-
-
 def train_family(
     table: DataFrame, store: ArtifactStore, family: str, keys: Sequence[str] = tuple(S.MODEL_KEY),
     features: Sequence[str] = tuple(S.FEATURES_ALL), label: str = S.LABEL,
     grid: Mapping[str, list] | None = None, null_policy: str = "drop", run_id: str | None = None,
-    sample_fraction: float = SAMPLE_FRACTION, sample_cap: int = SAMPLE_CAP,
-    options: Mapping | None = None,
+    sample_fraction: float = SAMPLE_FRACTION, sample_cap: int | None = None,
+    options: Mapping | None = None, folds: int = 3, fractions: Sequence[float] = tuple(linear.FRACTIONS),
+    scale: bool = False, parallelism: int = 8,
 ):
     """Tune, refit, score and store one family; ``table`` has a ``split`` column.
 
-    ``options`` are passed to every tree estimator, e.g. ``maxMemoryInMB``.
+    ``options`` are passed to every tree estimator, e.g. ``maxMemoryInMB``; ``scale`` keeps a scaler
+    in a saved tree pipeline; ``parallelism`` fits run at once. One fit gives coefficients, scores,
+    curve, saved model and sample. The prediction sample is whole unless ``sample_cap`` is given.
     """
     features, keys = list(features), list(keys)
     run_id = run_id or new_run_id()
     name = tuning.MODEL_NAMES[family]
+    spark = table.sparkSession
     ready = prepare(table, features, null_policy, label).select("split", *keys, *features, label)
-    # The linear family passes over the rows four times; tree tuning keeps its own copy.
-    # Blocks lost with an executor are recomputed from the table.
+    tune = {"folds": folds, "fractions": fractions, "parallelism": parallelism}
     if family == "lr":
-        ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _train_prepared(ready, store, family, name, keys, features, label, grid, run_id,
-                               sample_fraction, sample_cap, options)
-    finally:
-        if family == "lr":
-            ready.unpersist()
-
-
-def _train_prepared(ready, store, family, name, keys, features, label, grid, run_id,
-                    sample_fraction, sample_cap, options):
-    spark = ready.sparkSession
-    if family == "lr" and len(features) <= linear.MAX_WIDTH:
-        study = linear.tune_linear(ready, keys, features, label, name, grid or linear.LINEAR_GRID)
-        model = linear_pipeline(ready, features, study.best, label)
-        coefficients = linear.coefficient_table(spark, study.fit, name)
-        store.write(coefficients, name, artifacts.COEFFICIENTS, run_id)
-    elif family == "lr":
-        study = tuning.tune_by_fits(ready, keys, family, features, label, grid, scale=True, options=options)
-        model = study.model
-        rows = linear.weight_rows(features, model.stages[-1].coefficients, model.stages[-1].intercept, name)
-        store.write(results.small_table(spark, rows, S.COEFFICIENT_SCHEMA), name, artifacts.COEFFICIENTS, run_id)
+        study = linear.tune_linear(ready, keys, features, label, name, grid or linear.LINEAR_GRID, **tune)
+        model = study.fit.pipeline()
+        store.write(linear.coefficient_table(spark, study.fit, name), name, artifacts.COEFFICIENTS, run_id)
     else:
-        study = tuning.tune_by_fits(ready, keys, family, features, label, grid, options=options)
+        study = tuning.tune_by_fits(ready, keys, family, features, label, grid, scale=scale, options=options, **tune)
         model = study.model
         store.write(tuning.importance_table(spark, study), name, artifacts.IMPORTANCE, run_id)
     store.write(results.cv_table(spark, study.cv_rows), name, artifacts.CV, run_id)
     store.write(results.learning_curve_table(spark, study.curve_rows), name, artifacts.CURVE, run_id)
-    record = results.small_table(
-        spark, [(study.test_rmse, study.test_r2)], "rmse double, r2 double"
-    )
+    record = results.small_table(spark, [(study.test_rmse, study.test_r2)], "rmse double, r2 double")
     store.write(results.metrics_record(record, name, study.best), name, artifacts.METRICS, run_id)
     test = ready.filter(F.col("split") == "test").withColumn("label", F.col(label).cast("double"))
-    sample = prediction_sample(model.transform(test), keys, sample_fraction, sample_cap)
+    sample = prediction_sample(model, test, keys, sample_fraction, sample_cap)
     store.write(sample.withColumn("model", F.lit(name)), name, artifacts.PLOT, run_id)
     tables.save_model(model, store.path(name, artifacts.MODEL))
     return study

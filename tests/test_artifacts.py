@@ -80,7 +80,9 @@ def test_saved_model_scores_the_same(trained, table):
     store, linear, _ = trained
     loaded = tables.load_model(store.path(LR, artifacts.MODEL))
     both = loaded.transform(table.filter("split = 'test'")).withColumn("mine", linear.fit.prediction())
-    assert both.filter(F.abs(F.col("prediction") - F.col("mine")) > 1e-5).count() == 0
+    assert both.filter(F.abs(F.col("prediction") - F.col("mine")) > 1e-9).count() == 0
+    stored = store.read(artifacts.COEFFICIENTS).filter(F.col("model") == LR).first()["intercept"]
+    assert stored == linear.fit.intercept and f"{stored!r}D" in loaded.stages[0].getStatement()
 
 
 def test_tidy_export(trained, spark):

@@ -49,9 +49,28 @@ def test_wide_path_agrees_with_the_moment_path(table, study):
         assert v == pytest.approx(mine[p["regParam"], p["elasticNetParam"]], rel=1e-5)
 
 
-def test_too_wide_is_refused(table):
-    with pytest.raises(ValueError, match="tune_by_fits"):
-        linear.tune_linear(table, S.MODEL_KEY, [f"f{i}" for i in range(61)])
+def test_more_columns_than_any_limit(spark):
+    """Seventy features, the last one the label itself."""
+    rng = np.random.default_rng(0)
+    data = rng.normal(size=(400, 70))
+    rows = [(str(i), "train" if i % 3 else "test", *map(float, r), float(r[-1])) for i, r in enumerate(data)]
+    names = [f"f{i}" for i in range(70)]
+    df = spark.createDataFrame(rows, "k string, split string, " + ", ".join(f"{n} double" for n in [*names, "y"]))
+    study = linear.tune_linear(df, ["k"], names, "y", grid={"regParam": [0.0], "elasticNetParam": [0.0]}, fractions=[1.0])
+    assert study.test_rmse < 1e-9 and study.test_r2 <= 1.0
+    assert study.fit.coefficients[-1] == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("mean", [0.0, 1e7, 1.7e9])
+@pytest.mark.parametrize("alpha", [0.0, 1.0])
+def test_large_means_keep_their_digits(spark, mean, alpha):
+    rows = [(str(i), "train" if i % 4 else "test", mean + i, 0.5 * i + 3.0) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k string, split string, x double, y double")
+    study = linear.tune_linear(df, ["k"], ["x"], "y", grid={"regParam": [0.0 if alpha == 0 else 1e-6], "elasticNetParam": [alpha]})
+    assert study.fit.coefficients[0] == pytest.approx(0.5, rel=1e-5)
+    assert study.test_rmse < 1e-3 and study.test_r2 <= 1.0
+    loaded = study.fit.pipeline().transform(df).filter("split = 'test'")
+    assert loaded.filter("abs(prediction - y) > 1e-3").count() == 0
 
 
 def test_test_scores_match_evaluator(study, table):
@@ -93,7 +112,7 @@ def test_moments_add_up(table):
     joined = moments.total(parts)
     expected = moments.from_row(whole, 2)
     assert joined.n == expected.n and np.allclose(joined.products, expected.products)
-    assert np.allclose((joined - parts[0]).sums, parts[1].sums)
+    assert (joined.low == expected.low).all() and (joined.high == expected.high).all()
 
 
 def test_constant_label_and_constant_feature(spark):
