@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 def row_hash(keys: Sequence[str], salt: str = "") -> Column:
     """First 32 bits of the MD5 of the salted key, as a non-negative bigint."""
-    text = F.concat_ws("|", F.lit(salt), *[F.col(k).cast("string") for k in keys])
+    # concat_ws would skip a NULL, and rows that differ only in where it stands would collide.
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in keys]
+    text = F.concat_ws("|", F.lit(salt), *parts)
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 

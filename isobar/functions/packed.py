@@ -23,7 +23,8 @@ def _col(c: Column | str) -> Column:
 
 
 def strip_whitespace(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), r"\s+", "")
+    """Drops the six blank characters of ASCII, wherever they stand."""
+    return F.translate(_col(c), " \t\n\x0b\f\r", "")
 
 
 def number(text: Column | str) -> Column:
@@ -100,6 +101,7 @@ def relative_humidity(temp: Column | str, dew: Column | str) -> Column:
     """Magnus-form relative humidity in percent, NULL unless both inputs are present."""
     t, d = _col(temp), _col(dew)
 
+    # The two constants of the Magnus form over water.
     def vapour(x: Column) -> Column:
         return F.exp((F.lit(17.625) * x) / (F.lit(243.04) + x))
 

@@ -45,42 +45,58 @@ def all_present(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
 
-def parse_packed(df: DataFrame, precip_index: int = 0) -> DataFrame:
-    """Replace the packed fields by typed measurements; coordinates become doubles.
+# Raw columns that each measurement is read from.
+SOURCES = {
+    "WIND_DIR": ("WND",), "WIND_SPEED": ("WND",), "TMP_C": ("TMP",), "DEW_C": ("DEW",), "SLP_HPA": ("SLP",),
+    "PRECIP_MM": ("AA1",), "RH_PCT": ("TMP", "DEW"), "VIS_M": ("VIS",),
+}
 
-    ``precip_index=0`` divides the first part of AA1 by ten, as existing users of this
-    data do; ``precip_index=1`` reads the liquid depth itself.
+
+def parse_packed(df: DataFrame, precip_index: int = 0, fields: Sequence[str] = tuple(SOURCES)) -> DataFrame:
+    """Replace the packed columns by the asked-for measurements; coordinates become doubles.
+
+    Only the sources of ``fields`` are read. ``precip_index=0`` divides the first part of AA1 by
+    ten, as existing users of this data do; ``precip_index=1`` reads the liquid depth itself.
     """
-    text = df.withColumns({c: P.strip_whitespace(c) for c in S.PACKED + S.COORDINATES})
+    fields = list(fields)
+    if unknown := [f for f in fields if f not in SOURCES]:
+        raise ValueError(f"no such measurements: {unknown}")
+    coordinates = [c for c in S.COORDINATES if c in df.columns]
+    texts = {
+        "_DIR": ("WIND_DIR", lambda: P.direction_text("WND")), "_SPEED": ("WIND_SPEED", lambda: P.speed_text("WND")),
+        "_TMP": ("TMP_C", lambda: P.numeric_text("TMP")), "_DEW": ("DEW_C", lambda: P.numeric_text("DEW")),
+        "_SLP": ("SLP_HPA", lambda: P.numeric_text("SLP")), "_PRECIP": ("PRECIP_MM", lambda: P.numeric_text("AA1", precip_index)),
+        "_VIS": ("VIS_M", lambda: P.visibility_text("VIS")),
+    }
+    readers = {
+        "_DIR": P.wind_direction, "_SPEED": P.wind_speed, "_TMP": P.scaled, "_DEW": P.scaled, "_SLP": P.scaled,
+        "_PRECIP": P.scaled, "_VIS": P.visibility,
+    }
+    needed = set(fields)
+    if "RH_PCT" in needed:
+        needed |= {"TMP_C", "DEW_C"}
+    if "WIND_DIR" in needed:
+        needed.add("WIND_SPEED")
+    packed = sorted({c for f in needed for c in SOURCES[f]}, key=S.PACKED.index)
+    text = df.withColumns({c: P.strip_whitespace(c) for c in [*packed, *coordinates, *[c for c in ["STATION"] if c in df.columns]]})
     others = [c for c in df.columns if c not in S.PACKED + S.COORDINATES]
-    cut = text.select(
-        *others, *S.COORDINATES,
-        P.direction_text("WND").alias("_DIR"),
-        P.speed_text("WND").alias("_SPEED"),
-        P.numeric_text("TMP").alias("_TMP"),
-        P.numeric_text("DEW").alias("_DEW"),
-        P.numeric_text("SLP").alias("_SLP"),
-        P.numeric_text("AA1", precip_index).alias("_PRECIP"),
-        P.visibility_text("VIS").alias("_VIS"),
-    )
+    used = {t: named for t, (named, _) in texts.items() if named in needed}
+    cut = text.select(*others, *coordinates, *[texts[t][1]().alias(t) for t in used])
     # The typed values come out of a one-element inline() rather than a projection: a
     # filter on them then stays above it. Through a projection Catalyst would copy the
     # whole parse of each field into the range filter, several times over for humidity,
     # until the generated code no longer fits a JVM method.
-    typed = F.struct(
-        *[F.col(c).try_cast("double").alias(c) for c in S.COORDINATES],
-        P.wind_direction("_DIR").alias("_DIR"),
-        P.wind_speed("_SPEED").alias("WIND_SPEED"),
-        P.scaled("_TMP").alias("TMP_C"),
-        P.scaled("_DEW").alias("DEW_C"),
-        P.scaled("_SLP").alias("SLP_HPA"),
-        P.scaled("_PRECIP").alias("PRECIP_MM"),
-        P.visibility("_VIS").alias("VIS_M"),
-    )
-    return cut.select(*others, F.inline(F.array(typed))).withColumns({
-        "WIND_DIR": P.impute_direction("_DIR", "WIND_SPEED"),
-        "RH_PCT": P.relative_humidity("TMP_C", "DEW_C"),
-    }).drop("_DIR")
+    # No filter looks at coordinates, so they stay outside and can be pruned.
+    typed = F.struct(*[readers[t](t).alias("_DIR" if t == "_DIR" else named) for t, named in used.items()])
+    places = [F.col(c).try_cast("double").alias(c) for c in coordinates]
+    parsed = cut.select(*others, *places, F.inline(F.array(typed)))
+    made = {}
+    if "WIND_DIR" in needed:
+        made["WIND_DIR"] = P.impute_direction("_DIR", "WIND_SPEED")
+    if "RH_PCT" in needed:
+        made["RH_PCT"] = P.relative_humidity("TMP_C", "DEW_C")
+    parsed = parsed.withColumns(made) if made else parsed
+    return parsed.drop("_DIR", *[f for f in needed if f not in fields])
 
 
 def in_ranges(rules: Mapping[str, tuple[float, float]] = S.VALID_RANGES) -> Column:

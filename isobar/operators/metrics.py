@@ -16,13 +16,25 @@ LABEL_NAMES = [
 MIN_ROWS = 10
 
 
+def only_match(by_name: dict[str, list[str]], accepted: list[str]) -> str | None:
+    found = [c for name in accepted for c in by_name.get(name, [])]
+    if len(found) > 1:
+        raise ValueError(f"more than one column could be meant: {found}")
+    return found[0] if found else None
+
+
 def resolve_prediction_columns(df: DataFrame) -> DataFrame | None:
-    """(label, prediction) under whatever accepted names they have; None if either is absent."""
-    pred = next((c for c in df.columns if c.lower() in PREDICTION_NAMES), None)
-    true = next((c for c in df.columns if c.lower() in LABEL_NAMES), None)
-    if pred is None or true is None:
+    """(label, prediction) under whatever accepted names they have; None if either is absent.
+
+    Two columns with accepted names for the same thing are an error.
+    """
+    by_name: dict[str, list[str]] = {}
+    for c in df.columns:
+        by_name.setdefault(c.lower(), []).append(c)
+    chosen = {"label": only_match(by_name, LABEL_NAMES), "prediction": only_match(by_name, PREDICTION_NAMES)}
+    if None in chosen.values():
         return None
-    return df.select(F.col(true).alias("label"), F.col(pred).alias("prediction")).na.drop()
+    return df.select(*[F.col(c).alias(name) for name, c in chosen.items()]).na.drop()
 
 
 def predicted_vs_actual(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -53,10 +65,11 @@ def prediction_metrics(
 ) -> DataFrame:
     """Row count, RMSE, MAE, R2 and the common value range per group.
 
-    Pairs with a NULL are left out; groups under ``min_rows`` pairs give no row.
+    Pairs with a NULL are left out. A group under ``min_rows`` pairs keeps its row and count;
+    its scores are NULL.
     """
     pairs = df.na.drop(subset=[label, prediction])
-    return (
+    scores = (
         pairs.groupBy(*by)
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
@@ -66,8 +79,9 @@ def prediction_metrics(
             F.least(F.min(label), F.min(prediction)).alias("low"),
             F.greatest(F.max(label), F.max(prediction)).alias("high"),
         )
-        .filter(F.col("n_rows") >= min_rows)
     )
+    enough = F.col("n_rows") >= min_rows
+    return scores.withColumns({c: F.when(enough, F.col(c)) for c in ("rmse", "mae", "r2", "low", "high")})
 
 
 def long_scores(df: DataFrame, predictions: dict[str, Column], keep: Sequence[str] = ()) -> DataFrame:
@@ -80,7 +94,7 @@ def long_scores(df: DataFrame, predictions: dict[str, Column], keep: Sequence[st
 def exact_and_sample(scores: DataFrame, in_sample: Column, min_rows: int = MIN_ROWS) -> DataFrame:
     """Per model the scores on all rows and on the marked sample, from one aggregate.
 
-    The sample columns are NULL where the sample has fewer than ``min_rows`` rows.
+    The sample scores are NULL where the sample has fewer than ``min_rows`` rows.
     """
     s_label, s_pred = F.when(in_sample, F.col("label")), F.when(in_sample, F.col("prediction"))
     marked = scores.na.drop(subset=["label", "prediction"]).withColumns({"_l": s_label, "_p": s_pred})
@@ -92,5 +106,5 @@ def exact_and_sample(scores: DataFrame, in_sample: Column, min_rows: int = MIN_R
         F.count("_l").alias("sample_rows"),
     )
     enough = F.col("sample_rows") >= min_rows
-    sampled = ["sample_rmse", "sample_r2", "sample_rows"]
+    sampled = ["sample_rmse", "sample_r2"]
     return wide.withColumns({c: F.when(enough, F.col(c)) for c in sampled})

@@ -12,19 +12,23 @@ from isobar.functions.times import parse_time
 from isobar.operators.clean import all_present, in_ranges, parse_packed
 
 
-def quality_funnel(raw: DataFrame, tie: str, required: Sequence[str] = ("TMP", "DATE")) -> DataFrame:
+def quality_funnel(raw: DataFrame, tie: str | None = None, required: Sequence[str] = ("TMP", "DATE")) -> DataFrame:
     """Rows left after each cleaning step, as (step_idx, step, n_rows, n_dropped).
 
     One aggregate per (STATION, DATE) of fixed-width counters, combined before the
     shuffle, then one global sum; no step is counted by a job of its own. The survivor
-    of a key is the valid row with the smallest ``tie``.
+    of a key is the valid row with the smallest ``tie``, or without one the first by all
+    measurements, as in ``clean.dedupe_keyed``.
     """
-    marked = raw.select(tie, *S.RAW_COLUMNS).withColumn("_required", all_present(required))
+    marked = raw.select(*([tie] if tie else []), *S.RAW_COLUMNS).withColumn("_required", all_present(required))
     keep = F.col("_required") & F.col("_valid")
     measured = [c for c in S.FEATURES_ALL if c not in ("HOUR", "MONTH", "DAY_OF_YEAR")]
-    flags = parse_packed(marked).select(
+    parsed = parse_packed(marked)
+    rest = [c for c in parsed.columns if c not in (*S.KEY, "_required")]
+    order = F.col(tie) if tie else F.struct(*rest)
+    flags = parsed.select(
         *S.KEY,
-        F.col(tie).alias("_tie"),
+        order.alias("_tie"),
         "_required",
         in_ranges().alias("_valid"),
         all_present(["STATION", *measured, S.LABEL]).alias("_complete"),

@@ -354,7 +354,7 @@ def board_row(model: str, source: str, p: str) -> str:
     s_r2 = f"1.0e0 - sum((TMP_C - {p}) ** 2) {sampled} / nullif(var_pop(TMP_C) {sampled} * count(*) {sampled}, 0)"
     return f"""SELECT '{model}' AS model, {rmse} AS test_rmse, {r2} AS test_r2,
       CASE WHEN {s_n} >= 10 THEN {s_rmse} END AS sample_rmse, CASE WHEN {s_n} >= 10 THEN {s_r2} END AS sample_r2,
-      CASE WHEN {s_n} >= 10 THEN {s_n} END AS sample_rows
+      {s_n} AS sample_rows
       FROM labelled, {source} WHERE split = 'test'"""
 
 
@@ -392,7 +392,7 @@ add("prediction_metrics", "labelled", f"""
     SELECT split, count(*) AS n_rows, {r6(score('TMP_C', P)[0])} AS rmse, {r6(f'avg(abs(TMP_C - {P}))')} AS mae,
       {r6(score('TMP_C', P)[1])} AS r2, {r6(f'least(min(TMP_C), min({P}))')} AS low,
       {r6(f'greatest(max(TMP_C), max({P}))')} AS high
-    FROM labelled, {LINE} GROUP BY split HAVING count(*) >= 10""")
+    FROM labelled, {LINE} GROUP BY split""")
 add("metrics_json_roundtrip", "labelled", f"""
     SELECT 'ols' AS model_name, {r6(score('TMP_C', P)[0])} AS test_rmse, {r6(score('TMP_C', P)[1])} AS test_r2,
       '{{"regParam":0.0}}' AS best_hyperparameters

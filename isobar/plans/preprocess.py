@@ -13,14 +13,25 @@ from isobar.operators import clean, features, split
 log = logging.getLogger(__name__)
 
 
-def parsed_observations(raw: DataFrame, keep: Sequence[str] = (), precip_index: int = 0) -> DataFrame:
+def parsed_observations(
+    raw: DataFrame, keep: Sequence[str] = (), precip_index: int = 0, fields: Sequence[str] = tuple(clean.SOURCES)
+) -> DataFrame:
+    """The asked-for measurements of all rows with a temperature and a time."""
     existing, missing = clean.select_existing(raw, [*keep, *S.RAW_COLUMNS], fill_missing=True)
     if missing:
         log.warning("columns missing from the input, read as NULL: %s", ", ".join(missing))
-    return clean.parse_packed(clean.filter_required(existing), precip_index)
+    return clean.parse_packed(clean.filter_required(existing), precip_index, fields)
+
+
+def check_ranges_readable(raw: DataFrame) -> None:
+    """A column that a valid range needs must exist: without it no row would be left."""
+    needed = sorted({c for f in S.VALID_RANGES for c in clean.SOURCES[f]})
+    if absent := [c for c in needed if c not in raw.columns]:
+        raise ValueError(f"the valid ranges need columns that the input lacks: {', '.join(absent)}")
 
 
 def deduplicated(raw: DataFrame, tie: str | None = None, precip_index: int = 0) -> DataFrame:
+    check_ranges_readable(raw)
     parsed = parsed_observations(raw, [tie] if tie else [], precip_index)
     return clean.dedupe_keyed(clean.range_validate(parsed), S.KEY, [tie] if tie else None)
 

@@ -1,8 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
 from isobar import schema as S
 from isobar.operators import clean, quality
 from isobar.plans import preprocess
+from isobar.session import scratch_path
 
 
 def rows(df):
@@ -17,9 +19,39 @@ def test_select_existing(spark):
     assert filled.columns == S.RAW_COLUMNS and filled.first()["AA1"] is None
 
 
-def test_missing_columns_flow_through_the_whole_plan(raw):
-    assert preprocess.model_table(raw.drop("AA1"), "obs_id").count() == 0
+def test_missing_columns(raw):
+    """Parsing goes on with NULLs; a column the ranges need must not be missing for all rows."""
     assert preprocess.parsed_observations(raw.drop("AA1")).count() == raw.count()
+    with pytest.raises(ValueError, match="AA1"):
+        preprocess.model_table(raw.drop("AA1"), "obs_id")
+    assert preprocess.model_table(raw.drop("VIS"), "obs_id").count() == 0
+
+
+def test_parse_reads_only_what_is_asked_for(spark, raw):
+    path = scratch_path(spark, "raw")
+    raw.write.parquet(path)
+    plan = str(preprocess.parsed_observations(spark.read.parquet(path), fields=["TMP_C"]).select("TMP_C")
+               ._jdf.queryExecution().executedPlan())
+    schema = plan.split("ReadSchema:")[1]
+    assert "TMP:string" in schema and "WND" not in schema and "AA1" not in schema and "LATITUDE" not in schema
+    assert plan.count("regexp_extract") == 1
+    wanted = preprocess.parsed_observations(raw, ["obs_id"])
+    for fields in (["TMP_C"], ["RH_PCT"], ["WIND_DIR", "VIS_M"]):
+        some = preprocess.parsed_observations(raw, ["obs_id"], fields=fields)
+        assert rows(some.select("obs_id", *fields)) == rows(wanted.select("obs_id", *fields))
+
+
+def test_funnel_without_a_tie_column(raw):
+    with_tie = {r.step: r.n_rows for r in quality.quality_funnel(raw, "obs_id").collect()}
+    without = {r.step: r.n_rows for r in quality.quality_funnel(raw.drop("obs_id")).collect()}
+    assert {k: v for k, v in without.items() if k != "complete"} == {k: v for k, v in with_tie.items() if k != "complete"}
+    assert without["complete"] == preprocess.model_table(raw.drop("obs_id")).count()
+
+
+def test_padded_station_is_the_same_station(spark, raw):
+    one = raw.filter("obs_id < 50").drop("obs_id")
+    padded = one.withColumn("STATION", F.concat(F.lit(" "), "STATION", F.lit("  ")))
+    assert preprocess.deduplicated(one.union(padded)).count() == preprocess.deduplicated(one).count()
 
 
 def test_survivor_counts(raw):

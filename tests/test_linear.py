@@ -142,7 +142,8 @@ def test_metrics_match_evaluator_and_guard(spark, table):
         for metric in ("rmse", "r2", "mae"):
             assert got[name][metric] == pytest.approx(RegressionEvaluator(metricName=metric).evaluate(part), rel=1e-9)
     few = spark.createDataFrame([(1.0, 1.0)] * 9 + [(None, 1.0)], "label double, prediction double")
-    assert metrics.prediction_metrics(few).count() == 0
+    row = metrics.prediction_metrics(few).first()
+    assert row["n_rows"] == 9 and row["rmse"] is None and row["r2"] is None
     flat = spark.createDataFrame([(1.0, 2.0)] * 10, "label double, prediction double")
     assert metrics.prediction_metrics(flat).first()["r2"] is None
 
@@ -151,6 +152,8 @@ def test_resolve_prediction_columns(spark):
     df = spark.createDataFrame([(1.0, 2.0)], "Y_TRUE double, Predicted_Temperature_C double")
     assert metrics.resolve_prediction_columns(df).columns == ["label", "prediction"]
     assert metrics.resolve_prediction_columns(df.drop("Y_TRUE")) is None
+    with pytest.raises(ValueError, match="more than one"):
+        metrics.resolve_prediction_columns(df.withColumn("actual", F.lit(1.0)))
 
 
 def test_expand_grid_order():
