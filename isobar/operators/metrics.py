@@ -23,8 +23,8 @@ def only_match(by_name: dict[str, list[str]], accepted: list[str]) -> str | None
     return found[0] if found else None
 
 
-def resolve_prediction_columns(df: DataFrame) -> DataFrame | None:
-    """(label, prediction) under whatever accepted names they have; None if either is absent.
+def resolve_prediction_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame | None:
+    """(label, prediction, kept columns) under whatever accepted names they have; None if either is absent.
 
     Two columns with accepted names for the same thing are an error.
     """
@@ -34,7 +34,8 @@ def resolve_prediction_columns(df: DataFrame) -> DataFrame | None:
     chosen = {"label": only_match(by_name, LABEL_NAMES), "prediction": only_match(by_name, PREDICTION_NAMES)}
     if None in chosen.values():
         return None
-    return df.select(*[F.col(c).alias(name) for name, c in chosen.items()]).na.drop()
+    pairs = df.select(*[F.col(c).alias(name) for name, c in chosen.items()], *keep)
+    return pairs.na.drop(subset=list(chosen))
 
 
 def predicted_vs_actual(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -66,11 +66,16 @@ def top_features(df: DataFrame, weight: str, n: int = 20, by: Sequence[str] = ("
     return df.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
 
 
+def spelled(df: DataFrame) -> DataFrame:
+    """A learning curve with its columns under their common names."""
+    return df.withColumnsRenamed({
+        old: new for old, new in CURVE_SYNONYMS.items() if old in df.columns and new not in df.columns
+    })
+
+
 def normalize_curve(df: DataFrame, model: str | None = None) -> DataFrame:
     """A learning curve of any accepted spelling in the one common schema."""
-    renames = {old: new for old, new in CURVE_SYNONYMS.items()
-               if old in df.columns and new not in df.columns}
-    out = df.withColumnsRenamed(renames)
+    out = spelled(df)
     if model is not None:
         out = out.withColumn("model", F.lit(model))
     return out.select(*[

@@ -741,4 +741,5 @@ for _name, (_body, _extra) in {
 # --- sources and sinks ----------------------------------------------------------------
 
 add("src_csv_roundtrip", "obs", "SELECT " + ", ".join(S.RAW_COLUMNS) + " FROM obs")
+add("src_csv_mixed_headers", "obs", "SELECT " + ", ".join(S.RAW_COLUMNS) + " FROM obs")
 add("sink_parquet_roundtrip", "labelled", "SELECT STATION, DATE_HOUR, TMP_C, DEW_C, split FROM labelled")

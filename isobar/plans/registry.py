@@ -691,6 +691,17 @@ def src_csv_roundtrip(spark, d):
     return tables.read_raw_csv(spark, path)
 
 
+@query
+def src_csv_mixed_headers(spark, d):
+    """Three folders: all columns, the same in another order, and without AA1 where it is missing."""
+    path, rows = scratch_path(spark, "mixed"), raw(spark, d).select(TIE, *S.RAW_COLUMNS)
+    lacking, odd = F.col("AA1").isNull(), F.col(TIE) % 2 == 1
+    tables.write_csv(rows.filter(~lacking & odd).select(*S.RAW_COLUMNS), f"{path}/a")
+    tables.write_csv(rows.filter(~lacking & ~odd).select(*sorted(S.RAW_COLUMNS)), f"{path}/b")
+    tables.write_csv(rows.filter(lacking).select(*[c for c in S.RAW_COLUMNS if c != "AA1"]), f"{path}/c")
+    return tables.read_raw_csv(spark, [f"{path}/{k}" for k in "abc"])
+
+
 @query
 def sink_parquet_roundtrip(spark, d):
     path = scratch_path(spark, "parquet")

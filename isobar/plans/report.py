@@ -9,9 +9,6 @@ from isobar.operators import metrics, results, split
 from isobar.sources import artifacts, tables
 from isobar.sources.artifacts import ArtifactStore
 
-# Fixed value: predictions exported per model.
-EXPORT_CAP = 50_000
-
 
 def sample_metrics(store: ArtifactStore) -> DataFrame:
     """Scores on the stored prediction samples, for models with enough rows."""
@@ -40,15 +37,15 @@ def top_coefficients(store: ArtifactStore) -> DataFrame:
     return results.top_features(store.read(artifacts.COEFFICIENTS), "abs_coeff")
 
 
-def export_tidy(store: ArtifactStore, out: str) -> None:
+def export_tidy(store: ArtifactStore, out: str, cap: int | None = None) -> None:
     """Each kind as one CSV table partitioned by model, and the leaderboard.
 
-    At most ``EXPORT_CAP`` predictions per model, the first in hash order.
+    With a ``cap`` at most so many predictions per model, the first in hash order.
     """
     for kind in artifacts.STORED:
         df = store.read(kind)
-        if kind == artifacts.PLOT:
-            df = split.capped_sample(df, df.columns, 1.0, EXPORT_CAP, ["model"])
+        if kind == artifacts.PLOT and cap is not None:
+            df = split.capped_sample(df, df.columns, 1.0, cap, ["model"])
         if kind == artifacts.CV:
             df = df.withColumn("params", F.to_json("params"))
         tables.write_csv(df, f"{out}/tables/{kind}", ["model"])

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +35,7 @@ def prediction_sample(
 
 
 def new_run_id() -> str:
-    return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S.%fZ")
+    return f"run-{artifacts.now()}"
 
 
 def train_family(
@@ -54,7 +53,7 @@ def train_family(
     curve, saved model and sample. The prediction sample is whole unless ``sample_cap`` is given.
     """
     features, keys = list(features), list(keys)
-    run_id = run_id or new_run_id()
+    run_id, run_at = run_id or new_run_id(), artifacts.now()
     name = tuning.MODEL_NAMES[family]
     spark = table.sparkSession
     ready = prepare(table, features, null_policy, label).select("split", *keys, *features, label)
@@ -62,17 +61,17 @@ def train_family(
     if family == "lr":
         study = linear.tune_linear(ready, keys, features, label, name, grid or linear.LINEAR_GRID, **tune)
         model = study.fit.pipeline()
-        store.write(linear.coefficient_table(spark, study.fit, name), name, artifacts.COEFFICIENTS, run_id)
+        store.write(linear.coefficient_table(spark, study.fit, name), name, artifacts.COEFFICIENTS, run_id, run_at)
     else:
         study = tuning.tune_by_fits(ready, keys, family, features, label, grid, scale=scale, options=options, **tune)
         model = study.model
-        store.write(tuning.importance_table(spark, study), name, artifacts.IMPORTANCE, run_id)
-    store.write(results.cv_table(spark, study.cv_rows), name, artifacts.CV, run_id)
-    store.write(results.learning_curve_table(spark, study.curve_rows), name, artifacts.CURVE, run_id)
+        store.write(tuning.importance_table(spark, study), name, artifacts.IMPORTANCE, run_id, run_at)
+    store.write(results.cv_table(spark, study.cv_rows), name, artifacts.CV, run_id, run_at)
+    store.write(results.learning_curve_table(spark, study.curve_rows), name, artifacts.CURVE, run_id, run_at)
     record = results.small_table(spark, [(study.test_rmse, study.test_r2)], "rmse double, r2 double")
-    store.write(results.metrics_record(record, name, study.best), name, artifacts.METRICS, run_id)
+    store.write(results.metrics_record(record, name, study.best), name, artifacts.METRICS, run_id, run_at)
     test = ready.filter(F.col("split") == "test").withColumn("label", F.col(label).cast("double"))
     sample = prediction_sample(model, test, keys, sample_fraction, sample_cap)
-    store.write(sample.withColumn("model", F.lit(name)), name, artifacts.PLOT, run_id)
+    store.write(sample.withColumn("model", F.lit(name)), name, artifacts.PLOT, run_id, run_at)
     tables.save_model(model, store.path(name, artifacts.MODEL))
     return study

@@ -1,18 +1,24 @@
 """The folder of one or more trained models, written and read as typed tables.
 
-Layout: ``<root>/<model>/<kind>/``. Every table carries the ``run_id`` of its run, and a
-reader keeps the latest run of each model, so files left by an older run never mix in.
+Layout: ``<root>/<model>/<kind>/``. Every table carries the ``run_id`` of its run and the time
+``run_at`` it was written; readers keep the latest run of each model, the same for all kinds.
+Tables of other makers are read too: columns go by name and in their known spellings, the model's
+name comes from the path where no column has it, and tables without a run count as oldest.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isobar import schema as S
+from isobar.operators import metrics, results
 from isobar.sources import tables
 
 # Folder names of the artifact kinds.
@@ -24,23 +30,56 @@ PLOT = "plot_data_csv"
 METRICS = "metrics.json"
 MODEL = "model"
 
-RUN = T.StructField("run_id", T.StringType())
+RUN = [T.StructField("run_id", T.StringType()), T.StructField("run_at", T.StringType())]
 # Maps have no CSV form: parameters are stored as JSON text.
 STORED = {
     CV: T.StructType([
         T.StructField("model", T.StringType()), T.StructField("grid_idx", T.IntegerType()),
-        T.StructField("params", T.StringType()), T.StructField("avg_rmse", T.DoubleType()), RUN,
+        T.StructField("params", T.StringType()), T.StructField("avg_rmse", T.DoubleType()), *RUN,
     ]),
-    CURVE: T.StructType([*S.LEARNING_CURVE_SCHEMA.fields, RUN]),
-    IMPORTANCE: T.StructType([*S.IMPORTANCE_SCHEMA.fields, RUN]),
-    COEFFICIENTS: T.StructType([*S.COEFFICIENT_SCHEMA.fields, RUN]),
+    CURVE: T.StructType([*S.LEARNING_CURVE_SCHEMA.fields, *RUN]),
+    IMPORTANCE: T.StructType([*S.IMPORTANCE_SCHEMA.fields, *RUN]),
+    COEFFICIENTS: T.StructType([*S.COEFFICIENT_SCHEMA.fields, *RUN]),
     PLOT: T.StructType([
         T.StructField("Predicted_Temperature_C", T.DoubleType()),
         T.StructField("Actual_Temperature_C", T.DoubleType()),
-        T.StructField("model", T.StringType()), RUN,
+        T.StructField("model", T.StringType()), *RUN,
     ]),
 }
-METRICS_STORED = T.StructType([*S.METRICS_SCHEMA.fields, RUN])
+METRICS_STORED = T.StructType([*S.METRICS_SCHEMA.fields, *RUN])
+
+
+def now() -> str:
+    """A time stamp whose text order is its time order."""
+    return datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+
+
+def typed(df: DataFrame, kind: str) -> DataFrame:
+    """A text table of any accepted spelling in the stored form of its kind, with its path."""
+    if "model" not in df.columns:
+        df = df.withColumn("model", F.regexp_extract("path", f"([^/]+)/{re.escape(kind)}/", 1))
+    fixed = ["model", "path", "run_id", "run_at"]
+    if kind == CV and "params" not in df.columns:
+        named = [c for c in df.columns if c not in (*fixed, "grid_idx", "avg_rmse")]
+        df = df.withColumn("params", F.to_json(F.struct(*named)) if named else F.lit("{}"))
+        if "grid_idx" not in df.columns:  # the settings in file order, a handful of rows per model
+            line = df.withColumn("_line", F.monotonically_increasing_id())
+            order = Window.partitionBy("model").orderBy("_line")
+            df = line.withColumn("grid_idx", (F.row_number().over(order) - 1).cast("string")).drop("_line")
+    if kind == CURVE:
+        df = results.spelled(df)
+    if kind == PLOT and "Predicted_Temperature_C" not in df.columns:
+        kept = [c for c in fixed if c in df.columns]
+        pairs = metrics.resolve_prediction_columns(df, kept)
+        if pairs is None:
+            return df.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in STORED[kind].fields], "path").limit(0)
+        df = pairs.withColumnsRenamed({"prediction": "Predicted_Temperature_C", "label": "Actual_Temperature_C"})
+    if kind == COEFFICIENTS and "abs_coeff" not in df.columns:
+        df = df.withColumn("abs_coeff", F.abs(F.col("coefficient").try_cast("double")))
+    return df.select(*[
+        (F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in STORED[kind].fields
+    ], "path")
 
 
 @dataclass(frozen=True)
@@ -51,8 +90,9 @@ class ArtifactStore:
     def path(self, model: str, kind: str) -> str:
         return f"{self.root}/{model}/{kind}"
 
-    def write(self, df: DataFrame, model: str, kind: str, run_id: str) -> None:
-        stamped = df.withColumn("run_id", F.lit(run_id))
+    def write(self, df: DataFrame, model: str, kind: str, run_id: str, run_at: str | None = None) -> None:
+        stamp = run_at or now()
+        stamped = df.withColumns({"run_id": F.lit(run_id), "run_at": F.lit(stamp)})
         if kind == METRICS:
             tables.write_json(stamped, self.path(model, kind))
             return
@@ -61,36 +101,44 @@ class ArtifactStore:
         columns = [f.name for f in STORED[kind].fields]
         tables.write_csv(stamped.select(*columns), self.path(model, kind))
 
+    def found(self, kind: str) -> DataFrame:
+        """All runs of a kind in its stored form, with ``model`` and ``path``."""
+        if kind == METRICS:
+            rows = tables.read_json_under(self.spark, self.root, METRICS_STORED, single=True)
+            named = F.coalesce("model_name", F.regexp_extract("path", "([^/]+)/[^/]*metrics", 1))
+            return rows.withColumn("model", named).withColumn("model_name", F.col("model"))
+        parts = [typed(t, kind) for t in tables.read_csv_under(self.spark, self.root, f"/{kind}/")]
+        if not parts:
+            return self.spark.createDataFrame([], T.StructType([*STORED[kind].fields, T.StructField("path", T.StringType())]))
+        return reduce(DataFrame.unionByName, parts)
+
+    def latest_runs(self) -> DataFrame:
+        """(model, run_id) of each model's last run over all small kinds: one row per model."""
+        runs = [self.found(k).select("model", "run_id", "run_at") for k in (METRICS, CV, CURVE, IMPORTANCE, COEFFICIENTS)]
+        order = F.struct(F.coalesce("run_at", F.lit("")), F.coalesce("run_id", F.lit("")))
+        last = F.max_by(F.struct("run_id"), order)
+        return reduce(DataFrame.unionByName, runs).groupBy("model").agg(last["run_id"].alias("_run"))
+
+    def latest(self, kind: str) -> DataFrame:
+        """The rows of each model's last run. A join without a hint: plans see how small one side is."""
+        last = self.latest_runs().withColumnRenamed("model", "_model")
+        rows = self.found(kind)
+        same = (F.col("model") == F.col("_model")) & F.col("run_id").eqNullSafe(F.col("_run"))
+        return rows.join(last, same, "left_semi")
+
     def read(self, kind: str) -> DataFrame:
-        """Latest run of every model that has this kind; empty if none does."""
+        """Last run of every model that has this kind; empty if none does."""
+        found = self.latest(kind)
         if kind == METRICS:
-            found = tables.read_json_under(self.spark, self.root, METRICS_STORED)
-            return self._latest(found, "model_name").drop("path", "run_id")
-        found = self._latest(tables.read_csv_under(self.spark, self.root, f"/{kind}/", STORED[kind]), "model")
+            return found.drop("path", "run_id", "run_at", "model")
         if kind == CV:
             found = found.withColumn("params", F.from_json("params", "map<string,string>"))
-        return found.drop("path", "run_id")
-
-    @staticmethod
-    def _latest(df: DataFrame, model: str) -> DataFrame:
-        # A grouped maximum and a join rather than a window, so that a large prediction
-        # table of one model is not gathered in one task.
-        last = df.groupBy(model).agg(F.max("run_id").alias("run_id"))
-        return df.join(F.broadcast(last), [model, "run_id"], "left_semi")
+        return found.drop("path", "run_id", "run_at")
 
     def catalogue(self) -> DataFrame:
         """(model, kind, n_files, n_rows): what is there for each model's section."""
-        parts = []
-        for kind in STORED:
-            found = tables.read_csv_under(self.spark, self.root, f"/{kind}/", STORED[kind])
-            parts.append(self._latest(found, "model").select("model", F.lit(kind).alias("kind"), "path"))
-        metrics = tables.read_json_under(self.spark, self.root, METRICS_STORED)
-        parts.append(self._latest(metrics, "model_name").select(
-            F.col("model_name").alias("model"), F.lit(METRICS).alias("kind"), "path"
-        ))
-        union = parts[0]
-        for part in parts[1:]:
-            union = union.unionByName(part)
+        parts = [self.latest(k).select("model", F.lit(k).alias("kind"), "path") for k in (*STORED, METRICS)]
+        union = reduce(DataFrame.unionByName, parts)
         return union.groupBy("model", "kind", "path").agg(F.count(F.lit(1)).alias("n")).groupBy(
             "model", "kind"
         ).agg(F.count(F.lit(1)).alias("n_files"), F.sum("n").alias("n_rows"))

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -12,16 +16,52 @@ from pyspark.sql import types as T
 from isobar import schema as S
 
 
+def first_lines(spark: SparkSession, path: str | list[str], fragment: str = "", **options) -> dict[str, list[str]]:
+    """Header line -> the files that begin with it, from one pass over the text.
+
+    Only files whose path contains ``fragment``, whatever the case.
+
+    Only file names reach the driver, which lists the files for Spark's reader anyway.
+    """
+    lines = spark.read.text(path, **options).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("line"),
+        F.col("_metadata.file_block_start").alias("block"),
+    ).filter((F.col("block") == 0) & F.lower("path").contains(fragment.lower()))
+    first = lines.groupBy("path").agg(F.min_by("value", "line").alias("header"))
+    groups: dict[str, list[str]] = {}
+    for r in first.orderBy("path").collect():
+        # A reader takes plain paths with glob signs; the metadata gives an encoded one.
+        plain = re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(r["path"]))
+        groups.setdefault(r["header"].lstrip("\ufeff"), []).append(plain)
+    return groups
+
+
+def read_by_header(spark: SparkSession, path: str | list[str], fragment: str = "", **options) -> list[DataFrame]:
+    """CSV files as text columns, one table per distinct header, each with its files' ``path``."""
+    found = []
+    for header, files in first_lines(spark, path, fragment, **options).items():
+        names = next(csv.reader([header]))
+        if len(set(names)) < len(names):
+            raise ValueError(f"a column stands twice in the header {header!r}, for example in {files[0]}")
+        reader = spark.read.schema(S.all_string(names)).option("header", True).option("enforceSchema", False)
+        found.append(reader.csv(files).select("*", F.col("_metadata.file_path").alias("path")))
+    return found
+
+
 def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Raw observations from a folder or glob of CSV files with a header.
+    """Raw observations from a folder or glob of CSV files, each with a header of its own.
 
     Every column is text: inference would scan the files twice, turn station ids into
-    numbers and dates into zoned timestamps. The names come from the first header line,
-    and a file whose header differs is an error rather than a shifted row.
+    numbers and dates into zoned timestamps. Columns are matched by name, so files may
+    order them differently or lack some, which are then NULL. There is one reader per
+    distinct header, not per file.
     """
-    header = spark.read.option("header", True).csv(path).columns
-    files = spark.read.schema(S.all_string(header)).option("header", True).option("enforceSchema", False)
-    return files.csv(path).select(*[c for c in S.RAW_COLUMNS if c in header])
+    tables = read_by_header(spark, path)
+    names = [c for c in S.RAW_COLUMNS if any(c in t.columns for t in tables)]
+    return reduce(
+        DataFrame.unionByName,
+        [t.select(*[F.col(c) if c in t.columns else F.lit(None).cast("string").alias(c) for c in names]) for t in tables],
+    )
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -55,24 +95,21 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def read_csv_under(spark: SparkSession, root: str, fragment: str, schema: T.StructType) -> DataFrame:
-    """All CSV files below ``root`` whose path contains ``fragment``; others are not used."""
-    files = (
-        spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv").csv(root)
-    )
-    path = F.col("_metadata.file_path")
-    return files.select("*", path.alias("path")).filter(F.lower(path).contains(fragment.lower()))
+def read_csv_under(spark: SparkSession, root: str, fragment: str) -> list[DataFrame]:
+    """All CSV files below ``root`` whose path contains ``fragment``, by header, as text columns."""
+    return read_by_header(spark, root, fragment, recursiveFileLookup=True, pathGlobFilter="*.csv")
 
 
-def read_json_under(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+def read_json_under(spark: SparkSession, root: str, schema: T.StructType, single: bool = False) -> DataFrame:
     """First record of every JSON file below ``root``, array or line-delimited, with its path.
 
-    These are one-record metric files, so each is read as a single text value.
+    These are one-record metric files, so each is read as a single text value. With ``single``
+    a file with more than one record is an error.
     """
     files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
-    record = F.get(F.from_json("value", T.ArrayType(schema)), F.lit(0))
-    return (
-        files.select(record.alias("r"), F.col("_metadata.file_path").alias("path"))
-        .filter(F.col("r").isNotNull()).select("r.*", "path")
-    )
+    path = F.col("_metadata.file_path")
+    records = F.from_json("value", T.ArrayType(schema))
+    several = (F.size(records) > 1) | (F.regexp_count("value", F.lit(r"(?m)^\s*\{.*\}\s*$")) > 1)
+    checked = F.when(several, F.raise_error(F.concat(F.lit("more than one record in "), path))).otherwise(F.get(records, F.lit(0)))
+    record = checked if single else F.get(records, F.lit(0))
+    return files.select(record.alias("r"), path.alias("path")).filter(F.col("r").isNotNull()).select("r.*", "path")

@@ -48,7 +48,7 @@ def test_only_the_latest_run_is_read(trained, spark):
     cv = store.read(artifacts.CV)
     assert cv.filter(F.col("model") == LR).count() == 2
     stale = spark.createDataFrame([(LR, 0, {"regParam": "9"}, 9.9)], S.CV_SCHEMA)
-    text = stale.withColumn("params", F.to_json("params")).withColumn("run_id", F.lit("run-0"))
+    text = stale.withColumn("params", F.to_json("params")).withColumns({"run_id": F.lit("run-0"), "run_at": F.lit("2001")})
     text.write.mode("append").option("header", True).csv(store.path(LR, artifacts.CV))
     assert store.read(artifacts.CV).filter(F.col("avg_rmse") > 9).count() == 0
 
@@ -116,13 +116,84 @@ def test_raw_csv_keeps_text(spark, raw):
     assert row["STATION"] == "01001099999" and "T" in row["DATE"]
 
 
-def test_raw_csv_rejects_a_different_header(spark):
+def test_raw_csv_reads_each_file_by_its_own_header(spark):
     root = Path(scratch_path(spark, "mixed"))
     root.mkdir(parents=True)
-    (root / "a.csv").write_text("STATION,DATE,TMP\n1,2024-01-01T00:00:00,x\n")
-    (root / "b.csv").write_text("STATION,TMP,DATE\n2,y,2024-01-01T00:00:00\n")
-    with pytest.raises(Exception, match="header"):
-        tables.read_raw_csv(spark, str(root)).collect()
+    (root / "a.csv").write_text("STATION,DATE,TMP,AA1\n1,2024-01-01T00:00:00,x,p\n")
+    (root / "b c%20[1].csv").write_text('TMP,"STATION",EXTRA,DATE\n"y,1",2,z,2024-01-02T00:00:00\n')
+    (root / "d.csv").write_text("STATION,DATE,TMP,AA1\n3,2024-01-03T00:00:00,w,q\n")
+    (root / "empty.csv").write_text("")
+    got = tables.read_raw_csv(spark, str(root))
+    assert got.columns == ["STATION", "DATE", "TMP", "AA1"]
+    assert sorted(tuple(r) for r in got.collect()) == [
+        ("1", "2024-01-01T00:00:00", "x", "p"), ("2", "2024-01-02T00:00:00", "y,1", None), ("3", "2024-01-03T00:00:00", "w", "q"),
+    ]
+    (root / "twice.csv").write_text("STATION,DATE,DATE\n1,2,3\n")
+    with pytest.raises(ValueError, match="twice"):
+        tables.read_raw_csv(spark, str(root))
+
+
+@pytest.fixture()
+def foreign(spark):
+    """Tables as others write them: no run, no model column, one column per parameter."""
+    root = Path(scratch_path(spark, "foreign"))
+    texts = {
+        "Alpha_Tuned/cv_results_csv/part-0.csv": "avg_rmse,maxDepth,maxIter\n2.5,4,30\n2.0,6,30\n",
+        "Alpha_Tuned/learning_curve_csv/part-0.csv": "fraction,n_rows,rmse,r2\n0.1,10,3.0,0.5\n1.0,100,2.0,0.7\n",
+        "Alpha_Tuned/feature_importances_csv/part-0.csv": "feature,importance\nDEW_C,0.9\nHOUR,0.1\n",
+        "Alpha_Tuned/plot_data_csv/part-0.csv": "Predicted_Temperature_C,Actual_Temperature_C\n" + "1.0,1.5\n" * 12,
+        "Alpha_Tuned/metrics.json/part-0.json": json.dumps({"model_name": "Alpha_Tuned", "test_rmse": 2.0, "test_r2": 0.7}),
+        "Beta_Tuned/cv_results_csv/part-0.csv": "avg_rmse,regParam\n1.0,0.1\n",
+        "Beta_Tuned/learning_curve_csv/part-0.csv": "fraction,train_count,train_rmse,test_rmse\n1.0,100,0.5,1.0\n",
+        "Beta_Tuned/coefficients_csv/part-0.csv": "feature,coefficient,abs_coeff,intercept\nDEW_C,-2.0,2.0,1.0\n",
+        "Beta_Tuned/plot_data_csv/part-0.csv": "y_true,Pred\n" + "1.0,1.0\n" * 11,
+        "Beta_Tuned/metrics.json/part-0.json": json.dumps({"model_name": "Beta_Tuned", "test_rmse": 1.0, "test_r2": 0.9}),
+    }
+    for name, text in texts.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text(text)
+    return ArtifactStore(spark, str(root))
+
+
+def test_foreign_folders_give_a_full_report(foreign):
+    board = {r["model"]: r for r in report.leaderboard_from(foreign).collect()}
+    assert {m: (r["rank"], r["sample_rows"]) for m, r in board.items()} == {"Beta_Tuned": (1, 11), "Alpha_Tuned": (2, 12)}
+    assert board["Alpha_Tuned"]["sample_rmse"] == pytest.approx(0.5)
+    best = {r["model"]: (r["grid_idx"], r["params"]) for r in results.best_params(foreign.read(artifacts.CV)).collect()}
+    assert best["Alpha_Tuned"] == (1, {"maxDepth": "6", "maxIter": "30"}) and best["Beta_Tuned"] == (0, {"regParam": "0.1"})
+    curves = {(r["model"], r["fraction"]): (r["n_rows"], r["test_rmse"]) for r in foreign.read(artifacts.CURVE).collect()}
+    assert curves == {("Alpha_Tuned", 0.1): (10, 3.0), ("Alpha_Tuned", 1.0): (100, 2.0), ("Beta_Tuned", 1.0): (100, 1.0)}
+    assert foreign.read(artifacts.IMPORTANCE).count() == 2 and foreign.read(artifacts.COEFFICIENTS).count() == 1
+    assert {(r["model"], r["kind"]) for r in foreign.catalogue().collect()} == {
+        ("Alpha_Tuned", k) for k in (artifacts.CV, artifacts.CURVE, artifacts.IMPORTANCE, artifacts.PLOT, artifacts.METRICS)
+    } | {("Beta_Tuned", k) for k in (artifacts.CV, artifacts.CURVE, artifacts.COEFFICIENTS, artifacts.PLOT, artifacts.METRICS)}
+
+
+def test_runs_are_ordered_by_time_and_never_mixed(spark):
+    store = ArtifactStore(spark, scratch_path(spark, "runs"))
+
+    def put(run, at, rmse, kinds):
+        record = spark.createDataFrame([("m", rmse, 0.5, "{}")], S.METRICS_SCHEMA)
+        cv = spark.createDataFrame([("m", 0, {"p": run}, rmse)], S.CV_SCHEMA)
+        for kind, df in ((artifacts.METRICS, record), (artifacts.CV, cv)):
+            if kind in kinds:
+                stored = ArtifactStore(spark, f"{store.root}/{run}")
+                stored.write(df, "m", kind, run, at)
+
+    put("run-9", "2024-01-01T00:00:00.000000Z", 9.0, (artifacts.METRICS, artifacts.CV))
+    put("run-10", "2024-01-02T00:00:00.000000Z", 1.0, (artifacts.METRICS,))
+    assert [r["test_rmse"] for r in store.read(artifacts.METRICS).collect()] == [1.0]
+    assert store.read(artifacts.CV).count() == 0  # the older run's settings do not stand beside it
+
+
+def test_two_records_in_a_metrics_file_are_an_error(spark):
+    root = Path(scratch_path(spark, "double"))
+    (root / "m" / "metrics.json").mkdir(parents=True)
+    record = {"model_name": "m", "test_rmse": 1.0}
+    for text in (json.dumps([record, record]), json.dumps(record) + "\n" + json.dumps(record) + "\n"):
+        (root / "m" / "metrics.json" / "part-0.json").write_text(text)
+        with pytest.raises(Exception, match="more than one record"):
+            ArtifactStore(spark, str(root)).read(artifacts.METRICS).collect()
 
 
 def test_curve_spellings(spark):
