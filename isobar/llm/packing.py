@@ -46,37 +46,69 @@ PARTS = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
 
 # --- tokens ---------------------------------------------------------------------------
 
+def byte_signs() -> dict[int, str]:
+    """How byte-level models write bytes: visible Latin-1 signs stand for themselves, the rest follow from U+0100."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class WordTable:
     """Ids of words without white space; each distinct word goes through the model once."""
 
+    # Below it letters are composed already and lower-case one by one.
+    SIMPLE = "\u0300"
+    CLOSERS = frozenset(".,!?;:*%$&#)]}")
+
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.signs = byte_signs()
         self.words: dict[str, list[int]] = {}
         self.parts: dict[str, list[int]] = {}
 
-    def _part(self, part: str) -> list[int]:
+    def part(self, part: str) -> list[int]:
+        """Ids of one pre-token in the model's own signs."""
         ids = self.parts.get(part)
         if ids is None:
             ids = self.parts[part] = [t.id for t in self.model.tokenize(part)]
         return ids
 
-    def ids(self, word: str) -> list[int]:
-        ids = self.words.get(word)
-        if ids is None:
-            if word.isascii() and word.isprintable() and "'" not in word and "<|" not in word:
-                # For such words normalising is lower-casing, and the splits are runs of one kind.
-                ids = [i for p in PARTS.findall(word.lower()) for i in self._part(p)]
-            elif any(s in word for s in self.special):
-                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-            else:
-                plain = self.tokenizer.normalizer.normalize_str(word)
-                ids = [i for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(plain) for i in self._part(p)]
-            self.words[word] = ids
-        return ids
+    def letters(self, low: str) -> list[int] | None:
+        """Ids of a lower-cased run of simple letters; None if it is anything else."""
+        if low.isalpha() and max(low) < self.SIMPLE:
+            return self.part(low if low.isascii() else low.encode().decode("latin-1").translate(self.signs))
+        return None
+
+    def made(self, word: str) -> list[int]:
+        ids = self.letters(word.lower())
+        if ids is None and word[-1] in self.CLOSERS:
+            head = word.rstrip("".join(self.CLOSERS))
+            ids = self.letters(head.lower()) if head else None
+            if ids is not None:
+                return ids + self.part(word[len(head):])
+        if ids is not None:
+            return ids
+        if word.isascii() and word.isprintable() and "'" not in word and "<|" not in word:
+            # For such words normalising is lower-casing, and the splits are runs of one kind.
+            return [i for p in PARTS.findall(word.lower()) for i in self.part(p)]
+        if any(s in word for s in self.special):
+            return self.tokenizer.encode(word, add_special_tokens=False).ids
+        plain = self.tokenizer.normalizer.normalize_str(word)
+        return [i for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(plain) for i in self.part(p)]
+
+    def table(self, names: list[str]) -> list[list[int]]:
+        """Ids of each word, remembered for the task's next slices."""
+        known, out = self.words, []
+        for word in names:
+            ids = known.get(word)
+            if ids is None:
+                ids = known[word] = self.made(word)
+            out.append(ids)
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, the closing id after each, and where each begins."""
@@ -84,7 +116,7 @@ class WordTable:
             self.words, self.parts = {}, {}
         flat, begin = words(texts)
         names, codes = distinct(flat)
-        table = [self.ids(w) for w in names]
+        table = self.table(names)
         sizes = np.fromiter(map(len, table), np.int64, len(table))
         pool = np.fromiter((i for t in table for i in t), np.uint32, int(sizes.sum()))
         places, each = gather(offsets_of(sizes)[:-1], sizes, codes)
