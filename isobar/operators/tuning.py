@@ -86,51 +86,49 @@ def score_by_split(model, df: DataFrame) -> dict:
     return {r["split"]: (r["rmse"], r["r2"], r["n"]) for r in rows}
 
 
-def _fold_scores(
-    family: str, settings: list[dict], train: DataFrame, held: DataFrame,
-    options: Mapping | None = None,
-) -> list[float]:
-    """RMSE on ``held`` of every setting fitted on ``train``.
+def fit_groups(family: str, settings: Sequence[dict]) -> list[list[int]]:
+    """Settings that one fit serves. Boosting adds trees one by one, so settings that differ in
+    ``maxIter`` only are prefixes of the longest."""
+    if family != "gbt":
+        return [[i] for i in range(len(settings))]
+    groups: dict[tuple, list[int]] = {}
+    for i, s in enumerate(settings):
+        groups.setdefault(tuple(sorted((k, v) for k, v in s.items() if k != "maxIter")), []).append(i)
+    return list(groups.values())
 
-    Boosting adds trees one by one, so the settings that differ in ``maxIter`` only are
-    prefixes of the longest one: it is fitted once and scored after each iteration.
-    """
+
+def group_scores(
+    family: str, settings: Sequence[dict], members: list[int], train: DataFrame, held: DataFrame,
+    options: Mapping | None = None,
+) -> dict[int, float]:
+    """RMSE on ``held`` of each setting of a group, from one fit on ``train``."""
     options = options or {}
     if family == "gbt":
-        scores: dict[int, float] = {}
-        groups: dict[tuple, list[int]] = {}
-        for i, s in enumerate(settings):
-            rest = tuple(sorted((k, v) for k, v in s.items() if k != "maxIter"))
-            groups.setdefault(rest, []).append(i)
-        for members in groups.values():
-            longest = max((settings[i] for i in members), key=lambda s: s.get("maxIter", 20))
-            model = estimator(family, longest, **options).fit(train)
-            mse = model.evaluateEachIteration(held, "squared")
-            for i in members:
-                scores[i] = mse[settings[i].get("maxIter", 20) - 1] ** 0.5
-        return [scores[i] for i in range(len(settings))]
-    scored = held
-    for i, s in enumerate(settings):
-        model = estimator(family, s, **options).fit(train)
-        scored = model.setPredictionCol(f"p_{i}").transform(scored)
-    row = scored.agg(*[rmse_of("label", f"p_{i}").alias(f"r_{i}") for i in range(len(settings))]).first()
-    return [row[f"r_{i}"] for i in range(len(settings))]
+        longest = max((settings[i] for i in members), key=lambda s: s.get("maxIter", 20))
+        errors = estimator(family, longest, **options).fit(train).evaluateEachIteration(held, "squared")
+        return {i: errors[settings[i].get("maxIter", 20) - 1] ** 0.5 for i in members}
+    scores = {}
+    for i in members:
+        model = estimator(family, settings[i], **options).fit(train)
+        scores[i] = model.transform(held).agg(rmse_of("label", "prediction").alias("r")).first()["r"]
+    return scores
 
 
 def tune_by_fits(
     df: DataFrame, keys: Sequence[str], family: str, features: Sequence[str],
     label: str = S.LABEL, grid: Mapping[str, list] | None = None, folds: int = 3,
-    fractions: Sequence[float] = TREE_FRACTIONS, scale: bool = False, parallelism: int = 3,
+    fractions: Sequence[float] = TREE_FRACTIONS, scale: bool = False, parallelism: int = 8,
     name: str | None = None, options: Mapping | None = None,
 ) -> FitStudy:
     """Grid search, refit, test score and learning curve of a table with a ``split`` column.
 
-    Takes any family; linear models of ordinary width are better served by
-    ``linear.tune_linear``, which needs one pass for all of it. Trees do not change when features are scaled, so ``scale`` is off unless a saved
-    pipeline has to contain the scaler. Folds and curve samples are hash filters on the
-    one persisted table; nothing is reshuffled or copied per fold. ``options`` go to every
-    estimator, e.g. ``maxMemoryInMB`` or ``cacheNodeIds`` for deep trees on large data. Each
-    of the ``parallelism`` concurrent folds keeps a binned copy of its rows inside MLlib.
+    Takes any family; linear models are better served by ``linear.tune_linear``. Trees do not
+    change when features are scaled, so ``scale`` is off unless a saved pipeline has to contain
+    the scaler. Folds and curve samples are hash filters on the one persisted table; nothing is
+    reshuffled or copied per fold. All pairs of a fold and a setting go through one pool of
+    ``parallelism`` fits, the refit and the points of the curve through the same afterwards; each
+    running fit keeps a binned copy of its rows inside MLlib. ``options`` go to every estimator,
+    e.g. ``maxMemoryInMB`` or ``cacheNodeIds`` for deep trees on large data.
     """
     name, options = name or MODEL_NAMES[family], dict(options or {})
     settings = expand_grid(grid or GRIDS[family])
@@ -143,44 +141,55 @@ def tune_by_fits(
     stages = feat.feature_stages(features, scale)
     table = table.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        train = table.filter(F.col("split") == "train")
-        assembled = feat.assemble_features(table, features)
-        fold_ids = [r["fold"] for r in train.select("fold").distinct().collect()]
-
-        def run_fold(i: int) -> list[float]:
-            rows = assembled.filter(F.col("split") == "train")
-            return _fold_scores(
-                family, settings, rows.filter(F.col("fold") != i), rows.filter(F.col("fold") == i), options
-            )
-
-        if len(settings) > 1 and len(fold_ids) > 1:
-            with ThreadPool(min(parallelism, len(fold_ids))) as pool:
-                per_fold = pool.map(inheritable_thread_target(df.sparkSession)(run_fold), sorted(fold_ids))
-            averages = [sum(s) / len(s) for s in zip(*per_fold)]
-        else:
-            averages = [None] * len(settings)
-        best = best_setting(settings, averages)
-        cv_rows = [
-            (name, i, {k: str(v) for k, v in s.items()}, averages[i]) for i, s in enumerate(settings)
-        ]
-
-        model = Pipeline(stages=[*stages, estimator(family, best, **options)]).fit(train)
-        scores = score_by_split(model, table)
-        curve = []
-        for i, fraction in enumerate(fractions):
-            if fraction >= 1.0:
-                sub_scores = scores
-            else:
-                part = train.filter(F.col("part") <= i)
+        with ThreadPool(parallelism) as pool:
+            def at_once(fn, tasks: list) -> list:
+                return pool.map(inheritable_thread_target(df.sparkSession)(fn), tasks, chunksize=1)
+
+            train = table.filter(F.col("split") == "train")
+            rows = feat.assemble_features(train, features).select("fold", "features", "label")
+            counts = {r["fold"]: r["count"] for r in train.groupBy("fold").count().collect()}
+            averages: list[float | None] = [None] * len(settings)
+            if len(settings) > 1 and len(counts) > 1:
+                # Large settings first, so that none starts when the others have ended.
+                tasks = [(i, g) for g in reversed(fit_groups(family, settings)) for i in sorted(counts)]
+
+                def score(task: tuple[int, list[int]]) -> dict[int, float]:
+                    fold, members = task
+                    apart = F.col("fold") == fold
+                    return group_scores(family, settings, members, rows.filter(~apart), rows.filter(apart), options)
+
+                found = at_once(score, tasks)
+                for i in range(len(settings)):
+                    own = [s[i] for s in found if i in s]
+                    averages[i] = sum(own) / len(own)
+            best = best_setting(settings, averages)
+            cv_rows = [
+                (name, i, {k: str(v) for k, v in s.items()}, averages[i]) for i, s in enumerate(settings)
+            ]
+
+            # Point None is the whole training set: the model itself.
+            def point(i: int | None):
+                part = train if i is None else train.filter(F.col("part") <= i)
                 if part.isEmpty():
-                    continue
-                sub = Pipeline(stages=[*stages, estimator(family, best, **options)]).fit(part)
-                rows = table.filter((F.col("split") == "test") | (F.col("part") <= i))
-                sub_scores = score_by_split(sub, rows)
-            tr, te = sub_scores.get("train", (None, None, 0)), sub_scores.get("test", (None, None, 0))
-            curve.append((name, float(fraction), int(tr[2]), tr[0], te[0], te[1]))
+                    return None
+                fitted = Pipeline(stages=[*stages, estimator(family, best, **options)]).fit(part)
+                seen = table if i is None else table.filter((F.col("split") == "test") | (F.col("part") <= i))
+                return fitted, score_by_split(fitted, seen)
+
+            points = [None, *[i for i, f in enumerate(fractions) if f < 1.0]]
+            done = dict(zip(points, at_once(point, points)))
     finally:
         table.unpersist()
+    if done[None] is None:
+        raise ValueError("no training rows")
+    model, scores = done[None]
+    curve = []
+    for i, fraction in enumerate(fractions):
+        found_point = done[None if fraction >= 1.0 else i]
+        if found_point is None:
+            continue
+        tr, te = (found_point[1].get(k, (None, None, 0)) for k in ("train", "test"))
+        curve.append((name, float(fraction), int(tr[2]), tr[0], te[0], te[1]))
     test = scores.get("test", (None, None, 0))
     return FitStudy(name, model, best, cv_rows, curve, test[0], test[1], list(features))
 

@@ -6,6 +6,10 @@ from pyspark.sql import functions as F
 
 from isobar import schema as S
 from isobar.operators import features, split, tuning
+from isobar.plans import train
+from isobar.session import scratch_path
+from isobar.sources import artifacts, tables
+from isobar.sources.artifacts import ArtifactStore
 
 FEATURES = ["HOUR", "DEW_C", "RH_PCT", "WIND_SPEED"]
 
@@ -58,9 +62,11 @@ def test_boosting_prefix_equals_separate_fits(keyed):
     rows = features.assemble_features(keyed.filter("split = 'train'"), FEATURES).select("fold", "label", "features")
     train, held = rows.filter("fold <> 0").persist(), rows.filter("fold = 0").persist()
     settings = [{"maxDepth": d, "maxIter": n} for d in (1, 2) for n in (2, 4)]
-    got = tuning._fold_scores("gbt", settings, train, held)
-    for s, g in zip(settings, got):
-        model = tuning.estimator("gbt", s).fit(train)
+    groups = tuning.fit_groups("gbt", settings)
+    assert groups == [[0, 1], [2, 3]]
+    got = {i: g for members in groups for i, g in tuning.group_scores("gbt", settings, members, train, held).items()}
+    for i, s in enumerate(settings):
+        g, model = got[i], tuning.estimator("gbt", s).fit(train)
         assert g == pytest.approx(RegressionEvaluator().evaluate(model.transform(held)), rel=1e-9), s
 
 
@@ -68,9 +74,9 @@ def test_forest_scores_match_separate_evaluation(keyed):
     rows = features.assemble_features(keyed.filter("split = 'train'"), FEATURES).select("fold", "label", "features")
     train, held = rows.filter("fold <> 1").persist(), rows.filter("fold = 1").persist()
     settings = [{"maxDepth": 2, "numTrees": 3}, {"maxDepth": 3, "numTrees": 2}]
-    got = tuning._fold_scores("rf", settings, train, held)
-    for s, g in zip(settings, got):
-        model = tuning.estimator("rf", s).fit(train)
+    got = tuning.group_scores("rf", settings, [0, 1], train, held)
+    for i, s in enumerate(settings):
+        g, model = got[i], tuning.estimator("rf", s).fit(train)
         assert g == pytest.approx(RegressionEvaluator().evaluate(model.transform(held)), rel=1e-9)
 
 
@@ -82,5 +88,18 @@ def test_scaling_does_not_change_a_tree(table):
     assert len(scaled.model.stages) == 3
 
 
+def test_family_options_reach_the_study(table, spark):
+    """Curve fractions, folds, scaler and pool size of a stored tree."""
+    store = ArtifactStore(spark, scratch_path(spark, "options"))
+    study = train.train_family(
+        table, store, "dt", features=FEATURES, grid={"maxDepth": [3], "maxBins": [32]}, folds=2,
+        fractions=[0.1, 0.2, 0.4, 0.6, 0.8, 1.0], scale=True, parallelism=2,
+    )
+    curve = store.read(artifacts.CURVE).orderBy("fraction").collect()
+    assert [r["fraction"] for r in curve] == [0.1, 0.2, 0.4, 0.6, 0.8, 1.0]
+    loaded = tables.load_model(store.path("DecisionTree_Tuned", artifacts.MODEL))
+    assert [type(s).__name__ for s in loaded.stages][1] == "StandardScalerModel" and len(study.model.stages) == 3
+
+
 def test_earliest_of_equal_scores_wins():
     assert tuning.best_setting([{"a": 1}, {"a": 2}, {"a": 3}], [2.0, 1.0, 1.0]) == {"a": 2}
