@@ -336,6 +336,8 @@ add("artifact_tables", "labelled", f"""
         / (var_pop(TMP_C) FILTER (WHERE split = 'test') * count(*) FILTER (WHERE split = 'test')), 6) AS test_r2
     FROM tuned JOIN labelled ON split = 'test' OR part <= i GROUP BY i, fraction""", GRID_EXTRA)
 
+ORACLE["tidy_export"] = ORACLE["artifact_tables"]
+
 SAMPLED = f"split = 'test' AND {key_bucket('plot')} % 1000 < 10"
 add("artifact_catalogue", "labelled", f"""
     SELECT 'LinearRegression_Tuned' AS model, kind, n AS n_rows FROM (

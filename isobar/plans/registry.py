@@ -28,12 +28,6 @@ TIE = "obs_id"
 # every weight is determined.
 DISTINCT_FEATURES = [c for c in S.FEATURES_ALL if c not in ("MONTH", "LONGITUDE", "ELEVATION")]
 LEADERBOARD = {"ols_dew": "DEW_C", "ols_humidity": "RH_PCT", "ols_pressure": "SLP_HPA"}
-# Small grids for the registered runs; the library defaults are larger.
-QUERY_GRIDS = {
-    "dt": {"maxDepth": [4, 6], "maxBins": [32, 64]},
-    "rf": {"maxDepth": [5], "numTrees": [5, 10]},
-    "gbt": {"maxDepth": [3], "maxIter": [5, 10]},
-}
 
 
 def query(fn: Query) -> Query:
@@ -470,14 +464,12 @@ def gbt_two_rounds(spark, d):
 
 
 def tree_study(spark: SparkSession, d: str, family: str, **options) -> tuning.FitStudy:
-    return tuning.tune_by_fits(
-        labelled(spark, d), S.MODEL_KEY, family, S.FEATURES_ALL, grid=QUERY_GRIDS[family], **options
-    )
+    return tuning.tune_by_fits(labelled(spark, d), S.MODEL_KEY, family, S.FEATURES_ALL, **options)
 
 
 def tuned(spark: SparkSession, d: str, family: str) -> DataFrame:
-    study = tree_study(spark, d, family, fractions=[1.0])
-    names = list(QUERY_GRIDS[family])
+    study = tree_study(spark, d, family)
+    names = list(tuning.GRIDS[family])
     cv = results.cv_table_wide(results.cv_table(spark, study.cv_rows), names)
     return cv.select(
         "model", "grid_idx", *[F.col(n).cast("int").alias(n) for n in names], r6("avg_rmse").alias("avg_rmse"),
@@ -509,7 +501,7 @@ def single_setting(spark: SparkSession, d: str, family: str, params: dict, **opt
 
 @query
 def feature_importance(spark, d):
-    study = single_setting(spark, d, "dt", {"maxDepth": 6, "maxBins": 64}, fractions=[1.0])
+    study = single_setting(spark, d, "dt", {"maxDepth": 6, "maxBins": 64})
     return rounded(tuning.importance_table(spark, study), "importance").orderBy(F.desc("importance"))
 
 
@@ -676,6 +668,30 @@ def artifact_catalogue(spark, d):
     return dew_store(spark, d).catalogue().select("model", "kind", "n_rows")
 
 
+def four_families(spark: SparkSession, d: str) -> ArtifactStore:
+    """The whole job: clean, split, tune and store all families on all features."""
+    store, table = ArtifactStore(spark, scratch_path(spark, "families")), stored(spark, d)
+    for family in tuning.FAMILIES:
+        train.train_family(table, store, family)
+    return store
+
+
+@query
+def report_four_families(spark, d):
+    board = report.leaderboard_from(four_families(spark, d))
+    return rounded(board, "test_rmse", "test_r2", "sample_rmse", "sample_r2")
+
+
+@query
+def tidy_export(spark, d):
+    """The learning curves of the exported report, read back from its CSV tables."""
+    out = scratch_path(spark, "tidy")
+    report.export_tidy(dew_store(spark, d), out)
+    found = spark.read.option("header", True).csv(f"{out}/tables/{artifacts.CURVE}")
+    kinds = {f.name: f.dataType for f in S.LEARNING_CURVE_SCHEMA.fields}
+    return curve_rounded(found.select(*[F.col(c).cast(t).alias(c) for c, t in kinds.items()]))
+
+
 @query
 def report_leaderboard(spark, d):
     board = report.leaderboard_from(dew_store(spark, d))
