@@ -20,6 +20,7 @@ separately. An empty table gives an empty result. Other columns are ignored.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from math import ceil
 
@@ -41,11 +42,16 @@ GENERATIONS = 12
 WELL_FILLED = 0.995
 KEEP_FILLED = 0.99  # bins below this share are dissolved after the first level
 MEMO = 400_000  # table entries a task keeps
+SLICE = 8_000_000  # bytes of text at once: fewer words are looked up again than in smaller slices
 PARTS = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
 
 
 # --- tokens ---------------------------------------------------------------------------
 
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def byte_signs() -> dict[int, str]:
     """How byte-level models write bytes: visible Latin-1 signs stand for themselves, the rest follow from U+0100."""
     visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -67,23 +73,24 @@ class WordTable:
         self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.signs = byte_signs()
-        self.words: dict[str, list[int]] = {}
-        self.parts: dict[str, list[int]] = {}
+        # Ids as bytes of 32-bit numbers: a third of the memory of lists, and they join in one call.
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
-    def part(self, part: str) -> list[int]:
+    def part(self, part: str) -> bytes:
         """Ids of one pre-token in the model's own signs."""
         ids = self.parts.get(part)
         if ids is None:
-            ids = self.parts[part] = [t.id for t in self.model.tokenize(part)]
+            ids = self.parts[part] = packed([t.id for t in self.model.tokenize(part)])
         return ids
 
-    def letters(self, low: str) -> list[int] | None:
+    def letters(self, low: str) -> bytes | None:
         """Ids of a lower-cased run of simple letters; None if it is anything else."""
         if low.isalpha() and max(low) < self.SIMPLE:
             return self.part(low if low.isascii() else low.encode().decode("latin-1").translate(self.signs))
         return None
 
-    def made(self, word: str) -> list[int]:
+    def made(self, word: str) -> bytes:
         ids = self.letters(word.lower())
         if ids is None and word[-1] in self.CLOSERS:
             head = word.rstrip("".join(self.CLOSERS))
@@ -94,13 +101,13 @@ class WordTable:
             return ids
         if word.isascii() and word.isprintable() and "'" not in word and "<|" not in word:
             # For such words normalising is lower-casing, and the splits are runs of one kind.
-            return [i for p in PARTS.findall(word.lower()) for i in self.part(p)]
+            return b"".join(map(self.part, PARTS.findall(word.lower())))
         if any(s in word for s in self.special):
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
+            return packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
         plain = self.tokenizer.normalizer.normalize_str(word)
-        return [i for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(plain) for i in self.part(p)]
+        return b"".join(self.part(p) for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(plain))
 
-    def table(self, names: list[str]) -> list[list[int]]:
+    def table(self, names: list[str]) -> list[bytes]:
         """Ids of each word, remembered for the task's next slices."""
         known, out = self.words, []
         for word in names:
@@ -117,8 +124,8 @@ class WordTable:
         flat, begin = words(texts)
         names, codes = distinct(flat)
         table = self.table(names)
-        sizes = np.fromiter(map(len, table), np.int64, len(table))
-        pool = np.fromiter((i for t in table for i in t), np.uint32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
+        pool = np.frombuffer(b"".join(table), "<u4")
         places, each = gather(offsets_of(sizes)[:-1], sizes, codes)
         ends = offsets_of(each)[begin]
         lengths = np.diff(ends) + 1
@@ -163,7 +170,7 @@ def token_pieces(
 
     id_type = dict(docs.dtypes)[id_column]
     schema = f"`{id_column}` {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint"
-    return map_slices(docs.select(id_column, text), text, run, schema + ", ids array<int>" * with_ids, setup)
+    return map_slices(docs.select(id_column, text), text, run, schema + ", ids array<int>" * with_ids, setup, SLICE)
 
 
 # --- one shard ------------------------------------------------------------------------
