@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 # Text that is worked on at once inside a task. Not a limit: longer texts form a slice of their own.
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
 
 
 def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -27,7 +27,7 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Itera
 
 def map_slices(
     df: DataFrame, column: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str,
-    setup: Callable[[], None] | None = None,
+    setup: Callable[[], None] | None = None, size: int = SLICE_BYTES,
 ) -> DataFrame:
     """``fn`` over slices of every Arrow batch of ``df``."""
 
@@ -35,7 +35,7 @@ def map_slices(
         if setup:
             setup()
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, size):
                 out = fn(part)
                 yield from out.to_batches() if isinstance(out, pa.Table) else [out]
 
