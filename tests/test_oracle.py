@@ -9,6 +9,9 @@ from conftest import MEDIUM, SMALL
 # Deep trees need enough rows per node: on the smallest tables several features cut a node
 # into the same rows and the choice between them is rounding.
 DEEP = {"dt_tuned", "feature_importance"}
+# Default grids of forests and boosting: minutes, and no SQL to compare with. test_tuning.py checks
+# their parts on small grids; tests/compare.py runs them whole.
+SLOW = {"rf_tuned", "gbt_tuned", "report_four_families"}
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +19,7 @@ def duck():
     return {d: connect(d) for d in (SMALL, MEDIUM)}
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in SLOW])
 def test_query(spark, duck, name):
     sf_dir = MEDIUM if name in DEEP else SMALL
     df = entry.queries()[name](spark, sf_dir)
