@@ -389,6 +389,25 @@ def near_duplicate_components(
     return rows.join(found, "fp").select(id_column, *keep, "fp", "root", "component_id")
 
 
+def row_keys(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a hash of every row, and the name of that column."""
+    key = "_row_key"
+    while key in docs.columns or f"{key}_number" in docs.columns:
+        key = "_" + key
+    return docs.withColumn(key, F.xxhash64(*docs.columns)), key
+
+
+def first_of_each(keyed: DataFrame, found: DataFrame, id_column: str, key: str) -> DataFrame:
+    """The rows of ``keyed`` with the smallest id, nulls last, of every root in ``found``."""
+    order = F.struct(F.col(id_column).isNull().alias("a"), F.col(id_column).alias("b"), F.col(key).alias("c"))
+    first = found.groupBy("root").agg(F.min(order).alias("first"))
+    stays = first.select(F.col("first")["c"].alias(key), F.col("first")["b"].alias(f"{key}_id"))
+    joined = keyed.join(stays, key).filter(F.col(id_column).eqNullSafe(F.col(f"{key}_id")))
+    number = F.row_number().over(Window.partitionBy(key).orderBy(F.col(id_column)))
+    names = [c for c in keyed.columns if c != key]
+    return joined.withColumn(f"{key}_number", number).filter(F.col(f"{key}_number") == 1).select(*names)
+
+
 def one_of_each(
     docs: DataFrame, text: str = "text", id_column: str = "doc_id", shingle: int = SHINGLE, radius: int = RADIUS
 ) -> DataFrame:
@@ -396,15 +415,6 @@ def one_of_each(
 
     Of rows that are equal in every column one stays.
     """
-    names = docs.columns
-    key, row = "_row_key", "_row_number"
-    while key in names or row in names:
-        key, row = "_" + key, "_" + row
-    keyed = docs.withColumn(key, F.xxhash64(*names))
+    keyed, key = row_keys(docs)
     found = near_duplicate_components(keyed.select(id_column, text, key), text, id_column, shingle, radius, keep=(key,))
-    order = F.struct(F.col(id_column).isNull().alias("a"), F.col(id_column).alias("b"), F.col(key).alias("c"))
-    first = found.groupBy("root").agg(F.min(order).alias("first"))
-    stays = first.select(F.col("first")["c"].alias(key), F.col("first")["b"].alias(f"{key}_id"))
-    joined = keyed.join(stays, key).filter(F.col(id_column).eqNullSafe(F.col(f"{key}_id")))
-    number = F.row_number().over(Window.partitionBy(key).orderBy(F.col(id_column)))
-    return joined.withColumn(row, number).filter(F.col(row) == 1).select(*names)
+    return first_of_each(keyed, found, id_column, key)
