@@ -9,7 +9,7 @@ Inputs are word forms, hashed into ``width`` slots and counted as shares of a te
 roots taken: the form with letter runs, digit runs and repeated signs collapsed, the trailing
 signs, the length, the letters a word ends in, and whether a word repeats the one before. The fit
 uses at most about ``rows`` rated documents per grade, chosen by a hash of the id; the bound is a
-parameter. Scoring takes whole texts.
+parameter. Scoring takes whole texts: a word of more than 64 signs counts as several of 64.
 
 A null or empty text has no words and gets the score of an all-zero input. Null ratings and
 ratings of missing documents are not learned from; a document rated twice counts twice. With
@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,12 +36,13 @@ WIDTH = 1 << 12
 ROWS = 2500
 STEPS = 400
 L2 = 1e-4
+PIECE = 64  # signs of a word; longer ones, as in texts without white space, count as several
 SIGNS = re.compile(r"[\W_]+$")
 
 
 def form(word: str) -> str:
     """Kinds of the signs, runs collapsed to one."""
-    kinds = word[:64].translate(KIND)
+    kinds = word.translate(KIND)
     return "".join(k for i, k in enumerate(kinds) if not i or k != kinds[i - 1])
 
 
@@ -55,9 +57,21 @@ def slots(word: str, width: int) -> list[int]:
     return [zlib.crc32(n.encode()) % width for n in names]
 
 
+def cut_long(flat: pa.Array, begin: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Words of more than PIECE signs as consecutive words of at most PIECE signs."""
+    lengths = pc.utf8_length(flat).to_numpy(zero_copy_only=False)
+    if not (lengths > PIECE).any():
+        return flat, begin
+    pieces = np.maximum(-(-lengths // PIECE), 1).astype(np.int64)
+    out: list[str] = []
+    for word, n in zip(flat.to_pylist(), pieces.tolist()):
+        out += [word] if n == 1 else [word[k * PIECE:(k + 1) * PIECE] for k in range(n)]
+    return pa.array(out, flat.type), offsets_of(pieces)[begin]
+
+
 def features(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sparse rows of square-rooted shares: slots, values, where each text begins."""
-    flat, begin = words(texts)
+    flat, begin = cut_long(*words(texts))
     names, codes = distinct(flat)
     table = [slots(w, width) for w in names]
     sizes = np.fromiter(map(len, table), np.int64, len(table))
