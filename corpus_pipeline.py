@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import language, near, ordinal, packing, pii
+from isobar.llm import language, ordinal, packing, pii, simhash
 from isobar.session import scratch_path
 
 # A document stays if P(quality >= 1) is at least this.
@@ -32,8 +32,8 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group linked by a 5-word Jaccard index of 0.8 or more."""
-    return near.one_of_each(docs)
+    """The document with the smallest id of each group of SimHash links: 4-word shingles, 4 bits."""
+    return simhash.one_of_each(docs, shingle=4, radius=4)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
