@@ -389,12 +389,24 @@ def near_duplicate_components(
     return rows.join(found, "fp").select(id_column, *keep, "fp", "root", "component_id")
 
 
+def quoted(name: str) -> str:
+    """A column name as an expression, whatever signs it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def row_keys(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a hash of every row, and the name of that column."""
+    """``docs`` with a hash of every row, and the name of that column.
+
+    Columns of any type and name take part; maps, which have no hash, as JSON in their own order.
+    """
     key = "_row_key"
-    while key in docs.columns or f"{key}_number" in docs.columns:
+    while any(c.lower().startswith(key) for c in docs.columns):
         key = "_" + key
-    return docs.withColumn(key, F.xxhash64(*docs.columns)), key
+    hashed = [
+        F.to_json(F.struct(F.col(quoted(f.name)).alias("v"))) if "map<" in f.dataType.simpleString() else F.col(quoted(f.name))
+        for f in docs.schema
+    ]
+    return docs.withColumn(key, F.xxhash64(*hashed)), key
 
 
 def first_of_each(keyed: DataFrame, found: DataFrame, id_column: str, key: str) -> DataFrame:
@@ -404,7 +416,7 @@ def first_of_each(keyed: DataFrame, found: DataFrame, id_column: str, key: str)
     stays = first.select(F.col("first")["c"].alias(key), F.col("first")["b"].alias(f"{key}_id"))
     joined = keyed.join(stays, key).filter(F.col(id_column).eqNullSafe(F.col(f"{key}_id")))
     number = F.row_number().over(Window.partitionBy(key).orderBy(F.col(id_column)))
-    names = [c for c in keyed.columns if c != key]
+    names = [F.col(quoted(c)) for c in keyed.columns if c != key]
     return joined.withColumn(f"{key}_number", number).filter(F.col(f"{key}_number") == 1).select(*names)
 
 

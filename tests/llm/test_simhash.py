@@ -126,3 +126,15 @@ def test_one_row_of_each_group_with_all_columns(spark):
 def test_equal_rows_leave_one(spark):
     rows = [(7, "one two three four five six", "en", "a", 1)] * 5
     assert simhash.one_of_each(spark.createDataFrame(rows, DOCS).repartition(3)).count() == 1
+
+
+def test_extra_columns_of_any_type_and_name(spark):
+    from pyspark.sql import functions as F
+
+    docs = odd_documents(spark).withColumns({
+        "a.b": F.lit(1), "m": F.create_map(F.lit("k"), F.col("doc_id")), "_row_key_ID": F.lit("x"), "tick`ed": F.lit(2),
+        "deep": F.array(F.struct(F.create_map(F.lit(1), F.lit(2)).alias("inner"))),
+    })
+    got = simhash.one_of_each(docs)
+    assert got.columns == docs.columns
+    assert got.count() == simhash.one_of_each(odd_documents(spark)).count()
