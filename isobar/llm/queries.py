@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import language, ordinal, packing, pieces, pii, secrets, simhash, syncmers, topk, toxicity
+from isobar.llm import bpe, language, negatives, ordinal, packing, pieces, pii, secrets, simhash, syncmers, topk, toxicity, variants
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,3 +104,49 @@ def op2_syncmer_fingerprints(spark, d):
 @query
 def op9_entropy_secrets(spark, d):
     return secrets.find(documents(spark, d))
+
+
+@query
+def op11_spelling_variants(spark, d):
+    return variants.variant_forms(variants.counted_words(documents(spark, d)))
+
+
+@query
+def op12_bpe_backtracking(spark, d):
+    file = public_tokenizers.path("word_bpe_49k.json")
+    rows = bpe.decode(bpe.encode(documents(spark, d), file), file)
+    sha = lambda text: F.sha2(text.cast("binary"), 256)
+    return rows.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        sha(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+        sha(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
+@query
+def op13_hard_negatives(spark, d):
+    return negatives.hard_negatives(negatives.noisy_labels(spark.read.parquet(f"{d}/embeddings.parquet")), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op13_hard_negatives"] = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS vec_id, a.label = r.label AS same,
+    CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM usable a JOIN usable r ON a.vec_id % 100 = 0 AND r.vec_id <> a.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+  n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n
+  ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+QUALIFY rank <= 10
+"""

@@ -89,7 +89,7 @@ def test_stages_keep_columns_and_survive_odd_rows(spark, tmp_path):
 
 
 def test_registered_queries_read_whole_tables(spark):
-    names = {n: f"op{n}_" for n in range(1, 11)}
+    names = {n: f"op{n}_" for n in range(1, 14)}
     assert all(sum(q.startswith(p) for q in QUERIES) == 1 for p in names.values())
     assert set(ORACLE) <= set(QUERIES)
     source = (Path(__file__).resolve().parents[2] / "isobar" / "llm" / "queries.py").read_text()
@@ -108,6 +108,7 @@ def test_every_query_gives_its_contract_columns(spark):
         "op8_sentencepiece": "doc_id n_tokens ids_sha256 decoded_sha256",
         "op9_entropy_secrets": "doc_id n_assign n_access n_hex base_sha256 spans",
         "op10_language_rank": "doc_id held_out lang_pred score",
+        "op12_bpe_backtracking": "doc_id n_tokens ids_sha256 decoded_sha256",
     }
     n = spark.read.parquet(f"{SMALL}/documents.parquet").count()
     for name, columns in want.items():
