@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from isobar import schema as S
 from isobar.functions.times import parse_time, truncate_hour
+from isobar.session import scratch_path
 
 
 def hourly_rows(df: DataFrame, date: str = "DATE") -> DataFrame:
@@ -58,9 +58,31 @@ def assemble_features(df: DataFrame, features: Sequence[str], output: str = "fea
     return assembler(features, output).transform(df)
 
 
+def sample_deviations(columns: Sequence[str]) -> list[Column]:
+    """Aggregates for ``observe`` or ``agg``: the sample deviation of each column under its name.
+
+    Spark keeps count, mean and squared deviations around it and merges them between tasks.
+    """
+    return [F.stddev_samp(F.col(c).cast("double")).alias(c) for c in columns]
+
+
+def scaled(df: DataFrame, features: Sequence[str], deviations: Mapping[str, float | None], output: str = "features") -> DataFrame:
+    """Adds ``output``: the columns as a vector, each divided by its deviation; 0 where that is 0 or unknown."""
+    parts = [
+        F.col(c).cast("double") / F.lit(float(deviations[c])) if deviations[c] else F.lit(0.0) for c in features
+    ]
+    return df.withColumn(output, array_to_vector(F.array(*parts)))
+
+
 def standard_scale(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Adds ``features``: the columns as a vector, each divided by its sample deviation."""
-    return Pipeline(stages=feature_stages(features, scale=True)).fit(df).transform(df)
+    """Adds ``features``: the columns as a vector, each divided by its sample deviation.
+
+    ``df`` is evaluated once: its rows are written, and the deviations observed while they are.
+    """
+    spark, seen = df.sparkSession, Observation()
+    path = scratch_path(spark, "unscaled")
+    df.observe(seen, *sample_deviations(features)).write.parquet(path)
+    return scaled(spark.read.parquet(path), features, seen.get)
 
 
 def vector_to_columns(df: DataFrame, vector: str, names: Sequence[str]) -> DataFrame:

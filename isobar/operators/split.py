@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isobar.functions.hashing import bucket, row_hash
+from isobar.session import scratch_path
 
 
 BUCKETS = 1000
@@ -58,42 +59,66 @@ def fraction_index(keys: Sequence[str], fractions: Sequence[float], salt: str =
     ])
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or with enough underscores that no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def sample_cut(
+    df: DataFrame, order: Column, cap: int, by: Sequence[Column], names: Sequence[str], last: str, bits: int = 16
+) -> DataFrame:
+    """(names, last): per group the range of ``order`` (32 bits) that holds the ``cap``-th row; a written table.
+
+    Rows are counted per group and range, combined map-side: at most 2^``bits`` counters per group
+    leave a task and none of the rows' columns. Groups with fewer rows get their last range.
+    """
+    spark = df.sparkSession
+    at, count, before = "range", "count", "before"
+    counted = (
+        df.select(*[c.alias(n) for c, n in zip(by, names)], F.shiftright(order, 32 - bits).alias(last))
+        .groupBy(*names, last).agg(F.count(F.lit(1)).alias(count))
+    )
+    whole = F.struct(*names) if names else F.lit(0)
+    earlier = Window.partitionBy(whole).orderBy(last).rowsBetween(Window.unboundedPreceding, -1)
+    cut = (
+        counted.withColumn(before, F.coalesce(F.sum(count).over(earlier), F.lit(0))).filter(F.col(before) < cap)
+        .groupBy(*names).agg(F.max(last).alias(at)).select(*names, F.col(at).alias(last))
+    )
+    path = scratch_path(spark, "cut")
+    cut.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def capped_sample(
     df: DataFrame, keys: Sequence[str], fraction: float, cap: int, by: Sequence[str] = (),
     salt: str = "plot",
 ) -> DataFrame:
     """The fraction sample, and of it the ``cap`` rows per group that come first in hash order.
 
-    Hash ranges are counted first, so that only about ``cap`` rows of each group are ever
-    ranked. Equal rows travel as one row with a multiplicity, so copies cannot pile up in
-    one task, and a boundary row is repeated only as often as the cap still allows.
+    A first pass finds each group's threshold of the hash (``sample_cut``), a second one filters by
+    it: rows beyond it are never shuffled or ranked. The thresholds are a written table with
+    one row per group, joined without a hint, so Catalyst sees how large it is. Behind the filter equal
+    rows travel as one with a multiplicity, so copies cannot pile up in one task, and a boundary row
+    is repeated only as often as the cap still allows.
     """
     cols = df.columns
+    n, order, upto, sofar, take = (unused(df, c) for c in ("_n", "_hash", "_last", "_before", "_take"))
+    names = [unused(df, f"_group_{i}") for i in range(len(by))]
     drawn = sample_fraction(df, keys, fraction, salt)
-    distinct = (
-        drawn.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_hash", row_hash(cols, salt))
-        .withColumn("_range", F.shiftright("_hash", 16))
-        .withColumn("_all", F.lit(0))
-    )
-    by = [*by, "_all"]
-    # At most 65,536 hash ranges per group, whatever the number of rows.
-    ranges = distinct.groupBy(*by, "_range").agg(F.sum("_n").alias("_m"))
-    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    cut = (
-        ranges.withColumn("_before", F.coalesce(F.sum("_m").over(before), F.lit(0)))
-        .filter(F.col("_before") < cap)
-        .groupBy(*by).agg(F.max("_range").alias("_last"))
-    )
-    # ``cut`` has one row per group. Groups are the handful of compared models, and a
-    # shuffle on the group would gather each model in one task.
-    named = cut.withColumnsRenamed({c: f"_group_{i}" for i, c in enumerate(by)})
-    same = [F.col(c).eqNullSafe(F.col(f"_group_{i}")) for i, c in enumerate(by)]
-    near = distinct.join(F.broadcast(named), [*same, F.col("_range") <= F.col("_last")])
-    order = Window.partitionBy(*by).orderBy("_hash", *cols).rowsBetween(Window.unboundedPreceding, -1)
+    hashed = row_hash(cols, salt)
+    cut = sample_cut(drawn, hashed, cap, [F.col(c) for c in by], names, upto)
+    marked = drawn.withColumn(order, hashed)
+    same = [F.col(c).eqNullSafe(F.col(g)) for c, g in zip(by, names)]
+    near = marked.join(cut, [*same, F.shiftright(order, 16) <= F.col(upto)]).select(*cols, order)
+    distinct = near.groupBy(*cols, order).agg(F.count(F.lit(1)).alias(n))
+    group = F.struct(*by) if by else F.lit(0)
+    earlier = Window.partitionBy(group).orderBy(order, *cols).rowsBetween(Window.unboundedPreceding, -1)
     kept = (
-        near.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0)))
-        .filter(F.col("_before") < cap)
-        .withColumn("_take", F.least(F.col("_n"), F.lit(cap) - F.col("_before")).cast("int"))
+        distinct.withColumn(sofar, F.coalesce(F.sum(n).over(earlier), F.lit(0)))
+        .filter(F.col(sofar) < cap)
+        .withColumn(take, F.least(F.col(n), F.lit(cap) - F.col(sofar)).cast("int"))
     )
-    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_take")))).select(*cols)
+    return kept.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(take)))).select(*cols)

@@ -5,12 +5,13 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from isobar import schema as S
-from isobar.operators import clean, features, split
+from isobar.operators import clean, features, results, split
 
 log = logging.getLogger(__name__)
+SCALE = "_deviations"
 
 
 def parsed_observations(
@@ -51,6 +52,19 @@ def model_table(raw: DataFrame, tie: str | None = None, precip_index: int = 0) -
 
 
 def write_split_table(raw: DataFrame, path: str, tie: str | None = None) -> None:
-    """The modelling table with its train/test label, one parquet folder per split."""
-    labelled = split.train_test_split(model_table(raw, tie), S.MODEL_KEY)
-    labelled.write.mode("overwrite").partitionBy("split").parquet(path)
+    """The modelling table with its train/test label, one parquet folder per split.
+
+    The deviations of the features are observed while the rows are written and stored beside them,
+    in a folder that readers of the table skip.
+    """
+    labelled, seen = split.train_test_split(model_table(raw, tie), S.MODEL_KEY), Observation()
+    observed = labelled.observe(seen, *features.sample_deviations(S.FEATURES_ALL))
+    observed.write.mode("overwrite").partitionBy("split").parquet(path)
+    rows = [(c, seen.get[c]) for c in S.FEATURES_ALL]
+    results.small_table(raw.sparkSession, rows, "feature string, deviation double").write.json(f"{path}/{SCALE}")
+
+
+def stored_deviations(spark: SparkSession, path: str) -> dict[str, float | None]:
+    """The sample deviations of the features of a split table, as they were observed when it was written."""
+    rows = spark.read.schema("feature string, deviation double").json(f"{path}/{SCALE}").collect()
+    return {r["feature"]: r["deviation"] for r in rows}

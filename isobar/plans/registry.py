@@ -235,7 +235,11 @@ def assemble_features(spark, d):
 
 @query
 def standard_scale(spark, d):
-    scaled = features.standard_scale(model(spark, d), S.FEATURES_ALL).select(*S.MODEL_KEY, "features")
+    """Deviations observed while the split table is written; scaling projects what was written."""
+    path = scratch_path(spark, "split-table")
+    preprocess.write_split_table(raw(spark, d), path, TIE)
+    table = tables.read_parquet(spark, path)
+    scaled = features.scaled(table, S.FEATURES_ALL, preprocess.stored_deviations(spark, path)).select(*S.MODEL_KEY, "features")
     names = [f"{c}_SCALED" for c in S.FEATURES_ALL]
     return rounded(features.vector_to_columns(scaled, "features", names).drop("features"), *names)
 

@@ -1,11 +1,12 @@
 """The physical plans the job depends on at scale."""
 
 import re
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from isobar import schema as S
-from isobar.operators import linear, metrics, moments, quality, split
+from isobar.operators import features, linear, metrics, moments, quality, split
 from isobar.plans import preprocess
 from isobar.session import scratch_path
 
@@ -91,3 +92,52 @@ def test_no_cross_join_in_the_capped_sample(table):
     pairs = table.select("split", *S.MODEL_KEY, "TMP_C")
     plan = plan_of(split.capped_sample(pairs, S.MODEL_KEY, 0.5, 100, ["split"]))
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def bytes_read(spark):
+    return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+
+def test_scaling_evaluates_its_input_once(spark, raw):
+    """The split table and its deviations come out of one pass; scaling is a projection."""
+    source = stored(raw.repartition(4))
+    size = sum(f.stat().st_size for f in Path(source).glob("*.parquet"))
+    path = scratch_path(spark, "scaled")
+    before = bytes_read(spark)
+    preprocess.write_split_table(spark.read.parquet(source), path, "obs_id")
+    assert bytes_read(spark) - before < 1.5 * size
+    table = spark.read.parquet(path)
+    assert set(table.columns) == {*S.MODEL_COLUMNS, "split"}
+    deviations = preprocess.stored_deviations(spark, path)
+    want = table.agg(*features.sample_deviations(S.FEATURES_ALL)).first().asDict()
+    assert all(abs(deviations[c] - want[c]) <= 1e-9 * (1 + want[c]) for c in S.FEATURES_ALL)
+    plan = plan_of(features.scaled(table, S.FEATURES_ALL, deviations))
+    assert exchanges(plan) == 0 and "Python" not in plan and plan.count("Scan parquet") <= 2
+
+
+def test_standard_scale_reads_its_input_once(spark, raw):
+    source = stored(raw.select("obs_id", F.col("obs_id").cast("double").alias("x"), F.lit(2.0).alias("same")).repartition(4))
+    size = sum(f.stat().st_size for f in Path(source).glob("*.parquet"))
+    before = bytes_read(spark)
+    got = features.standard_scale(spark.read.parquet(source), ["x", "same"])
+    assert bytes_read(spark) - before < 2 * size + 20_000  # the schema is read from a footer as well
+    row = got.orderBy("obs_id").collect()[-1]
+    assert row["features"][1] == 0.0 and row["features"][0] > 0
+
+
+def test_capped_sample_shuffles_counters_and_then_few_rows(table):
+    """No exchange carries a row's columns before the threshold's filter."""
+    pairs = table.select("split", *S.MODEL_KEY, "TMP_C", "DEW_C")
+    cut = split.sample_cut(pairs, split.row_hash(pairs.columns), 100, [F.col("split")], ["g"], "last")
+    assert {r["g"] for r in cut.collect()} == {"train", "test"}
+    plan = plan_of(split.capped_sample(pairs, S.MODEL_KEY, 0.5, 100, ["split"]))
+    tree = plan.split("\n\n")[0]
+    first_exchange = max(i for i, line in enumerate(tree.splitlines()) if "Exchange" in line and "Broadcast" not in line)
+    join = next(i for i, line in enumerate(tree.splitlines()) if "BroadcastHashJoin" in line)
+    assert join > first_exchange  # below the deepest shuffle: the rows are filtered first
+
+
+def test_capped_sample_takes_any_column_name(spark):
+    df = spark.range(50).selectExpr("id AS _n", "id % 2 AS _hash", "id AS _group_0", "CAST(NULL AS INT) AS `_last`")
+    got = split.capped_sample(df, ["_n"], 1.0, 7, ["_hash"])
+    assert got.columns == df.columns and got.count() == 14
