@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from isobar import schema as S
 from isobar.operators import features as feat
-from isobar.operators import split
+from isobar.operators import forest, split
 from isobar.operators.metrics import r2_of, rmse_of
 from isobar.operators.results import small_table
 
@@ -31,18 +31,24 @@ FAMILIES = {
     "rf": RandomForestRegressor,
     "gbt": GBTRegressor,
 }
+# A forest whose draws are hashes of the rows' keys; the same on any partitioning.
+HASHED = "hf"
+# Families that add trees one by one, and the parameter that counts them.
+COUNTED = {"gbt": "maxIter", HASHED: "numTrees"}
 # The default grids and model names.
 GRIDS = {
     "lr": {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.5, 1.0]},
     "dt": {"maxDepth": [4, 6], "maxBins": [32, 64]},
     "rf": {"maxDepth": [6, 12], "numTrees": [20, 50]},
     "gbt": {"maxDepth": [4, 6], "maxIter": [30, 50]},
+    "hf": {"maxDepth": [6, 12], "numTrees": [20, 50]},
 }
 MODEL_NAMES = {
     "lr": "LinearRegression_Tuned",
     "dt": "DecisionTree_Tuned",
     "rf": "RandomForest_Tuned",
     "gbt": "GBT_Tuned",
+    "hf": "HashedForest_Tuned",
 }
 TREE_FRACTIONS = [0.1, 0.25, 0.5, 0.75, 1.0]
 
@@ -87,16 +93,34 @@ def score_by_split(model, df: DataFrame) -> dict:
 
 
 def fit_groups(family: str, settings: Sequence[dict]) -> list[list[int]]:
-    """Settings that one fit serves. Boosting adds trees one by one, so settings that differ in
-    ``maxIter`` only are prefixes of the longest."""
-    if family != "gbt":
+    """Settings that one fit serves. Boosting and the hashed forest add trees one by one, so settings
+    that differ in their number only are prefixes of the longest."""
+    if family not in COUNTED:
         return [[i] for i in range(len(settings))]
     groups: dict[tuple, list[int]] = {}
     for i, s in enumerate(settings):
-        groups.setdefault(tuple(sorted((k, v) for k, v in s.items() if k != "maxIter")), []).append(i)
+        groups.setdefault(tuple(sorted((k, v) for k, v in s.items() if k != COUNTED[family])), []).append(i)
     return list(groups.values())
 
 
+def hashed_fit(train: DataFrame, keys: Sequence[str], features: Sequence[str], setting: Mapping, options: Mapping) -> forest.HashedForest:
+    trees, depth, bins = setting.get("numTrees", 20), setting.get("maxDepth", 5), setting.get("maxBins", 32)
+    return forest.fit_forest(train, keys, features, trees=trees, depth=depth, bins=bins, seed=SEED, options=options)
+
+
+def hashed_scores(
+    settings: Sequence[dict], members: list[int], train: DataFrame, held: DataFrame, keys: Sequence[str],
+    features: Sequence[str], options: Mapping,
+) -> dict[int, float]:
+    """RMSE on ``held`` of each setting of a group: prefixes of one forest."""
+    longest = max((settings[i] for i in members), key=lambda s: s.get("numTrees", 20))
+    grown = hashed_fit(train, keys, features, longest, options)
+    return {
+        i: grown.model(settings[i].get("numTrees", 20)).transform(held).agg(rmse_of("label", "prediction").alias("r")).first()["r"]
+        for i in members
+    }
+
+
 def group_scores(
     family: str, settings: Sequence[dict], members: list[int], train: DataFrame, held: DataFrame,
     options: Mapping | None = None,
@@ -122,7 +146,8 @@ def tune_by_fits(
 ) -> FitStudy:
     """Grid search, refit, test score and learning curve of a table with a ``split`` column.
 
-    Takes any family; linear models are better served by ``linear.tune_linear``. Trees do not
+    Takes any family; linear models are better served by ``linear.tune_linear``. ``hf`` is the forest
+    of ``forest.fit_forest``: the same model on any partitioning, its scores by prefix. Trees do not
     change when features are scaled, so ``scale`` is off unless a saved pipeline has to contain
     the scaler. Folds and curve samples are hash filters on the one persisted table; nothing is
     reshuffled or copied per fold. All pairs of a fold and a setting go through one pool of
@@ -133,10 +158,11 @@ def tune_by_fits(
     name, options = name or MODEL_NAMES[family], dict(options or {})
     settings = expand_grid(grid or GRIDS[family])
     fractions = sorted(fractions)
+    named = [f"_key_{i}" for i in range(len(keys))] if family == HASHED else []
     table = df.na.drop(subset=[*features, label]).select(
         "split", split.fold_number(keys, folds).alias("fold"),
         F.coalesce(split.fraction_index(keys, fractions), F.lit(len(fractions))).alias("part"),
-        *features, F.col(label).cast("double").alias("label"),
+        *features, F.col(label).cast("double").alias("label"), *[F.col(k).alias(n) for n, k in zip(named, keys)],
     )
     stages = feat.feature_stages(features, scale)
     table = table.persist(StorageLevel.MEMORY_AND_DISK)
@@ -146,7 +172,7 @@ def tune_by_fits(
                 return pool.map(inheritable_thread_target(df.sparkSession)(fn), tasks, chunksize=1)
 
             train = table.filter(F.col("split") == "train")
-            rows = feat.assemble_features(train, features).select("fold", "features", "label")
+            rows = train if named else feat.assemble_features(train, features).select("fold", "features", "label")
             counts = {r["fold"]: r["count"] for r in train.groupBy("fold").count().collect()}
             averages: list[float | None] = [None] * len(settings)
             if len(settings) > 1 and len(counts) > 1:
@@ -156,6 +182,8 @@ def tune_by_fits(
                 def score(task: tuple[int, list[int]]) -> dict[int, float]:
                     fold, members = task
                     apart = F.col("fold") == fold
+                    if named:
+                        return hashed_scores(settings, members, rows.filter(~apart), rows.filter(apart), named, features, options)
                     return group_scores(family, settings, members, rows.filter(~apart), rows.filter(apart), options)
 
                 found = at_once(score, tasks)
@@ -172,7 +200,10 @@ def tune_by_fits(
                 part = train if i is None else train.filter(F.col("part") <= i)
                 if part.isEmpty():
                     return None
-                fitted = Pipeline(stages=[*stages, estimator(family, best, **options)]).fit(part)
+                if named:
+                    fitted = hashed_fit(part, named, features, best, options).model()
+                else:
+                    fitted = Pipeline(stages=[*stages, estimator(family, best, **options)]).fit(part)
                 seen = table if i is None else table.filter((F.col("split") == "test") | (F.col("part") <= i))
                 return fitted, score_by_split(fitted, seen)
 
@@ -195,7 +226,8 @@ def tune_by_fits(
 
 
 def importance_rows(study: FitStudy) -> list[tuple]:
-    weights = study.model.stages[-1].featureImportances.toArray()
+    last = study.model.stages[-1]
+    weights = last.featureImportances.toArray() if hasattr(last, "featureImportances") else forest.importances_of(study.model, study.features)
     rows = [(study.name, f, float(w)) for f, w in zip(study.features, weights)]
     return sorted(rows, key=lambda r: -r[2])
 

@@ -6,8 +6,10 @@ scores are all spelled out again in SQL.
 
 from __future__ import annotations
 
+import math
+
 from isobar import schema as S
-from isobar.plans.registry import DISTINCT_FEATURES, LEADERBOARD
+from isobar.plans.registry import BOOST_GRID, FOREST_GRID, LEADERBOARD, TIE_FREE
 
 ORACLE: dict[str, str] = {}
 FRACTIONS = [0.1, 0.25, 0.5, 0.75, 1.0]
@@ -286,84 +288,7 @@ add("learning_curve_union", "labelled",
     f"SELECT model, fraction, n_rows, train_rmse, test_rmse, CAST(NULL AS DOUBLE) AS test_r2 FROM ({curve('WIND_SPEED', 'wind')})",
     FRACTION_CTE)
 
-# --- one-feature elastic net: soft threshold of the correlation -----------------------
-# Unpenalised settings are equal by definition, but parallel float sums differ in the last
-# digit, so ties are taken at ten decimals.
-
-GRID_CTES = f"""
-  grid AS (SELECT CAST(row_number() OVER (ORDER BY reg, alpha) - 1 AS INTEGER) AS grid_idx, reg, alpha
-    FROM (SELECT unnest([0.0e0, 0.01e0, 0.1e0]) AS reg), (SELECT unnest([0.0e0, 0.5e0, 1.0e0]) AS alpha)),
-  fits AS (SELECT f, grid_idx, reg, alpha, mx, my,
-      sign(rho) * greatest(abs(rho) - reg / sy * alpha, 0) / (1 + reg / sy * (1 - alpha)) * sy / sx AS b
-    FROM (SELECT f, corr(TMP_C, DEW_C) AS rho, avg(DEW_C) AS mx, avg(TMP_C) AS my,
-                 stddev_pop(DEW_C) AS sx, stddev_pop(TMP_C) AS sy
-          FROM labelled, (SELECT unnest([0, 1, 2]) AS f)
-          WHERE split = 'train' AND fold <> f GROUP BY f), grid),
-  cv AS (SELECT grid_idx, reg, alpha, avg(rmse) AS avg_rmse
-    FROM (SELECT f, grid_idx, reg, alpha, sqrt(avg((TMP_C - my - b * (DEW_C - mx)) ** 2)) AS rmse
-          FROM fits JOIN labelled ON fold = f AND split = 'train' GROUP BY f, grid_idx, reg, alpha)
-    GROUP BY grid_idx, reg, alpha),
-  best AS (SELECT * FROM cv ORDER BY round(avg_rmse, 10), grid_idx LIMIT 1),
-  tuned AS (SELECT *, my - b * mx AS a
-    FROM (SELECT reg, alpha, any_value(mx) AS mx, any_value(my) AS my, i, fraction, any_value(n) AS n,
-        any_value(sign(rho) * greatest(abs(rho) - reg / sy * alpha, 0) / (1 + reg / sy * (1 - alpha)) * sy / sx) AS b
-      FROM best, (SELECT i, fraction, count(*) AS n, corr(TMP_C, DEW_C) AS rho, avg(DEW_C) AS mx, avg(TMP_C) AS my,
-                   stddev_pop(DEW_C) AS sx, stddev_pop(TMP_C) AS sy
-            FROM labelled, fractions WHERE split = 'train' AND part <= i GROUP BY i, fraction)
-      GROUP BY reg, alpha, i, fraction))"""
-GRID_EXTRA = FRACTION_CTE + "," + GRID_CTES
-add("cv_table", "labelled",
-    f"SELECT 'dew' AS model, grid_idx, reg AS regParam, alpha AS elasticNetParam, {r6('avg_rmse')} AS avg_rmse FROM cv",
-    GRID_EXTRA)
-add("best_params", "labelled",
-    f"SELECT 'dew' AS model, grid_idx, reg AS regParam, alpha AS elasticNetParam, {r6('avg_rmse')} AS avg_rmse FROM best",
-    GRID_EXTRA)
-add("validation_curve", "labelled", f"""
-    SELECT 'dew' AS model, 'regParam' AS param, reg AS value, {r6('avg(avg_rmse)')} AS avg_rmse FROM cv GROUP BY reg
-    UNION ALL
-    SELECT 'dew', 'elasticNetParam', alpha, {r6('avg(avg_rmse)')} FROM cv GROUP BY alpha""", GRID_EXTRA)
-
-TEST_RMSE, TEST_R2 = score("TMP_C", "(a + b * DEW_C)")
-add("artifact_metrics", "labelled", f"""
-    SELECT 'LinearRegression_Tuned' AS model_name, {r6(TEST_RMSE)} AS test_rmse, {r6(TEST_R2)} AS test_r2,
-      any_value(reg) AS regParam, any_value(alpha) AS elasticNetParam
-    FROM labelled, (SELECT * FROM tuned WHERE fraction = 1.0) WHERE split = 'test'""", GRID_EXTRA)
-add("artifact_tables", "labelled", f"""
-    SELECT 'LinearRegression_Tuned' AS model, fraction, any_value(n) AS n_rows,
-      round(sqrt(avg((TMP_C - a - b * DEW_C) ** 2) FILTER (WHERE split = 'train')), 6) AS train_rmse,
-      round(sqrt(avg((TMP_C - a - b * DEW_C) ** 2) FILTER (WHERE split = 'test')), 6) AS test_rmse,
-      round(1.0e0 - sum((TMP_C - a - b * DEW_C) ** 2) FILTER (WHERE split = 'test')
-        / (var_pop(TMP_C) FILTER (WHERE split = 'test') * count(*) FILTER (WHERE split = 'test')), 6) AS test_r2
-    FROM tuned JOIN labelled ON split = 'test' OR part <= i GROUP BY i, fraction""", GRID_EXTRA)
-
-ORACLE["tidy_export"] = ORACLE["artifact_tables"]
-
 SAMPLED = f"split = 'test' AND {key_bucket('plot')} % 1000 < 10"
-add("artifact_catalogue", "labelled", f"""
-    SELECT 'LinearRegression_Tuned' AS model, kind, n AS n_rows FROM (
-      SELECT 'cv_results_csv' AS kind, count(*) AS n FROM cv
-      UNION ALL SELECT 'learning_curve_csv', count(*) FROM tuned
-      UNION ALL SELECT 'coefficients_csv', 1
-      UNION ALL SELECT 'metrics.json', 1
-      UNION ALL SELECT 'plot_data_csv', count(*) FROM labelled WHERE {SAMPLED}) WHERE n > 0""", GRID_EXTRA)
-
-
-def board_row(model: str, source: str, p: str) -> str:
-    rmse, r2 = score("TMP_C", p)
-    sampled = f"FILTER (WHERE {key_bucket('plot')} % 1000 < 10)"
-    s_n = f"count(*) {sampled}"
-    s_rmse = f"sqrt(avg((TMP_C - {p}) ** 2) {sampled})"
-    s_r2 = f"1.0e0 - sum((TMP_C - {p}) ** 2) {sampled} / nullif(var_pop(TMP_C) {sampled} * count(*) {sampled}, 0)"
-    return f"""SELECT '{model}' AS model, {rmse} AS test_rmse, {r2} AS test_r2,
-      CASE WHEN {s_n} >= 10 THEN {s_rmse} END AS sample_rmse, CASE WHEN {s_n} >= 10 THEN {s_r2} END AS sample_r2,
-      {s_n} AS sample_rows
-      FROM labelled, {source} WHERE split = 'test'"""
-
-
-def ranked(rows: str) -> str:
-    return f"""SELECT model, {r6('test_rmse')} AS test_rmse, {r6('test_r2')} AS test_r2,
-      {r6('sample_rmse')} AS sample_rmse, {r6('sample_r2')} AS sample_r2, sample_rows,
-      CAST(row_number() OVER (ORDER BY test_rmse, model) AS INTEGER) AS rank FROM ({rows})"""
 
 
 def trained_line(feature: str) -> str:
@@ -371,11 +296,6 @@ def trained_line(feature: str) -> str:
             "FROM labelled WHERE split = 'train')")
 
 
-add("leaderboard", "labelled", ranked(" UNION ALL ".join(
-    board_row(m, trained_line(f), f"(a + b * {f})") for m, f in LEADERBOARD.items())))
-add("report_leaderboard", "labelled", ranked(board_row(
-    "LinearRegression_Tuned", "(SELECT a, b FROM tuned WHERE fraction = 1.0)", "(a + b * DEW_C)")), GRID_EXTRA)
-
 # --- scoring --------------------------------------------------------------------------
 
 P = "(a + b * DEW_C)"
@@ -543,25 +463,69 @@ add("cv_lr", "labelled",
     cv_select("all", "fa", K) + " UNION ALL " + cv_select("no_leak", "fn", K - 1),
     f"{FOLD_ROWS},\n{orthogonal('fold_rows', S.FEATURES_ALL, 'fa')},\n{orthogonal('fold_rows', S.FEATURES_NO_LEAK, 'fn')}")
 
+# --- the three linear models of the leaderboard ---------------------------------------
+
+BOARD_ROWS = f"""board_rows AS MATERIALIZED (SELECT 0 AS grp, CASE WHEN split = 'train' THEN 'fit' ELSE 'score' END AS role,
+    CASE WHEN {SAMPLED} THEN 'sampled' ELSE split END AS split, {ALL_LIST} FROM labelled)"""
+
+
+def board_scores(model: str, rows: str, where: str = "TRUE") -> str:
+    """Exact and sample scores from rows with the label y0, the error e and ``sampled``."""
+    part = "FILTER (WHERE sampled)"
+    return f"""SELECT {model} AS model, sqrt(avg(e * e)) AS test_rmse,
+      1.0e0 - sum(e * e) / nullif(var_pop(y0) * count(*), 0) AS test_r2,
+      CASE WHEN count(*) {part} >= 10 THEN sqrt(avg(e * e) {part}) END AS sample_rmse,
+      CASE WHEN count(*) {part} >= 10 THEN 1.0e0 - sum(e * e) {part} / nullif(var_pop(y0) {part} * count(*) {part}, 0) END AS sample_r2,
+      count(*) {part} AS sample_rows FROM {rows} WHERE {where} GROUP BY 1"""
+
+
+def ranked(rows: str) -> str:
+    return f"""SELECT model, {r6('test_rmse')} AS test_rmse, {r6('test_r2')} AS test_r2,
+      {r6('sample_rmse')} AS sample_rmse, {r6('sample_r2')} AS sample_r2, sample_rows,
+      CAST(row_number() OVER (ORDER BY test_rmse, model) AS INTEGER) AS rank FROM ({rows})"""
+
+
+add("leaderboard", "labelled", ranked(" UNION ALL ".join(
+    board_scores(f"'{name}'", f"(SELECT TMP_C AS y0, y AS e, split = 'sampled' AS sampled FROM lb{i}_{len(feats)} WHERE role = 'score')")
+    for i, (name, feats) in enumerate(LEADERBOARD.items()))),
+    BOARD_ROWS + "".join(f",\n{orthogonal('board_rows', feats, f'lb{i}')}" for i, feats in enumerate(LEADERBOARD.values())))
+
 # --- many-feature elastic net: cyclic coordinate descent as a recursive query -----------
+# Groups 0 to 2 are folds, 3 is training against test, 10 and more are points of the learning curve.
 
 SWEEPS = 400
+FLAGGED = f"labelled_rows AS MATERIALIZED (SELECT *, {SAMPLED} AS sampled FROM labelled)"
+
+
+def study_rows(columns: str, source: str) -> str:
+    return f"""
+    SELECT g AS grp, CASE WHEN fold = g THEN 'score' ELSE 'fit' END AS role, sampled, {columns}
+      FROM {source}, (SELECT unnest([0, 1, 2]) AS g) WHERE split = 'train'
+    UNION ALL SELECT 3, CASE WHEN split = 'test' THEN 'score' ELSE 'fit' END, sampled, {columns} FROM {source}
+    UNION ALL SELECT 10 + i, CASE WHEN split = 'test' THEN 'score' ELSE 'fit' END, sampled, {columns}
+      FROM {source} JOIN fractions ON split = 'test' OR part <= i"""
+
+
 NET_MEANS = ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS d{i}" for i, c in enumerate(S.FEATURES_ALL))
 NET_X = ", ".join(f"CASE WHEN d{i} > 0 THEN ({c} - m{i}) / d{i} ELSE 0.0 END AS x{i}" for i, c in enumerate(S.FEATURES_ALL))
 NET_CORR = "[" + ", ".join("[" + ", ".join(f"avg(x{i} * x{j})" for j in range(K)) + "]" for i in range(K)) + "]"
 NET_TARGET = "[" + ", ".join(f"avg(x{i} * ys)" for i in range(K)) + "]"
 NET_LIST = "[" + ", ".join(f"x{i}" for i in range(K)) + "]"
-NET = f"""net_std AS MATERIALIZED (SELECT grp, avg(TMP_C) AS my, stddev_pop(TMP_C) AS sy, {NET_MEANS}
-    FROM fold_rows WHERE role = 'fit' GROUP BY grp),
-  net_rows AS MATERIALIZED (SELECT f.grp, role, TMP_C, my, sy, (TMP_C - my) / sy AS ys, {NET_X}
-    FROM fold_rows f JOIN net_std s ON f.grp = s.grp),
+ZEROS = "[" + ", ".join(["0.0e0"] * K) + "]"
+STANDARD = f"""net_std AS MATERIALIZED (SELECT grp, count(*) AS n, avg(TMP_C) AS my, stddev_pop(TMP_C) AS sy, {NET_MEANS}
+    FROM net_source WHERE role = 'fit' GROUP BY grp),
+  net_rows AS MATERIALIZED (SELECT f.grp, role, sampled, TMP_C, my, sy, (TMP_C - my) / sy AS ys, {NET_X}
+    FROM net_source f JOIN net_std s ON f.grp = s.grp),
   net_system AS MATERIALIZED (SELECT grp, any_value(sy) AS sy, {NET_CORR} AS c, {NET_TARGET} AS t
-    FROM net_rows WHERE role = 'fit' GROUP BY grp),
+    FROM net_rows WHERE role = 'fit' GROUP BY grp)"""
+# ``lr_cv`` has the grid with its errors, ``lr_err`` the errors of the chosen setting.
+NET = f"""{FLAGGED},
+  net_source AS MATERIALIZED ({study_rows(ALL_LIST, 'labelled_rows')}),
+  {STANDARD},
   grid AS (SELECT CAST(row_number() OVER (ORDER BY reg, alpha) - 1 AS INTEGER) AS grid_idx, reg, alpha
     FROM (SELECT unnest([0.0e0, 0.01e0, 0.1e0]) AS reg), (SELECT unnest([0.0e0, 0.5e0, 1.0e0]) AS alpha)),
   descent AS (
-    SELECT 0 AS it, grp, grid_idx, c, t, reg / sy * alpha AS l1, reg / sy * (1 - alpha) AS l2,
-      [{", ".join(["0.0e0"] * K)}] AS w FROM net_system, grid
+    SELECT 0 AS it, grp, grid_idx, c, t, reg / sy * alpha AS l1, reg / sy * (1 - alpha) AS l2, {ZEROS} AS w FROM net_system, grid
     UNION ALL
     SELECT it + 1, grp, grid_idx, c, t, l1, l2,
       list_transform(range(1, {K + 1}), lambda k: CASE WHEN k <> j THEN w[k] WHEN c[j][j] = 0 THEN 0.0e0
@@ -569,110 +533,132 @@ NET = f"""net_std AS MATERIALIZED (SELECT grp, avg(TMP_C) AS my, stddev_pop(TMP_
     FROM (SELECT *, t[j] - list_dot_product(c[j], w) + c[j][j] * w[j] AS own
           FROM (SELECT *, it % {K} + 1 AS j FROM descent WHERE it < {K * SWEEPS}))),
   net_weights AS MATERIALIZED (SELECT grp, grid_idx, w FROM descent WHERE it = {K * SWEEPS}),
-  net_errors AS MATERIALIZED (SELECT r.grp, grid_idx, TMP_C,
+  net_errors AS MATERIALIZED (SELECT r.grp, grid_idx, role, sampled, TMP_C,
       TMP_C - my - sy * list_dot_product(w, {NET_LIST}) AS e
-    FROM net_rows r JOIN net_weights n ON r.grp = n.grp WHERE role = 'score'),
-  net_cv AS MATERIALIZED (SELECT grid_idx, avg(r) AS avg_rmse
-    FROM (SELECT grp, grid_idx, sqrt(avg(e * e)) AS r FROM net_errors WHERE grp < 3 GROUP BY grp, grid_idx)
-    GROUP BY grid_idx),
-  net_test AS (SELECT sqrt(avg(e * e)) AS test_rmse, 1.0e0 - sum(e * e) / (var_pop(TMP_C) * count(*)) AS test_r2
-    FROM net_errors WHERE grp = 3 AND grid_idx = (SELECT grid_idx FROM net_cv ORDER BY round(avg_rmse, 9), grid_idx LIMIT 1))"""
-FIT_ON_TRAIN_ROWS = f"""fold_rows AS MATERIALIZED (
-    SELECT g AS grp, {ALL_LIST}, CASE WHEN fold = g THEN 'score' ELSE 'fit' END AS role
-      FROM labelled, (SELECT unnest([0, 1, 2]) AS g) WHERE split = 'train'
+    FROM net_rows r JOIN net_weights n ON r.grp = n.grp WHERE role = 'score' OR r.grp >= 10),
+  lr_cv AS MATERIALIZED (SELECT grid_idx, reg, alpha, avg(r) AS avg_rmse
+    FROM (SELECT grp, grid_idx, sqrt(avg(e * e)) AS r FROM net_errors WHERE grp < 3 GROUP BY grp, grid_idx) JOIN grid USING (grid_idx)
+    GROUP BY grid_idx, reg, alpha),
+  lr_best AS MATERIALIZED (SELECT * FROM lr_cv ORDER BY round(avg_rmse, 9), grid_idx LIMIT 1),
+  lr_err AS MATERIALIZED (SELECT 'LinearRegression_Tuned' AS model, grp, role, sampled, TMP_C AS y0, e
+    FROM net_errors WHERE grid_idx = (SELECT grid_idx FROM lr_best))"""
+NET_EXTRA = f"{FRACTION_CTE},\n{NET}"
+
+
+def held_score(source: str) -> tuple[str, str]:
+    where = f"FROM {source} WHERE grp = 3 AND role = 'score'"
+    return (f"(SELECT round(sqrt(avg(e * e)), 6) {where})",
+            f"(SELECT round(1.0e0 - sum(e * e) / (var_pop(y0) * count(*)), 6) {where})")
+
+
+def add_recursive(name: str, body: str, extra: str) -> None:
+    add(name, "labelled", body, extra)
+    ORACLE[name] = ORACLE[name].replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+LR_SHOWN = f"'LinearRegression_Tuned' AS model, grid_idx, reg AS regParam, alpha AS elasticNetParam, {r6('avg_rmse')} AS avg_rmse"
+LR_RMSE, LR_R2 = held_score("lr_err")
+add_recursive("lr_tuned", f"SELECT {LR_SHOWN}, {LR_RMSE} AS test_rmse, {LR_R2} AS test_r2 FROM lr_cv", NET_EXTRA)
+add_recursive("cv_table", f"SELECT {LR_SHOWN} FROM lr_cv", NET_EXTRA)
+add_recursive("best_params", f"SELECT {LR_SHOWN} FROM lr_best", NET_EXTRA)
+add_recursive("validation_curve", f"""
+    SELECT 'LinearRegression_Tuned' AS model, 'regParam' AS param, reg AS value, {r6('avg(avg_rmse)')} AS avg_rmse FROM lr_cv GROUP BY reg
     UNION ALL
-    SELECT 3, {ALL_LIST}, CASE WHEN split = 'test' THEN 'score' ELSE 'fit' END FROM labelled)"""
-add("lr_tuned", "labelled", f"""
-    SELECT 'LinearRegression_Tuned' AS model, grid_idx, reg AS regParam, alpha AS elasticNetParam,
-      {r6('avg_rmse')} AS avg_rmse, {r6('test_rmse')} AS test_rmse, {r6('test_r2')} AS test_r2
-    FROM net_cv JOIN grid USING (grid_idx), net_test""", f"{FIT_ON_TRAIN_ROWS},\n{NET}")
-ORACLE["lr_tuned"] = ORACLE["lr_tuned"].replace("WITH ", "WITH RECURSIVE ", 1)
-
-# Weights by back substitution through the triangular system of slopes, in features of
-# unit population deviation, then rescaled to unit sample deviation.
-D = len(DISTINCT_FEATURES)
-WEIGHT_ROWS = f"""weight_rows AS MATERIALIZED (SELECT 0 AS grp, split, 'fit' AS role,
-    {', '.join([*DISTINCT_FEATURES, S.LABEL])} FROM labelled)"""
-
-
-def weight_ctes() -> str:
-    ctes = []
-    for k in reversed(range(D)):
-        later = "".join(f" - s.b{j} * w{j}.w" for j in range(k + 1, D))
-        joins = "".join(f", w{j}" for j in range(k + 1, D))
-        ctes.append(f"w{k} AS MATERIALIZED (SELECT s.by_{later} AS w FROM wt_s{k} s{joins})")
-    return ",\n".join(ctes)
+    SELECT 'LinearRegression_Tuned', 'elasticNetParam', alpha, {r6('avg(avg_rmse)')} FROM lr_cv GROUP BY alpha""", NET_EXTRA)
 
+# --- smallest weights of all features: conjugate gradients from zero ---------------------
+# Every step stays in the row space, so collinear columns share their weight.
 
-COEFFICIENT = " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, w * sqrt(n / (n - 1.0e0)) AS coefficient, w / d{i} * m{i} AS shift_part FROM w{i}, wt_std, size_of"
-    for i, c in enumerate(DISTINCT_FEATURES))
-WEIGHTS = (f"{WEIGHT_ROWS},\n{orthogonal('weight_rows', DISTINCT_FEATURES, 'wt')},\n{weight_ctes()},\n"
-           f"size_of AS (SELECT count(*) AS n FROM weight_rows),\ncoefs AS MATERIALIZED ({COEFFICIENT})")
-add("lr_coefficients", "labelled", f"""
+STEPS = 60
+DIRECT = f"list_transform(c, lambda row: list_dot_product(row, p))"
+WEIGHTS = f"""net_source AS MATERIALIZED (SELECT 0 AS grp, 'fit' AS role, FALSE AS sampled, {ALL_LIST} FROM labelled),
+  {STANDARD},
+  climb AS (
+    SELECT 0 AS it, c, {ZEROS} AS w, t AS r, t AS p, list_dot_product(t, t) AS rr FROM net_system
+    UNION ALL
+    SELECT it + 1, c, nw, nr, CASE WHEN live THEN list_transform(range(1, {K + 1}), lambda k: nr[k] + list_dot_product(nr, nr) / rr * p[k]) ELSE p END,
+      CASE WHEN live THEN list_dot_product(nr, nr) ELSE rr END
+    FROM (SELECT *, CASE WHEN live THEN list_transform(range(1, {K + 1}), lambda k: w[k] + a * p[k]) ELSE w END AS nw,
+            CASE WHEN live THEN list_transform(range(1, {K + 1}), lambda k: r[k] - a * cp[k]) ELSE r END AS nr
+      FROM (SELECT *, rr > 1e-26 AS live, rr / nullif(list_dot_product(p, cp), 0) AS a
+        FROM (SELECT *, {DIRECT} AS cp FROM climb WHERE it < {STEPS})))),
+  solution AS MATERIALIZED (SELECT w FROM climb WHERE it = {STEPS}),
+  coefs AS MATERIALIZED ({" UNION ALL ".join(
+      f"SELECT '{c}' AS feature, w[{i + 1}] * sy * sqrt(n / (n - 1.0e0)) AS coefficient, "
+      f"CASE WHEN d{i} > 0 THEN w[{i + 1}] * sy / d{i} * m{i} ELSE 0 END AS shift_part FROM solution, net_std"
+      for i, c in enumerate(S.FEATURES_ALL))})"""
+add_recursive("lr_coefficients", f"""
     SELECT 'ols' AS model, feature, {r6('coefficient')} AS coefficient, {r6('abs(coefficient)')} AS abs_coeff,
-      round((SELECT my FROM wt_std) - (SELECT sum(shift_part) FROM coefs), 6) AS intercept FROM coefs""", WEIGHTS)
-add("top_features", "labelled", f"""
-    SELECT 'ols' AS model, rank, feature, {r6('abs_coeff')} AS abs_coeff FROM (
-      SELECT feature, abs(coefficient) AS abs_coeff,
-        CAST(row_number() OVER (ORDER BY abs(coefficient) DESC, feature) AS INTEGER) AS rank FROM coefs)
-    WHERE rank <= 5""", WEIGHTS)
+      round((SELECT my FROM net_std) - (SELECT sum(shift_part) FROM coefs), 6) AS intercept FROM coefs""", WEIGHTS)
+add_recursive("top_features", f"""
+    SELECT 'ols' AS model, rank, feature, abs_coeff FROM (
+      SELECT feature, abs_coeff, CAST(row_number() OVER (ORDER BY abs_coeff DESC, feature) AS INTEGER) AS rank
+      FROM (SELECT feature, {r6('abs(coefficient)')} AS abs_coeff FROM coefs))
+    WHERE rank <= 20""", WEIGHTS)
 
 # --- trees over all features: binning, then one level of splits at a time ----------------
 
 
-def grown_tree(source: str, bins: list[int], depth: int) -> str:
+def grown_tree(source: str, bins: list[int], depth: int, prefix: str = "", least: int = 1, weight: str = "1", only: str = "") -> str:
     """CTEs for the tree of each ``grp`` and bin count, grown on the 'fit' rows of ``source``.
 
-    ``source`` has grp, role, rid, y and the features. Cut points: every midpoint where a
-    feature has few values; else those where the running count comes closest to equal
-    shares. ``grow_<L>`` holds the node of every row after L levels, ``best_<L>`` the cuts.
+    ``source`` has grp, role, rid, y, the features and what ``weight`` names. Cut points: every midpoint where a
+    feature has few values; else those where the running weight comes closest to equal
+    shares. ``<prefix>grow_<L>`` holds the node of every row after L levels, ``<prefix>best_<L>`` the cuts. A cut leaves
+    ``least`` rows on either side. ``only`` names a table (grp, f) of the features that a group may use.
     """
+    p, w = prefix, "" if weight == "1" else ", w"
+    of = "count(*)" if weight == "1" else "sum(w)"
+    allowed = f" JOIN {only} USING (grp, f)" if only else ""
     long = " UNION ALL ".join(
-        f"SELECT grp, role, rid, y, {i} AS f, CAST({c} AS DOUBLE) AS v FROM {source}" for i, c in enumerate(S.FEATURES_ALL))
-    ctes = [f"""long_rows AS MATERIALIZED ({long}),
-  value_runs AS MATERIALIZED (SELECT *, sum(n) OVER o AS c, row_number() OVER o AS i, lead(v) OVER o AS nv,
+        f"SELECT grp, role, rid, y, {i} AS f, CAST({c} AS DOUBLE) AS v{'' if weight == '1' else f', {weight} AS w'} FROM {source}"
+        for i, c in enumerate(S.FEATURES_ALL))
+    ctes = [f"""{p}long_rows AS MATERIALIZED (SELECT * FROM ({long}){allowed}),
+  {p}value_runs AS MATERIALIZED (SELECT *, sum(n) OVER o AS c, row_number() OVER o AS i, lead(v) OVER o AS nv,
       sum(n) OVER o + lead(n) OVER o / 2.0e0 AS mid, count(*) OVER (PARTITION BY grp, f) AS d,
       sum(n) OVER (PARTITION BY grp, f) AS total
-    FROM (SELECT grp, f, v, count(*) AS n FROM long_rows WHERE role = 'fit' GROUP BY grp, f, v)
+    FROM (SELECT grp, f, v, {of} AS n FROM {p}long_rows WHERE role = 'fit' GROUP BY grp, f, v)
     WINDOW o AS (PARTITION BY grp, f ORDER BY v)),
-  bin_counts AS (SELECT unnest({bins}) AS mb),
-  goals AS (SELECT grp, mb, f, k, min(i) AS g FROM value_runs, bin_counts, (SELECT unnest(range(1, {max(bins)})) AS k)
+  {p}bin_counts AS (SELECT unnest({bins}) AS mb),
+  {p}goals AS (SELECT grp, mb, f, k, min(i) AS g FROM {p}value_runs, {p}bin_counts, (SELECT unnest(range(1, {max(bins)})) AS k)
     WHERE d > mb AND k < mb AND mid > k * (total / CAST(mb AS DOUBLE)) GROUP BY grp, mb, f, k),
-  picks AS (SELECT grp, mb, f, k, k + max(g - k) OVER (PARTITION BY grp, mb, f ORDER BY k) AS i FROM goals),
-  cuts AS MATERIALIZED (
-    SELECT grp, mb, f, i - 1 AS b, (v + nv) / 2.0e0 AS cut FROM value_runs, bin_counts WHERE d <= mb AND nv IS NOT NULL
+  {p}picks AS (SELECT grp, mb, f, k, k + max(g - k) OVER (PARTITION BY grp, mb, f ORDER BY k) AS i FROM {p}goals),
+  {p}cuts AS MATERIALIZED (
+    SELECT grp, mb, f, i - 1 AS b, (v + nv) / 2.0e0 AS cut FROM {p}value_runs, {p}bin_counts WHERE d <= mb AND nv IS NOT NULL
     UNION ALL
-    SELECT p.grp, mb, p.f, k - 1, (v + nv) / 2.0e0 FROM picks p JOIN value_runs r
+    SELECT p.grp, mb, p.f, k - 1, (v + nv) / 2.0e0 FROM {p}picks p JOIN {p}value_runs r
       ON p.grp = r.grp AND p.f = r.f AND p.i = r.i WHERE nv IS NOT NULL),
-  binned AS MATERIALIZED (SELECT grp, mb, rid, role, y, f, count(*) FILTER (WHERE cut < v) AS bin
-    FROM (SELECT * FROM long_rows, bin_counts) LEFT JOIN cuts USING (grp, mb, f)
-    GROUP BY grp, mb, rid, role, y, f),
-  grow_0 AS MATERIALIZED (SELECT grp, mb, rid, role, y, 1 AS node FROM {source}, bin_counts)"""]
+  {p}binned AS MATERIALIZED (SELECT grp, mb, rid, role, y{w}, f, count(*) FILTER (WHERE cut < v) AS bin
+    FROM (SELECT * FROM {p}long_rows, {p}bin_counts) LEFT JOIN {p}cuts USING (grp, mb, f)
+    GROUP BY grp, mb, rid, role, y{w}, f),
+  {p}grow_0 AS MATERIALIZED (SELECT grp, mb, rid, role, y{'' if weight == '1' else f', {weight} AS w'}, 1 AS node FROM {source}, {p}bin_counts)"""]
+    n_of, s_of = ("count(*)", "sum(b.y)") if weight == "1" else ("sum(b.w)", "sum(b.w * b.y)")
     for level in range(depth):
-        ctes.append(f"""best_{level} AS MATERIALIZED (SELECT * FROM (
+        ctes.append(f"""{p}best_{level} AS MATERIALIZED (SELECT * FROM (
       SELECT *, row_number() OVER (PARTITION BY grp, mb, node ORDER BY round(gain, 7) DESC, f, bin) AS place FROM (
         SELECT grp, mb, node, f, bin, sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) - st * st / nt AS gain FROM (
-          SELECT grp, mb, node, f, bin, sum(n) OVER o AS nl, sum(s) OVER o AS sl,
-            sum(n) OVER (PARTITION BY grp, mb, node, f) AS nt, sum(s) OVER (PARTITION BY grp, mb, node, f) AS st
-          FROM (SELECT b.grp, b.mb, node, f, bin, count(*) AS n, sum(b.y) AS s
-                FROM binned b JOIN grow_{level} g ON b.grp = g.grp AND b.mb = g.mb AND b.rid = g.rid
+          SELECT grp, mb, node, f, bin, sum(n) OVER o AS nl, sum(s) OVER o AS sl, sum(c) OVER o AS cl,
+            sum(n) OVER (PARTITION BY grp, mb, node, f) AS nt, sum(s) OVER (PARTITION BY grp, mb, node, f) AS st,
+            sum(c) OVER (PARTITION BY grp, mb, node, f) AS ct
+          FROM (SELECT b.grp, b.mb, node, f, bin, count(*) AS c, {n_of} AS n, {s_of} AS s
+                FROM {p}binned b JOIN {p}grow_{level} g ON b.grp = g.grp AND b.mb = g.mb AND b.rid = g.rid
                 WHERE b.role = 'fit' GROUP BY b.grp, b.mb, node, f, bin)
-          WINDOW o AS (PARTITION BY grp, mb, node, f ORDER BY bin)) WHERE nl < nt)
+          WINDOW o AS (PARTITION BY grp, mb, node, f ORDER BY bin)) WHERE nl < nt AND cl >= {least} AND ct - cl >= {least})
       WHERE gain > 1e-9) WHERE place = 1),
-  grow_{level + 1} AS MATERIALIZED (SELECT g.grp, g.mb, g.rid, g.role, g.y,
+  {p}grow_{level + 1} AS MATERIALIZED (SELECT g.grp, g.mb, g.rid, g.role, g.y{'' if weight == '1' else ', g.w'},
       CASE WHEN s.f IS NULL THEN g.node ELSE 2 * g.node + CASE WHEN b.bin > s.bin THEN 1 ELSE 0 END END AS node
-    FROM grow_{level} g LEFT JOIN best_{level} s ON g.grp = s.grp AND g.mb = s.mb AND g.node = s.node
-    LEFT JOIN binned b ON b.grp = g.grp AND b.mb = g.mb AND b.rid = g.rid AND b.f = s.f)""")
+    FROM {p}grow_{level} g LEFT JOIN {p}best_{level} s ON g.grp = s.grp AND g.mb = s.mb AND g.node = s.node
+    LEFT JOIN {p}binned b ON b.grp = g.grp AND b.mb = g.mb AND b.rid = g.rid AND b.f = s.f)""")
     return ",\n  ".join(ctes)
 
 
-def leaf_errors(levels: list[int]) -> str:
-    """``leaf_rows``: y and error of every row under the tree cut off at each listed depth."""
-    parts = [f"SELECT {n} AS depth, g.grp, g.mb, role, y, y - p AS e FROM grow_{n} g JOIN "
-             f"(SELECT grp, mb, node, avg(y) AS p FROM grow_{n} WHERE role = 'fit' GROUP BY grp, mb, node) m "
+def leaf_errors(levels: list[int], prefix: str = "", weight: str = "1") -> str:
+    """``<prefix>leaf_rows``: y, prediction and error of every row under the tree cut off at each listed depth."""
+    mean = "avg(y)" if weight == "1" else "sum(w * y) / sum(w)"
+    parts = [f"SELECT {n} AS depth, g.grp, g.mb, rid, role, y, p, y - p AS e FROM {prefix}grow_{n} g JOIN "
+             f"(SELECT grp, mb, node, {mean} AS p FROM {prefix}grow_{n} WHERE role = 'fit' GROUP BY grp, mb, node) m "
              "ON g.grp = m.grp AND g.mb = m.mb AND g.node = m.node" for n in levels]
-    return "leaf_rows AS MATERIALIZED (" + " UNION ALL ".join(parts) + ")"
+    return f"{prefix}leaf_rows AS MATERIALIZED (" + " UNION ALL ".join(parts) + ")"
 
 
 NUMBERED = "numbered AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY STATION, DATE_HOUR) AS rid FROM labelled)"
@@ -702,16 +688,16 @@ def tree_grid(depths: list[int], model: str = "") -> tuple[str, str]:
 ONE_TREE = f"""tree_rows AS MATERIALIZED (SELECT 3 AS grp, 'fit' AS role, rid, TMP_C AS y, {INPUTS}
     FROM numbered WHERE split = 'train')"""
 FEATURE_NAMES = " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(S.FEATURES_ALL))
+# Share of the total error reduction owed to each feature, from ``gains``.
+IMPORTANCE = f"""
+    SELECT 'DecisionTree_Tuned' AS model, CASE i {FEATURE_NAMES} END AS feature,
+      round(coalesce(sum(gain), 0) / (SELECT sum(gain) FROM gains), 6) AS importance
+    FROM (SELECT unnest(range(0, {K})) AS i) LEFT JOIN gains ON f = i GROUP BY i"""
 
 
 def tree_importance(depth: int, bins: int) -> tuple[str, str]:
-    """Share of the total error reduction owed to each feature."""
     gains = " UNION ALL ".join(f"SELECT f, gain FROM best_{n}" for n in range(depth))
-    return f"""
-    SELECT 'DecisionTree_Tuned' AS model, CASE i {FEATURE_NAMES} END AS feature,
-      round(coalesce(sum(gain), 0) / (SELECT sum(gain) FROM gains), 6) AS importance
-    FROM (SELECT unnest(range(0, {K})) AS i) LEFT JOIN gains ON f = i GROUP BY i""", (
-        f"{NUMBERED},\n{ONE_TREE},\n{grown_tree('tree_rows', [bins], depth)},\ngains AS ({gains})")
+    return IMPORTANCE, f"{NUMBERED},\n{ONE_TREE},\n{grown_tree('tree_rows', [bins], depth)},\ngains AS ({gains})"
 
 
 CURVE_TREE = f"""tree_rows AS MATERIALIZED (SELECT i AS grp, CASE WHEN split = 'train' THEN 'fit' ELSE 'score' END AS role,
@@ -729,17 +715,161 @@ def tree_curve(depth: int, bins: int) -> tuple[str, str]:
         f"{FRACTION_CTE},\n{NUMBERED},\n{CURVE_TREE},\n{grown_tree('tree_rows', [bins], depth)},\n{leaf_errors([depth])}")
 
 
-# ``learning_curve_tree`` has none: in its 10 % sample several features cut the smallest
-# nodes into the same rows, and which of them is taken is left to rounding.
 for _name, (_body, _extra) in {
     "cv_dt_shallow": tree_grid([2, 3]),
     "feature_importance_shallow": tree_importance(3, 64),
     "learning_curve_shallow": tree_curve(2, 32),
     "dt_tuned": tree_grid([4, 6], "DecisionTree_Tuned"),
-    "feature_importance": tree_importance(6, 64),
 }.items():
     add(_name, "labelled", _body, _extra)
 
+# --- the tuned tree: grid, chosen setting, curve and importances -----------------------
+# ``dt_cv`` has the grid with its errors, ``dt_err`` the errors of the chosen setting.
+
+LEAST = TIE_FREE["minInstancesPerNode"]
+FLAGGED_ROWS = f"""flagged AS MATERIALIZED (SELECT *, {SAMPLED} AS sampled,
+    row_number() OVER (ORDER BY STATION, DATE_HOUR) AS rid FROM labelled)"""
+TUNED_TREE = f"""{FLAGGED_ROWS},
+  tree_rows AS MATERIALIZED ({study_rows(f"rid, TMP_C AS y, {INPUTS}", 'flagged')}),
+  {grown_tree('tree_rows', [32, 64], 6, least=LEAST)},
+  {leaf_errors([4, 6])},
+  dt_cv AS MATERIALIZED (SELECT depth, mb, avg(r) AS avg_rmse, CAST(row_number() OVER (ORDER BY depth, mb) - 1 AS INTEGER) AS grid_idx
+    FROM (SELECT depth, mb, grp, sqrt(avg(e * e)) AS r FROM leaf_rows WHERE grp < 3 AND role = 'score' GROUP BY depth, mb, grp)
+    GROUP BY depth, mb),
+  dt_best AS MATERIALIZED (SELECT depth, mb FROM dt_cv ORDER BY round(avg_rmse, 9), grid_idx LIMIT 1),
+  dt_err AS MATERIALIZED (SELECT 'DecisionTree_Tuned' AS model, l.grp, role, sampled, y AS y0, e
+    FROM leaf_rows l JOIN dt_best USING (depth, mb) JOIN (SELECT rid, sampled FROM flagged) f ON l.rid = f.rid)"""
+TREE_EXTRA = f"{FRACTION_CTE},\n{TUNED_TREE}"
+
+
+def curve_of(source: str) -> str:
+    return f"""
+    SELECT model, fraction, count(*) FILTER (WHERE role = 'fit') AS n_rows,
+      round(sqrt(avg(e * e) FILTER (WHERE role = 'fit')), 6) AS train_rmse,
+      round(sqrt(avg(e * e) FILTER (WHERE role = 'score')), 6) AS test_rmse,
+      round(1.0e0 - sum(e * e) FILTER (WHERE role = 'score')
+        / (var_pop(y0) FILTER (WHERE role = 'score') * count(*) FILTER (WHERE role = 'score')), 6) AS test_r2
+    FROM {source} JOIN fractions ON grp = 10 + i GROUP BY model, fraction"""
+
+
+add("learning_curve_tree", "labelled", curve_of("dt_err"), TREE_EXTRA)
+CHOSEN_GAINS = " UNION ALL ".join(
+    f"SELECT f, gain FROM best_{n} JOIN dt_best USING (mb) WHERE grp = 3 AND {n} < depth" for n in range(6))
+add("feature_importance", "labelled", IMPORTANCE, f"{TREE_EXTRA},\ngains AS ({CHOSEN_GAINS})")
+
+# --- the stored linear model and tree --------------------------------------------------
+
+BOTH = f"{NET_EXTRA},\n{TUNED_TREE},\nboth_err AS MATERIALIZED (SELECT * FROM lr_err UNION ALL SELECT * FROM dt_err)"
+ON_TEST = "grp = 3 AND role = 'score'"
+add_recursive("artifact_metrics", f"""
+    SELECT model AS model_name, {r6('sqrt(avg(e * e))')} AS test_rmse, {r6('1.0e0 - sum(e * e) / (var_pop(y0) * count(*))')} AS test_r2,
+      CASE WHEN model LIKE 'L%' THEN (SELECT reg FROM lr_best) END AS regParam,
+      CASE WHEN model LIKE 'L%' THEN (SELECT alpha FROM lr_best) END AS elasticNetParam,
+      CASE WHEN model LIKE 'D%' THEN (SELECT CAST(depth AS DOUBLE) FROM dt_best) END AS maxDepth,
+      CASE WHEN model LIKE 'D%' THEN (SELECT CAST(mb AS DOUBLE) FROM dt_best) END AS maxBins
+    FROM both_err WHERE {ON_TEST} GROUP BY model""", BOTH)
+add_recursive("artifact_tables", curve_of("both_err"), BOTH)
+add_recursive("artifact_catalogue", f"""
+    SELECT model, kind, n AS n_rows FROM (
+      SELECT 'LinearRegression_Tuned' AS model, 'cv_results_csv' AS kind, count(*) AS n FROM lr_cv
+      UNION ALL SELECT 'DecisionTree_Tuned', 'cv_results_csv', count(*) FROM dt_cv
+      UNION ALL SELECT model, 'learning_curve_csv', count(DISTINCT grp) FROM both_err WHERE grp >= 10 GROUP BY model
+      UNION ALL SELECT 'LinearRegression_Tuned', 'coefficients_csv', {K}
+      UNION ALL SELECT 'DecisionTree_Tuned', 'feature_importances_csv', {K}
+      UNION ALL SELECT DISTINCT model, 'metrics.json', 1 FROM both_err
+      UNION ALL SELECT model, 'plot_data_csv', count(*) FROM both_err WHERE {ON_TEST} AND sampled GROUP BY model) WHERE n > 0""", BOTH)
+TWO_BOARD = ranked(board_scores("model", "both_err", ON_TEST))
+add_recursive("report_leaderboard", TWO_BOARD, BOTH)
+add_recursive("tidy_export", f"""
+    SELECT 'cv' AS kind, 'LinearRegression_Tuned' AS model, CAST(grid_idx AS DOUBLE) AS item, {r6('avg_rmse')} AS value FROM lr_cv
+    UNION ALL SELECT 'cv', 'DecisionTree_Tuned', CAST(grid_idx AS DOUBLE), {r6('avg_rmse')} FROM dt_cv
+    UNION ALL SELECT 'curve', model, fraction, test_rmse FROM ({curve_of('both_err')})
+    UNION ALL SELECT 'sample', model, CAST(count(*) AS DOUBLE), {r6('avg(y0 - e)')} FROM both_err WHERE {ON_TEST} AND sampled GROUP BY model
+    UNION ALL SELECT 'board', model, CAST(rank AS DOUBLE), test_rmse FROM ({TWO_BOARD})""", BOTH)
+
+# --- the hashed forest: Poisson weights and feature subsets from hashes -----------------
+
+TREES = max(FOREST_GRID["numTrees"])
+
+
+def poisson_steps() -> list[int]:
+    """Hash values from which a row is drawn once, twice, and so on: the distribution times 2^32."""
+    chances = [math.exp(-1.0) / math.factorial(k) for k in range(20)]
+    steps = [math.floor(sum(chances[:k + 1]) * 2 ** 32) for k in range(20)]
+    return [x for x in steps if x < 2 ** 32 - 1]
+
+
+DRAWN = ("CAST('0x' || substr(md5('forest-' || t || '|' || CAST(STATION AS VARCHAR) || '|' || CAST(DATE_HOUR AS VARCHAR)), 1, 8) AS BIGINT)")
+DRAWS = " + ".join(f"CASE WHEN h >= {x} THEN 1.0e0 ELSE 0.0e0 END" for x in poisson_steps())
+NAMED = ", ".join(f"({i}, '{c}')" for i, c in enumerate(S.FEATURES_ALL))
+FOREST_LEVELS = FOREST_GRID["maxDepth"]
+
+
+def forest_ctes(source: str) -> str:
+    """``hf_cv`` and ``hf_err`` from flagged rows; group and tree make one number."""
+    counts = ", ".join(f"({n})" for n in FOREST_GRID["numTrees"])
+    return f"""hf_draws AS MATERIALIZED (SELECT t, rid, {DRAWS} AS w FROM (SELECT t, rid, {DRAWN} AS h FROM {source}, (SELECT unnest(range(0, {TREES})) AS t))),
+  hf_subsets AS MATERIALIZED (SELECT g * 100 + t AS grp, f FROM (SELECT t, f, row_number() OVER (PARTITION BY t
+      ORDER BY substr(md5('forest|' || t || '|' || name), 1, 8), name) AS place
+    FROM (VALUES {NAMED}) AS v(f, name), (SELECT unnest(range(0, {TREES})) AS t)), (SELECT unnest([0, 1, 2, 3]) AS g)
+    WHERE place <= {math.ceil(K / 3)}),
+  hf_rows AS MATERIALIZED (SELECT s.grp * 100 + t AS grp, role, s.rid, y, w, {INPUTS}
+    FROM ({study_rows(f"rid, TMP_C AS y, {INPUTS}", source)}) s JOIN hf_draws d ON s.rid = d.rid
+    WHERE s.grp < 10 AND (role = 'score' OR w > 0)),
+  {grown_tree('hf_rows', [32], max(FOREST_LEVELS), 'hf_', LEAST, 'w', 'hf_subsets')},
+  {leaf_errors(FOREST_LEVELS, 'hf_', 'w')},
+  hf_sizes AS (SELECT * FROM (VALUES {counts}) AS v(trees)),
+  hf_mean AS MATERIALIZED (SELECT grp // 100 AS grp, depth, trees, rid, any_value(y) AS y, any_value(y) - avg(p) AS e
+    FROM hf_leaf_rows, hf_sizes WHERE role = 'score' AND grp % 100 < trees GROUP BY grp // 100, depth, trees, rid),
+  hf_cv AS MATERIALIZED (SELECT depth, trees, avg(r) AS avg_rmse, CAST(row_number() OVER (ORDER BY depth, trees) - 1 AS INTEGER) AS grid_idx
+    FROM (SELECT depth, trees, grp, sqrt(avg(e * e)) AS r FROM hf_mean WHERE grp < 3 GROUP BY depth, trees, grp) GROUP BY depth, trees),
+  hf_best AS MATERIALIZED (SELECT depth, trees FROM hf_cv ORDER BY round(avg_rmse, 9), grid_idx LIMIT 1),
+  hf_err AS MATERIALIZED (SELECT 'HashedForest_Tuned' AS model, m.grp, 'score' AS role, sampled, y AS y0, e
+    FROM hf_mean m JOIN hf_best USING (depth, trees) JOIN (SELECT rid, sampled FROM {source}) f ON m.rid = f.rid)"""
+
+
+FOREST = f"{FRACTION_CTE},\n{FLAGGED_ROWS},\n{forest_ctes('flagged')}"
+HF_RMSE, HF_R2 = held_score("hf_err")
+add("rf_hashed", "labelled", f"""
+    SELECT 'HashedForest_Tuned' AS model, grid_idx, depth AS maxDepth, trees AS numTrees, {r6('avg_rmse')} AS avg_rmse,
+      {HF_RMSE} AS test_rmse, {HF_R2} AS test_r2 FROM hf_cv""", FOREST)
+
+# --- two rounds of boosting on all features: trees over the residuals of trees ----------
+
+BOOST_LEVELS = BOOST_GRID["maxDepth"]
+
+
+def boost_ctes(source: str) -> str:
+    """``gbt_cv`` and ``gbt_err`` from flagged rows; the second round's groups are group and depth."""
+    levels = " UNION ALL ".join(
+        f"SELECT * FROM bt_leaf_rows WHERE depth = {n} AND grp % 10 = {n}" for n in BOOST_LEVELS)
+    return f"""bo_rows AS MATERIALIZED (SELECT * FROM ({study_rows(f"rid, TMP_C AS y, {INPUTS}", source)}) WHERE grp < 10),
+  {grown_tree('bo_rows', [32], max(BOOST_LEVELS), 'bo_', LEAST)},
+  {leaf_errors(BOOST_LEVELS, 'bo_')},
+  bt_rows AS MATERIALIZED (SELECT l.grp * 10 + depth AS grp, l.role, l.rid, 2 * l.e AS y, {INPUTS}
+    FROM bo_leaf_rows l JOIN bo_rows b ON l.grp = b.grp AND l.rid = b.rid),
+  {grown_tree('bt_rows', [32], max(BOOST_LEVELS), 'bt_', LEAST)},
+  {leaf_errors(BOOST_LEVELS, 'bt_')},
+  bt_own AS MATERIALIZED ({levels}),
+  boosted_rows AS MATERIALIZED (SELECT l.grp, l.depth, rounds, l.role, l.rid, l.y, l.e - CASE WHEN rounds = 2 THEN 0.1e0 * t.p ELSE 0 END AS e
+    FROM bo_leaf_rows l JOIN bt_own t ON t.grp = l.grp * 10 + l.depth AND t.rid = l.rid, (SELECT unnest([1, 2]) AS rounds)
+    WHERE l.role = 'score'),
+  gbt_cv AS MATERIALIZED (SELECT depth, rounds, avg(r) AS avg_rmse, CAST(row_number() OVER (ORDER BY depth, rounds) - 1 AS INTEGER) AS grid_idx
+    FROM (SELECT depth, rounds, grp, sqrt(avg(e * e)) AS r FROM boosted_rows WHERE grp < 3 GROUP BY depth, rounds, grp) GROUP BY depth, rounds),
+  gbt_best AS MATERIALIZED (SELECT depth, rounds FROM gbt_cv ORDER BY round(avg_rmse, 9), grid_idx LIMIT 1),
+  gbt_err AS MATERIALIZED (SELECT 'GBT_Tuned' AS model, b.grp, role, sampled, y AS y0, e
+    FROM boosted_rows b JOIN gbt_best USING (depth, rounds) JOIN (SELECT rid, sampled FROM {source}) f ON b.rid = f.rid)"""
+
+
+BOOSTED = f"{FRACTION_CTE},\n{FLAGGED_ROWS},\n{boost_ctes('flagged')}"
+GBT_RMSE, GBT_R2 = held_score("gbt_err")
+add("gbt_shallow", "labelled", f"""
+    SELECT 'GBT_Tuned' AS model, grid_idx, depth AS maxDepth, rounds AS maxIter, {r6('avg_rmse')} AS avg_rmse,
+      {GBT_RMSE} AS test_rmse, {GBT_R2} AS test_r2 FROM gbt_cv""", BOOSTED)
+FOUR = (f"{BOTH},\n{forest_ctes('flagged')},\n{boost_ctes('flagged')},\nfour_err AS MATERIALIZED (SELECT * FROM both_err WHERE {ON_TEST} "
+        f"UNION ALL SELECT * FROM hf_err WHERE {ON_TEST} UNION ALL SELECT * FROM gbt_err WHERE {ON_TEST})")
+add_recursive("report_four_checked", ranked(board_scores("model", "four_err")), FOUR)
+
 # --- sources and sinks ----------------------------------------------------------------
 
 add("src_csv_roundtrip", "obs", "SELECT " + ", ".join(S.RAW_COLUMNS) + " FROM obs")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
@@ -24,10 +25,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 TIE = "obs_id"
-# Features without the constant and collinear columns of the station grid, so that
-# every weight is determined.
-DISTINCT_FEATURES = [c for c in S.FEATURES_ALL if c not in ("MONTH", "LONGITUDE", "ELEVATION")]
-LEADERBOARD = {"ols_dew": "DEW_C", "ols_humidity": "RH_PCT", "ols_pressure": "SLP_HPA"}
+LEADERBOARD = {
+    "ols_all": S.FEATURES_ALL, "ols_no_leak": S.FEATURES_NO_LEAK,
+    "ols_weather": [c for c in S.FEATURES_NO_LEAK if c not in (*S.COORDINATES, "HOUR", "MONTH", "DAY_OF_YEAR")],
+}
+# Nodes of fewer rows are where several features cut the same rows apart and rounding decides
+# between them; leaves of this size make the trees that SQL is asked for unique.
+TIE_FREE = {"minInstancesPerNode": 20}
 
 
 def query(fn: Query) -> Query:
@@ -362,25 +366,29 @@ def cv_lr(spark, d):
     return rounded(df, "avg_rmse", "test_rmse", "test_r2")
 
 
-def distinct_fit(spark: SparkSession, d: str) -> linear.LinearFit:
-    columns = [*DISTINCT_FEATURES, S.LABEL]
-    table = model(spark, d)
+def least_squares(spark: SparkSession, d: str) -> linear.LinearFit:
+    """All features, the constant and collinear ones of the station grid included: the smallest weights."""
+    columns = [*S.FEATURES_ALL, S.LABEL]
+    table = stored(spark, d)
     shift = moments.column_means(table, columns)
     [row] = moments.moments_by(table, columns, [], shift).collect()
-    return linear.solve(moments.from_row(row, len(columns)), DISTINCT_FEATURES, shift)
+    return linear.solve(moments.from_row(row, len(columns)), S.FEATURES_ALL, shift)
+
+
+def weights(spark: SparkSession, d: str) -> DataFrame:
+    """Rounded before they are ranked: collinear columns share their weight, to the last digits."""
+    table = linear.coefficient_table(spark, least_squares(spark, d), "ols")
+    return rounded(table, "coefficient", "abs_coeff", "intercept")
 
 
 @query
 def lr_coefficients(spark, d):
-    table = linear.coefficient_table(spark, distinct_fit(spark, d), "ols")
-    return rounded(table, "coefficient", "abs_coeff", "intercept")
+    return weights(spark, d)
 
 
 @query
 def top_features(spark, d):
-    table = linear.coefficient_table(spark, distinct_fit(spark, d), "ols")
-    top = results.top_features(table, "abs_coeff", n=5)
-    return top.select("model", "rank", "feature", r6("abs_coeff").alias("abs_coeff"))
+    return results.top_features(weights(spark, d), "abs_coeff").select("model", "rank", "feature", "abs_coeff")
 
 
 @query
@@ -471,8 +479,8 @@ def tree_study(spark: SparkSession, d: str, family: str, **options) -> tuning.Fi
     return tuning.tune_by_fits(labelled(spark, d), S.MODEL_KEY, family, S.FEATURES_ALL, **options)
 
 
-def tuned(spark: SparkSession, d: str, family: str) -> DataFrame:
-    study = tree_study(spark, d, family)
+def tuned(spark: SparkSession, d: str, family: str, **options) -> DataFrame:
+    study = tree_study(spark, d, family, **options)
     names = list(tuning.GRIDS[family])
     cv = results.cv_table_wide(results.cv_table(spark, study.cv_rows), names)
     return cv.select(
@@ -505,16 +513,35 @@ def single_setting(spark: SparkSession, d: str, family: str, params: dict, **opt
 
 @query
 def feature_importance(spark, d):
-    study = single_setting(spark, d, "dt", {"maxDepth": 6, "maxBins": 64})
+    """Of the tree with the setting that the default grid chose."""
+    study = tree_study(spark, d, "dt", options=TIE_FREE)
     return rounded(tuning.importance_table(spark, study), "importance").orderBy(F.desc("importance"))
 
 
 @query
 def learning_curve_tree(spark, d):
-    study = single_setting(spark, d, "dt", {"maxDepth": 5, "maxBins": 32})
+    """At the setting that the default grid chose."""
+    study = tree_study(spark, d, "dt", options=TIE_FREE)
     return curve_rounded(results.learning_curve_table(spark, study.curve_rows))
 
 
+# Grids that SQL can follow on all features.
+FOREST_GRID = {"maxDepth": [3, 5], "numTrees": [4, 8]}
+BOOST_GRID = {"maxDepth": [2, 3], "maxIter": [1, 2]}
+
+
+@query
+def rf_hashed(spark, d):
+    """A forest whose bootstrap and feature draws are hashes, so that it is the same everywhere."""
+    return tuned(spark, d, "hf", grid=FOREST_GRID, options=TIE_FREE)
+
+
+@query
+def gbt_shallow(spark, d):
+    """Boosting on all features: the second round fits the residuals of the first."""
+    return tuned(spark, d, "gbt", grid=BOOST_GRID, options=TIE_FREE)
+
+
 # --- tuning of trees that SQL can follow: one split of the hour --------------------------
 
 STUMPS = {"dt": {"maxDepth": [1], "maxBins": [28, 32]}, "gbt": {"maxDepth": [1], "maxIter": [1, 2]}}
@@ -578,8 +605,9 @@ def learning_curve_shallow(spark, d):
 
 # --- result tables --------------------------------------------------------------------
 
-def dew_grid(spark: SparkSession, d: str) -> DataFrame:
-    study = linear.tune_linear(labelled(spark, d), S.MODEL_KEY, ["DEW_C"], name="dew")
+def tuned_grid(spark: SparkSession, d: str) -> DataFrame:
+    """The default linear grid on all features."""
+    study = linear.tune_linear(labelled(spark, d), S.MODEL_KEY, S.FEATURES_ALL)
     return results.cv_table(spark, study.cv_rows)
 
 
@@ -593,17 +621,17 @@ def numeric_params(df: DataFrame) -> DataFrame:
 
 @query
 def cv_table(spark, d):
-    return numeric_params(dew_grid(spark, d))
+    return numeric_params(tuned_grid(spark, d))
 
 
 @query
 def best_params(spark, d):
-    return numeric_params(results.best_params(dew_grid(spark, d)))
+    return numeric_params(results.best_params(tuned_grid(spark, d)))
 
 
 @query
 def validation_curve(spark, d):
-    return rounded(results.validation_curve(dew_grid(spark, d)), "avg_rmse")
+    return rounded(results.validation_curve(tuned_grid(spark, d)), "avg_rmse")
 
 
 @query
@@ -625,16 +653,16 @@ def learning_curve_union(spark, d):
 
 @query
 def leaderboard(spark, d):
-    """Three one-feature models fitted from one moment pass and compared in one scoring pass."""
+    """Least squares on three sets of features, from one moment pass and compared in one scoring pass."""
     table = stored(spark, d)
-    columns = [*LEADERBOARD.values(), S.LABEL]
+    columns = [*S.FEATURES_ALL, S.LABEL]
     fitted = table.filter(F.col("split") == "train")
     shift = moments.column_means(fitted, columns)
     [row] = moments.moments_by(fitted, columns, [], shift).collect()
     everything = moments.from_row(row, len(columns))
     predictions = {
-        name: linear.solve(everything.take([i, len(LEADERBOARD)]), [feature], shift).prediction()
-        for i, (name, feature) in enumerate(LEADERBOARD.items())
+        name: linear.solve(everything.take([columns.index(c) for c in [*feats, S.LABEL]]), feats, shift).prediction()
+        for name, feats in LEADERBOARD.items()
     }
     test = features.rename_label(table.filter(F.col("split") == "test"))
     scores = metrics.long_scores(test, predictions, S.MODEL_KEY)
@@ -645,31 +673,36 @@ def leaderboard(spark, d):
 
 # --- stored artifacts -----------------------------------------------------------------
 
-def dew_store(spark: SparkSession, d: str) -> ArtifactStore:
-    """The whole job on one feature: clean, write the split table, train from it, store."""
-    store = ArtifactStore(spark, scratch_path(spark, "artifacts"))
-    train.train_family(stored(spark, d), store, "lr", features=["DEW_C"], run_id="run-1")
+def trained_store(spark: SparkSession, d: str, families: tuple[str, ...] = ("lr", "dt")) -> ArtifactStore:
+    """The whole job on all features: clean, write the split table, tune by default grids, store."""
+    store, table = ArtifactStore(spark, scratch_path(spark, "artifacts")), stored(spark, d)
+    for family in families:
+        train.train_family(table, store, family, options=None if family == "lr" else TIE_FREE, run_id="run-1")
     return store
 
 
+def board_rounded(df: DataFrame) -> DataFrame:
+    return rounded(df, "test_rmse", "test_r2", "sample_rmse", "sample_r2")
+
+
 @query
 def artifact_metrics(spark, d):
-    got = dew_store(spark, d).read(artifacts.METRICS)
+    got = trained_store(spark, d).read(artifacts.METRICS)
+    param = lambda name: F.get_json_object("best_hyperparameters", f"$.{name}").cast("double").alias(name)
     return got.select(
         "model_name", r6("test_rmse").alias("test_rmse"), r6("test_r2").alias("test_r2"),
-        F.get_json_object("best_hyperparameters", "$.regParam").cast("double").alias("regParam"),
-        F.get_json_object("best_hyperparameters", "$.elasticNetParam").cast("double").alias("elasticNetParam"),
+        *[param(name) for name in ("regParam", "elasticNetParam", "maxDepth", "maxBins")],
     )
 
 
 @query
 def artifact_tables(spark, d):
-    return curve_rounded(dew_store(spark, d).read(artifacts.CURVE))
+    return curve_rounded(trained_store(spark, d).read(artifacts.CURVE))
 
 
 @query
 def artifact_catalogue(spark, d):
-    return dew_store(spark, d).catalogue().select("model", "kind", "n_rows")
+    return trained_store(spark, d).catalogue().select("model", "kind", "n_rows")
 
 
 def four_families(spark: SparkSession, d: str) -> ArtifactStore:
@@ -682,24 +715,42 @@ def four_families(spark: SparkSession, d: str) -> ArtifactStore:
 
 @query
 def report_four_families(spark, d):
-    board = report.leaderboard_from(four_families(spark, d))
-    return rounded(board, "test_rmse", "test_r2", "sample_rmse", "sample_r2")
+    return board_rounded(report.leaderboard_from(four_families(spark, d)))
 
 
 @query
 def tidy_export(spark, d):
-    """The learning curves of the exported report, read back from its CSV tables."""
+    """The exported report read back: grids, curves, prediction samples and the leaderboard as (kind, model, item, value)."""
     out = scratch_path(spark, "tidy")
-    report.export_tidy(dew_store(spark, d), out)
-    found = spark.read.option("header", True).csv(f"{out}/tables/{artifacts.CURVE}")
-    kinds = {f.name: f.dataType for f in S.LEARNING_CURVE_SCHEMA.fields}
-    return curve_rounded(found.select(*[F.col(c).cast(t).alias(c) for c, t in kinds.items()]))
+    report.export_tidy(trained_store(spark, d), out)
+
+    def back(kind: str) -> DataFrame:
+        return spark.read.option("header", True).csv(f"{out}/{kind}")
+
+    number = lambda c: F.col(c).cast("double")
+    pairs = back(f"tables/{artifacts.PLOT}").groupBy("model").agg(
+        F.count(F.lit(1)).alias("item"), F.avg(number("Predicted_Temperature_C")).alias("value"))
+    parts = [
+        back(f"tables/{artifacts.CV}").select(F.lit("cv"), "model", number("grid_idx"), number("avg_rmse")),
+        back(f"tables/{artifacts.CURVE}").select(F.lit("curve"), "model", number("fraction"), number("test_rmse")),
+        pairs.select(F.lit("sample"), "model", number("item"), "value"),
+        back("leaderboard").select(F.lit("board"), "model", number("rank"), number("test_rmse")),
+    ]
+    return rounded(reduce(DataFrame.union, parts).toDF("kind", "model", "item", "value"), "value")
 
 
 @query
 def report_leaderboard(spark, d):
-    board = report.leaderboard_from(dew_store(spark, d))
-    return rounded(board, "test_rmse", "test_r2", "sample_rmse", "sample_r2")
+    return board_rounded(report.leaderboard_from(trained_store(spark, d)))
+
+
+@query
+def report_four_checked(spark, d):
+    """All four kinds of models on all features, tuned over grids that SQL can follow."""
+    store, table = ArtifactStore(spark, scratch_path(spark, "families")), stored(spark, d)
+    for family, grid in (("lr", None), ("dt", None), (tuning.HASHED, FOREST_GRID), ("gbt", BOOST_GRID)):
+        train.train_family(table, store, family, grid=grid, options=None if family == "lr" else TIE_FREE)
+    return board_rounded(report.leaderboard_from(store))
 
 
 # --- sources and sinks ----------------------------------------------------------------
