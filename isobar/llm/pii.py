@@ -4,7 +4,7 @@ The patterns (email, ip, card, phone) give the base spans. The random field labe
 white-space word with one of the kinds or none. Its features are the shapes of a word and of its
 neighbours; it is trained on a small table of word windows taken from a bounded sample of
 documents and labelled by the base spans, and reads whole texts. Runs of words it labels
-that no base span touches are added as spans of their own, punctuation trimmed off.
+are added as spans of their own, punctuation trimmed off; words that a base span touches are not, and end a run.
 
 Decoding is exact Viterbi. A word whose score for "none" leads by more than any two transitions
 can change is "none" on every best path, so it splits the chain; what remains are short segments
@@ -42,6 +42,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # Every ip, card and phone lies inside one of these.
 ZONE = re.compile(r"[0-9+][0-9\x20.()+-]{6,}")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+REPEATS = re.compile(r"(.)\1+", re.S)
 TRIM = ",;:!?.()[]{}<>|\"'*#%&$"
 
 # Training bounds.
@@ -108,8 +109,8 @@ def written(spans: list[Span]) -> str:
 # --- features -------------------------------------------------------------------------
 
 def shape(word: str) -> str:
-    kinds = word[:48].translate(KIND)
-    return "".join(k for i, k in enumerate(kinds) if not i or k != kinds[i - 1])
+    """Kinds of the signs of the whole word, repeats once."""
+    return REPEATS.sub(r"\1", word.translate(KIND))
 
 
 def bucket(n: int) -> int:
@@ -281,24 +282,25 @@ def viterbi(field: RandomField, emit: np.ndarray, begin: np.ndarray, caution: fl
 # --- spans of texts -------------------------------------------------------------------
 
 def added_spans(text: str, labels: np.ndarray, base: list[Span]) -> list[Span]:
-    """Runs of equally labelled words that no base span touches."""
+    """Runs of equally labelled words; words that a base span touches are left out and end a run."""
     found: list[Span] = []
-    taken = np.zeros(len(text) + 1, bool)
-    for a, b, _ in base:
-        taken[a:b] = True
     places = [m.span() for m in WORD.finditer(text)]
+    ends = np.array([b for _, b in places])
+    starts = np.array([a for a, _ in places])
+    free = labels.copy()
+    for a, b, _ in base:
+        free[np.searchsorted(ends, a, side="right"):np.searchsorted(starts, b)] = 0
     i = 0
-    while i < len(labels):
+    while i < len(free):
         j = i + 1
-        while j < len(labels) and labels[j] == labels[i]:
+        while j < len(free) and free[j] == free[i]:
             j += 1
-        if labels[i]:
+        if free[i]:
             a, b = places[i][0], places[j - 1][1]
-            if not taken[a:b].any():
-                body = text[a:b]
-                a, b = a + len(body) - len(body.lstrip(TRIM)), b - (len(body) - len(body.rstrip(TRIM)))
-                if a < b and any(c.isdigit() or c == "@" for c in text[a:b]):
-                    found.append((a, b, int(labels[i]) - 1))
+            body = text[a:b]
+            a, b = a + len(body) - len(body.lstrip(TRIM)), b - (len(body) - len(body.rstrip(TRIM)))
+            if a < b and any(c.isdigit() or c == "@" for c in text[a:b]):
+                found.append((a, b, int(free[i]) - 1))
         i = j
     return found
 
