@@ -76,15 +76,15 @@ def op6_exact_topk(spark, d):
 
 ORACLE["op6_exact_topk"] = """
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT row_number() OVER () AS number, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  SELECT q.number, q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
   FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
 ), ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+  SELECT *, CAST(row_number() OVER (PARTITION BY number ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
@@ -113,8 +113,7 @@ def op11_spelling_variants(spark, d):
 
 @query
 def op12_bpe_backtracking(spark, d):
-    file = public_tokenizers.path("word_bpe_49k.json")
-    rows = bpe.decode(bpe.encode(documents(spark, d), file), file)
+    rows = bpe.encode(documents(spark, d), public_tokenizers.path("word_bpe_49k.json"), decoded=True)
     sha = lambda text: F.sha2(text.cast("binary"), 256)
     return rows.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),

@@ -8,9 +8,10 @@ partition and the blocks' winners merged by rank, so nothing but k rows per quer
 ever shuffled. All queries meet all blocks, in blocks of a fixed size on either side.
 
 Vectors that are null, or hold a null or non-finite component, take no part; neither do rows with
-a null id. A vector's missing trailing components count as zero. Rows that repeat an id are
-candidates of their own, but no row is a candidate for a query with its id. Ties go to the smaller
-id. With fewer than k candidates all are returned. Other columns are ignored.
+a null id. A vector's missing trailing components count as zero. Rows that repeat an id are queries
+and candidates of their own: each query row has its own k best, under the one id. No row is a candidate
+for a query with its id. Ties go to the smaller id. With fewer than k candidates all are returned.
+Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from isobar.llm.batches import offsets_of
+from isobar.session import scratch_path
 
 K = 5
 SCALE = 256
@@ -92,21 +94,24 @@ def exact_top_k(
     scale: int = SCALE, query_block: int = QUERY_BLOCK, row_block: int = ROW_BLOCK,
 ) -> DataFrame:
     """query_id, rank, id, score of each query's k best rows other than its own."""
-    rows = integer_vectors(vectors, id_column, column, scale)
+    # Rows are numbered and written, so that rows of equal ids stay apart.
+    path = scratch_path(vectors.sparkSession, "vectors")
+    integer_vectors(vectors, id_column, column, scale).withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = vectors.sparkSession.read.parquet(path)
     queries = rows.filter(is_query)
     n_queries, n_rows = queries.count(), rows.count()
     q_blocks, r_blocks = max(1, -(-n_queries // query_block)), max(1, -(-n_rows // row_block))
-    spread = lambda n, salt: F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(salt)), F.lit(n)).cast("int")
+    spread = lambda n, salt: F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(n)).cast("int")
     # A row block goes to each query block; the pair is the group that is worked on.
     candidates = (
         rows.withColumn("r", spread(r_blocks, 1))
         .withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
-        .select("q", "r", F.lit(False).alias("asks"), F.col(id_column).alias("id"), "v")
+        .select("q", "r", F.lit(False).alias("asks"), F.col(id_column).alias("id"), "row", "v")
     )
     asked = (
         queries.withColumn("q", spread(q_blocks, 2))
         .withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(r_blocks - 1))))
-        .select("q", "r", F.lit(True).alias("asks"), F.col(id_column).alias("id"), "v")
+        .select("q", "r", F.lit(True).alias("asks"), F.col(id_column).alias("id"), "row", "v")
     )
 
     def search(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -115,16 +120,16 @@ def exact_top_k(
             part = table.filter(pc.equal(table.column("asks"), asks)).sort_by("id").combine_chunks()
             lists = part.column("v")
             lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-            parts.append((part.column("id").to_numpy(), by_dimension(*matrix(lists))))
-        (own, q_terms), (ids, postings) = parts
-        names = ["query_id", "vec_id", "score"]
+            parts.append((part.column("id").to_numpy(), part.column("row").to_numpy(), by_dimension(*matrix(lists))))
+        (own, own_rows, q_terms), (ids, _, postings) = parts
+        names = ["query", "query_id", "vec_id", "score"]
         if not len(own) or not len(ids):
             return pa.table({n: pa.array([], pa.int64()) for n in names})
         scores = accumulate(q_terms, postings, len(own), len(ids))
         q, c = best_of(scores, ids, own, k)
-        return pa.table({"query_id": own[q], "vec_id": ids[c], "score": scores[q, c]})
+        return pa.table({"query": own_rows[q], "query_id": own[q], "vec_id": ids[c], "score": scores[q, c]})
 
-    found = candidates.unionByName(asked).groupBy("q", "r").applyInArrow(search, "query_id bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = candidates.unionByName(asked).groupBy("q", "r").applyInArrow(search, "query bigint, query_id bigint, vec_id bigint, score bigint")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias(id_column), "score")

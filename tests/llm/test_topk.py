@@ -15,7 +15,7 @@ def scan(rows, k, every):
     usable = [(i, [math.floor(256 * x) for x in v]) for i, v in rows
               if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, a in usable:
+    for q, a in usable:  # a row that repeats an id is a query of its own
         if q % every == 0:
             scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in usable if i != q)
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
@@ -41,3 +41,13 @@ def test_fewer_candidates_than_k_and_empty_table(spark):
     assert run(spark, [(0, [1.0]), (1, [-0.001])]) == [(0, 1, 1, -256)]
     assert run(spark, [(0, [1.0])]) == []
     assert run(spark, []) == []
+
+
+def test_repeated_query_ids_have_their_own_winners(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(0, 0.3, 4)]) for i in range(30)]
+    rows += [(0, rows[0][1]), (0, rows[5][1]), (7, rows[7][1]), (3, [0.5])]
+    got = run(spark, rows)
+    assert got == scan(rows, 5, 3)
+    assert [g[1] for g in got if g[0] == 0] == [1, 1, 1, 2, 2, 2, 3, 3, 3, 4, 4, 4, 5, 5, 5]
+    assert run(spark, rows, query_block=2, row_block=5) == got
