@@ -1,18 +1,22 @@
-"""Document fingerprints from closed syncmers of words, with DataFrame functions only.
+"""Document fingerprints from closed syncmers, with DataFrame functions only.
 
-A text's words (between ASCII white space) are hashed. Of every ``k`` consecutive words the inner
-runs of ``s`` words are compared by hash; the k words are a closed syncmer if the smallest inner
-hash stands at either edge. Whether they are depends on these k words alone, so an edit moves no
-anchor outside its reach. The anchors' 32-bit hashes in text order, 8 hex digits each, are the
-fingerprint. A text of fewer than k words has one anchor, the hash of all its words; a text
-without words has none, and an empty fingerprint.
+Tokens are hashed. Of every ``k`` consecutive tokens the inner runs of ``s`` tokens are compared by
+hash; the k tokens are a closed syncmer if the smallest inner hash stands at either edge. Whether they
+are depends on these k tokens alone, so an edit moves no anchor outside its reach.
+
+The tokens are a text's words (between ASCII white space). Words cannot place an edit in a short text or
+inside a word, so texts below ``SHORT`` code points get the syncmers of their code points besides, and longer
+ones those of their words of ``LONG_WORD`` signs or more, joined by blanks. The anchors' 32-bit hashes in
+text order, 8 hex digits each, words first, are the fingerprint. Fewer than k tokens make one anchor, the
+hash of all; a text without words has none, and an empty fingerprint.
 
 Likeness of two fingerprints is the Jaccard index of their anchor sets, 1 for two empty ones.
 
 ``with_next`` gives each row the text after it by ascending id without a global sort in one task:
 rows are dealt into blocks of neighbouring ids cut at quantiles, and every block gets a copy of
 the next block's first row as its last. A null text counts as empty. Null ids come first; rows
-with equal ids are ordered by text. Other columns are ignored.
+with equal ids are ordered by text. Very long texts are whole. Other columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -23,35 +27,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-K = 8
-S = 3
+K = 4
+S = 1
+# The same for code points.
+SIGNS_K = 8
+SIGNS_S = 4
+SHORT = 512
+LONG_WORD = 40
 BLOCK_ROWS = 2000
 MOST_BLOCKS = 1 << 16  # beyond that blocks grow; their rows are sorted with spilling
 STRIDE = 64
 
 
-def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S) -> DataFrame:
-    """Adds ``out`` array<int>: the hashes of the closed syncmers of column ``text``."""
-    inner = k - s + 1
-    words, runs = f"{out}_words", f"{out}_runs"
-    plain = F.translate(F.col(text), "\t\n\x0b\f\r", "     ")
-    # Each step is a column that the next refers to more than once, so none is computed anew
-    # for every element.
-    df = df.withColumn(words, F.transform(F.filter(F.split(plain, " "), lambda w: w != ""), lambda w: F.xxhash64(w)))
-    many = F.size(words) >= k
+def with_syncmers(df: DataFrame, tokens: str, out: str, k: int, s: int) -> DataFrame:
+    """Adds ``out`` array<int>: the hashes of the closed syncmers of column ``tokens``, an array of hashes."""
+    inner, runs = k - s + 1, f"{out}_runs"
+    many = F.size(tokens) >= k
+    # A column that the next refers to more than once, so that it isn't computed anew for every element.
     df = df.withColumn(runs, F.when(many, F.transform(
-        words, lambda w, i: F.xxhash64(w, *[F.get(words, i + j) for j in range(1, s)])
+        tokens, lambda t, i: F.xxhash64(t, *[F.get(tokens, i + j) for j in range(1, s)])
     )))
 
     def closed(run: Column, i: Column) -> Column:
         last = F.get(runs, i + (inner - 1))
         low = F.least(*[F.get(runs, i + j) for j in range(1, inner - 1)])
-        return F.when((run <= low) | (last <= low) | (inner <= 2), F.hash(*[F.get(words, i + j) for j in range(k)]))
+        return F.when((run <= low) | (last <= low) | (inner <= 2), F.hash(*[F.get(tokens, i + j) for j in range(k)]))
 
     starts = F.slice(runs, 1, F.greatest(F.size(runs) - (k - 1), F.lit(0)))
     anchors = F.filter(F.transform(starts, closed), lambda a: a.isNotNull())
-    short = F.when(F.size(words) > 0, F.array(F.hash(words))).otherwise(F.array().cast("array<int>"))
-    return df.withColumn(out, F.when(many, anchors).otherwise(short)).drop(words, runs)
+    short = F.when(F.size(tokens) > 0, F.array(F.hash(tokens))).otherwise(F.array().cast("array<int>"))
+    return df.withColumn(out, F.when(many, anchors).otherwise(short)).drop(runs)
+
+
+def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S) -> DataFrame:
+    """Adds ``out`` array<int>: the anchors of column ``text``, those of words before those of code points."""
+    names, words, signs, tight = f"{out}_names", f"{out}_words", f"{out}_signs", f"{out}_tight"
+    plain = F.translate(F.col(text), "\t\n\x0b\f\r", "     ")
+    df = df.withColumn(names, F.filter(F.split(plain, " "), lambda w: w != ""))
+    wide = F.filter(names, lambda w: F.length(w) >= LONG_WORD)
+    body = F.when(F.size(names) == 0, "").when(F.length(text) < SHORT, F.col(text)).otherwise(F.array_join(wide, " "))
+    points = F.when(body != "", F.transform(F.filter(F.split(body, ""), lambda c: c != ""), lambda c: F.xxhash64(c)))
+    df = df.withColumns({
+        words: F.transform(names, lambda w: F.xxhash64(w)), signs: F.coalesce(points, F.array().cast("array<bigint>")),
+    }).drop(names)
+    df = with_syncmers(with_syncmers(df, words, out, k, s), signs, tight, SIGNS_K, SIGNS_S)
+    return df.withColumn(out, F.concat(out, tight)).drop(words, signs, tight)
 
 
 def fingerprint(anchors: str) -> Column:
