@@ -22,6 +22,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +38,10 @@ LEAST_COUNT = 2
 RATIO = 10
 DROP_EVERY = 31
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
-BLOCK = 1024  # words of a key that meet as one block
-TILE = 512  # rows of a dense comparison
-CELLS = 1 << 24  # code points compared at once
+BLOCK = 512  # words of a key that meet as one block
+TILE = 192  # rows of a dense comparison, unless one group has more
+CELLS = 1 << 20  # pairs of words compared at once
+SLICE = 2_000_000  # bytes of text that are counted at once
 WIDE = 32  # signs of a word from which blocks and tiles get fewer rows
 TASK_KEY = ["size", "side", "key", "lo", "hi"]
 
@@ -75,27 +77,37 @@ def counted_words(
         kept = {w: n for w, n in total.items() if len(w) >= least_length}
         return pa.RecordBatch.from_arrays([pa.array(kept.keys(), pa.string()), pa.array(kept.values(), pa.int64())], ["word", "n"])
 
-    found = map_slices(docs.select(id_column, text), text, run, "word string, n bigint")
+    found = map_slices(docs.select(id_column, text), text, run, "word string, n bigint", size=SLICE)
     return found.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_count)
 
 
 # --- dense tiles ----------------------------------------------------------------------
 
-def matrices(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Lengths, code points padded at the end, code points of the reversed words padded at the end."""
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    width = int(sizes.max())
-    # Latin letters have code points below 256; one dtype serves any word.
-    pad = lambda ws: np.array(ws, f"<U{width}").view("<u4").reshape(len(ws), width)
-    return sizes, pad(words), pad([w[::-1] for w in words])
+@dataclass(frozen=True)
+class Padded:
+    """Words as rows of code points, forwards and backwards, padded with zeros; stored by column."""
+
+    sizes: np.ndarray
+    ahead: np.ndarray
+    behind: np.ndarray
 
 
-def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the common beginning of every row of ``a`` with every row of ``b``, padding included."""
-    length = np.zeros((len(a), len(b)), np.int64)
-    equal = np.ones((len(a), len(b)), bool)
-    for i in range(a.shape[1]):
-        equal &= a[:, i, None] == b[None, :, i]
+def padded(words: list[str]) -> Padded:
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    width = int(sizes.max())
+    # One byte a sign where code points allow it.
+    narrow = max(map(max, words)) <= "\u00ff"
+    code, unit, kind = ("latin-1", "u1", f"S{width}") if narrow else ("utf-32-le", "<u4", f"S{4 * width}")
+    pad = lambda ws: np.ascontiguousarray(np.array([w.encode(code) for w in ws], kind).view(unit).reshape(len(ws), width).T)
+    return Padded(sizes.astype(np.int16 if width < 1 << 13 else np.int64), pad(words), pad([w[::-1] for w in words]))
+
+
+def common(a: np.ndarray, b: np.ndarray, kind: type = np.int64) -> np.ndarray:
+    """Code points that every word of ``a`` and every word of ``b`` begin with in common, padding included."""
+    equal = a[0][:, None] == b[0][None]
+    length = equal.astype(kind)
+    for own, other in zip(a[1:], b[1:]):
+        equal &= own[:, None] == other[None]
         if not equal.any():
             break
         length += equal
@@ -108,19 +120,19 @@ def tile_links(rows: dict[str, np.ndarray], words: list[str]) -> np.ndarray:
     ``group`` numbers the task groups, ``size`` is the shorter length of its pairs, ``side`` 0 for prefixes,
     ``mine`` the row's block and ``split`` whether the group is a pair of two different blocks.
     """
-    sizes, ahead, behind = matrices(words)
-    n = len(words)
+    own = padded(words)
+    sizes, kind, n = own.sizes, own.sizes.dtype.type, len(words)
     near = np.zeros((n, n), bool)
-    step = max(1, min(n, CELLS // max(n * ahead.shape[1], 1)))
-    group, least = rows["group"], rows["size"]
+    step = max(1, min(n, CELLS // max(n, own.ahead.shape[0])))
+    group, least = rows["group"].astype(np.int32), rows["size"].astype(sizes.dtype)
     for at in range(0, n, step):
         a = slice(at, at + step)
         longer = np.maximum(sizes[a, None], sizes[None])
         shorter = np.minimum(sizes[a, None], sizes[None])
         together = (group[a, None] == group[None]) & (shorter == least[None])
         together &= ~rows["split"][None] | (rows["mine"][a, None] != rows["mine"][None])
-        prefix = np.minimum(common(ahead[a], ahead), shorter)
-        suffix = np.minimum(common(behind[a], behind), shorter)
+        prefix = np.minimum(common(own.ahead[:, a], own.ahead, kind), shorter)
+        suffix = np.minimum(common(own.behind[:, a], own.behind, kind), shorter)
         single = (prefix + suffix >= longer - 1) & (longer - shorter <= 1) & ((prefix < longer) | (longer > shorter))
         # Pairs that share the prefix key are counted there.
         mine = (rows["side"][None] == 0) | (prefix < least[None] // 2)
