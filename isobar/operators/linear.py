@@ -1,8 +1,9 @@
 """Linear regression with an elastic-net penalty.
 
 Settings without an absolute-value penalty are solved from moments: one pass over the rows serves
-all folds, settings and sample fractions. Settings with one are fitted by MLlib's normal-equation
-solver on the same folds. Both follow one convention: features and label are standardised with
+all folds, settings and sample fractions. Where the moments are too ill-conditioned to tell close directions
+from equal ones, unpenalised settings are solved from orthogonal triangles instead, one more pass. Settings
+with an absolute-value penalty are fitted by MLlib's normal-equation solver on the same folds. Both follow one convention: features and label are standardised with
 population deviations, and ``regParam`` is divided by that of the label.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from isobar import schema as S
 from isobar.operators import features as feat
-from isobar.operators import split
+from isobar.operators import split, tsqr
 from isobar.operators.moments import Moments, column_means, from_row, moments_by, total
 from isobar.operators.results import small_table
 from isobar.operators.tuning import GRIDS, best_setting, expand_grid
@@ -33,6 +34,8 @@ FRACTIONS = [0.1, 0.25, 0.5, 0.75, 1.0]
 
 # Directions of the correlation matrix below this are exact linear combinations.
 COLLINEAR = 1e-9
+# Eigenvalues of the correlation matrix below this share of the largest have lost half their digits.
+ILL = 1e-7
 # MLlib's stopping rule for penalised fits, tight enough for six digits of the scores.
 TOLERANCE, MAX_ITERATIONS = 1e-13, 10_000
 
@@ -82,6 +85,42 @@ def solve(m: Moments, features: Sequence[str], shift: Mapping[str, float], reg:
     return finished(m, features, shift, w, label)
 
 
+@dataclass(frozen=True)
+class RowSet:
+    """What is known of a set of rows: their moments, and their triangle where it was asked for."""
+
+    m: Moments
+    t: tsqr.Triangle | None = None
+
+
+def ill_conditioned(m: Moments, k: int) -> bool:
+    """Whether the moments of the first ``k`` columns are too close to singular to be solved."""
+    spread = np.sqrt(np.clip(np.diag(m.covariance)[:k], 0.0, None))
+    live = np.flatnonzero(spread > 0)
+    if len(live) < 2:
+        return False
+    values = np.linalg.eigvalsh(m.covariance[np.ix_(live, live)] / np.outer(spread[live], spread[live]))
+    return bool(values[0] < ILL * values[-1])
+
+
+def solve_rows(rows: RowSet, features: Sequence[str], shift: Mapping[str, float], reg: float = 0.0, label: str = S.LABEL) -> LinearFit:
+    """Least squares by the triangle where there is one and no penalty, else by the moments."""
+    if rows.t is None or reg > 0:
+        return solve(rows.m, features, shift, reg, label)
+    live = [i for i in np.flatnonzero(rows.m.low < rows.m.high).tolist() if i < len(features)]
+    return finished(rows.m, features, shift, rows.t.weights(live), label)
+
+
+def least_squares(df: DataFrame, features: Sequence[str], label: str = S.LABEL) -> LinearFit:
+    """Unpenalised fit on all rows of ``df``; of equally good weights the smallest."""
+    columns = [*features, label]
+    shift = column_means(df, columns)
+    [row] = moments_by(df, columns, [], shift).collect()
+    m = from_row(row, len(columns))
+    t = tsqr.from_row(tsqr.triangles_by(df, columns, [], shift).first()) if ill_conditioned(m, len(features)) else None
+    return solve_rows(RowSet(m, t), features, shift, label=label)
+
+
 def finished(m: Moments, features: Sequence[str], shift: Mapping[str, float], w: np.ndarray, label: str) -> LinearFit:
     """The fit with weights ``w`` whose mean error on the rows behind ``m`` is 0."""
     k = len(features)
@@ -108,23 +147,28 @@ def fit_penalised(rows: DataFrame, m: Moments, features: Sequence[str], shift: M
     return finished(m, features, shift, w, label)
 
 
-def squared_error(fit: LinearFit, m: Moments, shift: Mapping[str, float]) -> float:
-    """Sum of squared errors of ``fit`` on the rows behind ``m``."""
+def squared_error(fit: LinearFit, rows: RowSet | Moments, shift: Mapping[str, float]) -> float:
+    """Sum of squared errors of ``fit`` on ``rows``."""
+    m, t = (rows, None) if isinstance(rows, Moments) else (rows.m, rows.t)
     w = np.append(-fit.coefficients, 1.0)
     origin = np.array([shift.get(c, 0.0) for c in fit.features])
     # Mean error first, spread around it second: no large terms cancel.
     bias = w @ m.means + shift.get(fit.label, 0.0) - fit.coefficients @ origin - fit.intercept
+    if t is not None:
+        return t.squared_error(fit.coefficients, bias)
     return float(m.n * (max(w @ m.covariance @ w, 0.0) + bias * bias))
 
 
-def rmse(fit: LinearFit, m: Moments, shift: Mapping[str, float]) -> float:
-    return float(np.sqrt(squared_error(fit, m, shift) / m.n))
+def rmse(fit: LinearFit, rows: RowSet | Moments, shift: Mapping[str, float]) -> float:
+    m = rows if isinstance(rows, Moments) else rows.m
+    return float(np.sqrt(squared_error(fit, rows, shift) / m.n))
 
 
-def r2(fit: LinearFit, m: Moments, shift: Mapping[str, float]) -> float | None:
+def r2(fit: LinearFit, rows: RowSet | Moments, shift: Mapping[str, float]) -> float | None:
+    m = rows if isinstance(rows, Moments) else rows.m
     k = len(fit.features)
     sst = m.n * m.covariance[k, k]
-    return float(1.0 - squared_error(fit, m, shift) / sst) if sst > 0 else None
+    return float(1.0 - squared_error(fit, rows, shift) / sst) if sst > 0 else None
 
 
 @dataclass
@@ -149,7 +193,8 @@ def tune_linear(
     """Grid search, refit, test score and learning curve of a table with a ``split`` column.
 
     Rows with a missing value take no part. At most 2 x folds x (fractions + 1) rows of moments
-    are fetched; they score every fit, and give those without an absolute-value penalty.
+    are fetched; they score every fit, and give those without an absolute-value penalty. If they are
+    ill-conditioned, as many triangles are fetched besides.
     """
     fractions = sorted(fractions)
     columns = [*features, label]
@@ -160,11 +205,17 @@ def tune_linear(
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         shift = column_means(table, columns) if shift is None else shift
-        rows = moments_by(table, columns, ["split", "fold", "part"], shift).collect()
-        cells = {(r["split"], r["fold"], r["part"]): from_row(r, len(columns)) for r in rows}
-
-        def pick(where) -> Moments | None:
-            return total(m for key, m in cells.items() if where(*key))
+        by = ["split", "fold", "part"]
+        key_of = lambda r: tuple(r[b] for b in by)
+        cells = {key_of(r): from_row(r, len(columns)) for r in moments_by(table, columns, by, shift).collect()}
+        whole_train = total(m for (s, _, _), m in cells.items() if s == "train")
+        triangles = {}
+        if whole_train is not None and ill_conditioned(whole_train, len(features)):
+            triangles = {key_of(r): tsqr.from_row(r) for r in tsqr.triangles_by(table, columns, by, shift).collect()}
+
+        def pick(where) -> RowSet | None:
+            m = total(m for key, m in cells.items() if where(*key))
+            return None if m is None else RowSet(m, tsqr.total(t for key, t in triangles.items() if where(*key)))
 
         train = pick(lambda s, f, p: s == "train")
         test = pick(lambda s, f, p: s == "test")
@@ -179,10 +230,10 @@ def tune_linear(
             if held is not None and rest is not None:
                 pairs[i] = (rest, held)
 
-        def fit_on(m: Moments, setting: Mapping, rows: DataFrame) -> LinearFit:
+        def fit_on(part: RowSet, setting: Mapping, rows: DataFrame) -> LinearFit:
             if has_l1(setting):
-                return fit_penalised(rows, m, features, shift, setting, label)
-            return solve(m, features, shift, setting["regParam"], label)
+                return fit_penalised(rows, part.m, features, shift, setting, label)
+            return solve_rows(part, features, shift, setting["regParam"], label)
 
         def score(task: tuple[int, int]) -> float:
             rest, held = pairs[task[1]]
@@ -215,9 +266,9 @@ def tune_linear(
         part = pick(lambda s, f, p: s == "train" and p <= i)
         if part is None:
             continue
-        sub = fit if part.n == train.n else fits[i]
+        sub = fit if part.m.n == train.m.n else fits[i]
         curve.append((
-            name, float(fraction), int(part.n), rmse(sub, part, shift),
+            name, float(fraction), int(part.m.n), rmse(sub, part, shift),
             rmse(sub, test, shift) if test else None, r2(sub, test, shift) if test else None,
         ))
     return LinearStudy(

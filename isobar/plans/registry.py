@@ -366,18 +366,12 @@ def cv_lr(spark, d):
     return rounded(df, "avg_rmse", "test_rmse", "test_r2")
 
 
-def least_squares(spark: SparkSession, d: str) -> linear.LinearFit:
-    """All features, the constant and collinear ones of the station grid included: the smallest weights."""
-    columns = [*S.FEATURES_ALL, S.LABEL]
-    table = stored(spark, d)
-    shift = moments.column_means(table, columns)
-    [row] = moments.moments_by(table, columns, [], shift).collect()
-    return linear.solve(moments.from_row(row, len(columns)), S.FEATURES_ALL, shift)
-
-
 def weights(spark: SparkSession, d: str) -> DataFrame:
-    """Rounded before they are ranked: collinear columns share their weight, to the last digits."""
-    table = linear.coefficient_table(spark, least_squares(spark, d), "ols")
+    """Of all features, the constant and collinear ones of the station grid included: the smallest weights.
+
+    Rounded before they are ranked: collinear columns share their weight, to the last digits.
+    """
+    table = linear.coefficient_table(spark, linear.least_squares(stored(spark, d), S.FEATURES_ALL), "ols")
     return rounded(table, "coefficient", "abs_coeff", "intercept")
 
 
