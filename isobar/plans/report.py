@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isobar.operators import metrics, results, split
+from isobar.session import scratch_scope
 from isobar.sources import artifacts, tables
 from isobar.sources.artifacts import ArtifactStore
 
@@ -42,11 +43,12 @@ def export_tidy(store: ArtifactStore, out: str, cap: int | None = None) -> None:
 
     With a ``cap`` at most so many predictions per model, the first in hash order.
     """
-    for kind in artifacts.STORED:
-        df = store.read(kind)
-        if kind == artifacts.PLOT and cap is not None:
-            df = split.capped_sample(df, df.columns, 1.0, cap, ["model"])
-        if kind == artifacts.CV:
-            df = df.withColumn("params", F.to_json("params"))
-        tables.write_csv(df, f"{out}/tables/{kind}", ["model"])
-    tables.write_csv(leaderboard_from(store), f"{out}/leaderboard")
+    with scratch_scope(store.spark):
+        for kind in artifacts.STORED:
+            df = store.read(kind)
+            if kind == artifacts.PLOT and cap is not None:
+                df = split.capped_sample(df, df.columns, 1.0, cap, ["model"])
+            if kind == artifacts.CV:
+                df = df.withColumn("params", F.to_json("params"))
+            tables.write_csv(df, f"{out}/tables/{kind}", ["model"])
+        tables.write_csv(leaderboard_from(store), f"{out}/leaderboard")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from isobar import schema as S
 from isobar.operators import clean, linear, metrics, results, split, tuning
-from isobar.sources import artifacts, tables
+from isobar.session import scratch_scope
+from isobar.sources import artifacts
 from isobar.sources.artifacts import ArtifactStore
 
 SAMPLE_FRACTION = 0.01
@@ -50,28 +51,30 @@ def train_family(
 
     ``options`` are passed to every tree estimator, e.g. ``maxMemoryInMB``; ``scale`` keeps a scaler
     in a saved tree pipeline; ``parallelism`` fits run at once. One fit gives coefficients, scores,
-    curve, saved model and sample. The prediction sample is whole unless ``sample_cap`` is given.
+    curve, saved model and sample. The prediction sample is whole unless ``sample_cap`` is given. The run is
+    published when all of it is written.
     """
     features, keys = list(features), list(keys)
-    run_id, run_at = run_id or new_run_id(), artifacts.now()
     name = tuning.MODEL_NAMES[family]
-    spark = table.sparkSession
+    spark, run = table.sparkSession, store.run(name, run_id or new_run_id())
     ready = prepare(table, features, null_policy, label).select("split", *keys, *features, label)
     tune = {"folds": folds, "fractions": fractions, "parallelism": parallelism}
     if family == "lr":
         study = linear.tune_linear(ready, keys, features, label, name, grid or linear.LINEAR_GRID, **tune)
         model = study.fit.pipeline()
-        store.write(linear.coefficient_table(spark, study.fit, name), name, artifacts.COEFFICIENTS, run_id, run_at)
+        run.write(linear.coefficient_table(spark, study.fit, name), artifacts.COEFFICIENTS)
     else:
         study = tuning.tune_by_fits(ready, keys, family, features, label, grid, scale=scale, options=options, **tune)
         model = study.model
-        store.write(tuning.importance_table(spark, study), name, artifacts.IMPORTANCE, run_id, run_at)
-    store.write(results.cv_table(spark, study.cv_rows), name, artifacts.CV, run_id, run_at)
-    store.write(results.learning_curve_table(spark, study.curve_rows), name, artifacts.CURVE, run_id, run_at)
+        run.write(tuning.importance_table(spark, study), artifacts.IMPORTANCE)
+    run.write(results.cv_table(spark, study.cv_rows), artifacts.CV)
+    run.write(results.learning_curve_table(spark, study.curve_rows), artifacts.CURVE)
     record = results.small_table(spark, [(study.test_rmse, study.test_r2)], "rmse double, r2 double")
-    store.write(results.metrics_record(record, name, study.best), name, artifacts.METRICS, run_id, run_at)
+    run.write(results.metrics_record(record, name, study.best), artifacts.METRICS)
     test = ready.filter(F.col("split") == "test").withColumn("label", F.col(label).cast("double"))
-    sample = prediction_sample(model, test, keys, sample_fraction, sample_cap)
-    store.write(sample.withColumn("model", F.lit(name)), name, artifacts.PLOT, run_id, run_at)
-    tables.save_model(model, store.path(name, artifacts.MODEL))
+    with scratch_scope(spark):
+        sample = prediction_sample(model, test, keys, sample_fraction, sample_cap)
+        run.write(sample.withColumn("model", F.lit(name)), artifacts.PLOT)
+    run.save_model(model)
+    run.publish()
     return study

@@ -5,9 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# Paths of the scopes that are open, the innermost last.
+_SCOPES: list[list[str]] = []
+
 
 def local_session(cpus: int | str = 8, app: str = "isobar") -> SparkSession:
     return (
@@ -43,5 +48,31 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; the innermost open ``scratch_scope`` owns it."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder by the file system that it lies in, wherever that is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside are deleted at the end, also after an error.
+
+    Rows that are read from them must be written or fetched inside. Scopes nest; threads started inside
+    share the innermost one.
+    """
+    own: list[str] = []
+    _SCOPES.append(own)
+    try:
+        yield
+    finally:
+        _SCOPES[:] = [s for s in _SCOPES if s is not own]
+        for path in own:
+            delete_path(spark, path)

@@ -202,9 +202,16 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def read_csv_under(spark: SparkSession, root: str, fragment: str) -> list[DataFrame]:
-    """All CSV files below ``root`` whose path contains ``fragment``, by header, as text columns."""
-    return read_by_header(spark, root, fragment, recursiveFileLookup=True, pathGlobFilter="*.csv")
+def files_under(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """(path) of the files below ``root`` whose names match ``pattern``; they are listed, not read."""
+    listed = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=pattern).load(root)
+    return listed.select(F.col("_metadata.file_path").alias("path"))
+
+
+def read_csv_under(spark: SparkSession, root: str, fragment: str, without: str = "") -> list[DataFrame]:
+    """All CSV files below ``root`` whose path contains ``fragment`` and not ``without``, by header, as text columns."""
+    found = read_by_header(spark, root, fragment, recursiveFileLookup=True, pathGlobFilter="*.csv")
+    return [t.filter(~F.col("path").contains(without)) for t in found] if without else found
 
 
 def read_json_under(spark: SparkSession, root: str, schema: T.StructType, single: bool = False) -> DataFrame:

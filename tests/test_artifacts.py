@@ -49,7 +49,8 @@ def test_only_the_latest_run_is_read(trained, spark):
     assert cv.filter(F.col("model") == LR).count() == 2
     stale = spark.createDataFrame([(LR, 0, {"regParam": "9"}, 9.9)], S.CV_SCHEMA)
     text = stale.withColumn("params", F.to_json("params")).withColumns({"run_id": F.lit("run-0"), "run_at": F.lit("2001")})
-    text.write.mode("append").option("header", True).csv(store.path(LR, artifacts.CV))
+    # A table that belongs to no run is older than any run.
+    text.write.option("header", True).csv(f"{store.root}/{LR}/{artifacts.CV}")
     assert store.read(artifacts.CV).filter(F.col("avg_rmse") > 9).count() == 0
 
 
@@ -169,21 +170,61 @@ def test_foreign_folders_give_a_full_report(foreign):
     } | {("Beta_Tuned", k) for k in (artifacts.CV, artifacts.CURVE, artifacts.COEFFICIENTS, artifacts.PLOT, artifacts.METRICS)}
 
 
-def test_runs_are_ordered_by_time_and_never_mixed(spark):
-    store = ArtifactStore(spark, scratch_path(spark, "runs"))
+def metrics_and_grid(spark, run, rmse):
+    record = spark.createDataFrame([("m", rmse, 0.5, "{}")], S.METRICS_SCHEMA)
+    return {artifacts.METRICS: record, artifacts.CV: spark.createDataFrame([("m", 0, {"p": run}, rmse)], S.CV_SCHEMA)}
+
 
-    def put(run, at, rmse, kinds):
-        record = spark.createDataFrame([("m", rmse, 0.5, "{}")], S.METRICS_SCHEMA)
-        cv = spark.createDataFrame([("m", 0, {"p": run}, rmse)], S.CV_SCHEMA)
-        for kind, df in ((artifacts.METRICS, record), (artifacts.CV, cv)):
-            if kind in kinds:
-                stored = ArtifactStore(spark, f"{store.root}/{run}")
-                stored.write(df, "m", kind, run, at)
+def put(store, run_id, at, rmse, kinds=(artifacts.METRICS, artifacts.CV), publish=True):
+    run = store.run("m", run_id, at)
+    for kind, df in metrics_and_grid(store.spark, run_id, rmse).items():
+        if kind in kinds:
+            run.write(df, kind)
+    if publish:
+        run.publish()
 
-    put("run-9", "2024-01-01T00:00:00.000000Z", 9.0, (artifacts.METRICS, artifacts.CV))
-    put("run-10", "2024-01-02T00:00:00.000000Z", 1.0, (artifacts.METRICS,))
+
+def test_runs_are_ordered_by_time_and_never_mixed(spark):
+    store = ArtifactStore(spark, scratch_path(spark, "runs"))
+    put(store, "run-9", "2024-01-01T00:00:00.000000Z", 9.0)
+    put(store, "run-10", "2024-01-02T00:00:00.000000Z", 1.0, (artifacts.METRICS,))
     assert [r["test_rmse"] for r in store.read(artifacts.METRICS).collect()] == [1.0]
     assert store.read(artifacts.CV).count() == 0  # the older run's settings do not stand beside it
+    assert store.published()["m"]["kinds"] == {artifacts.METRICS: 1}
+
+
+def test_a_killed_run_does_not_exist(spark, table, monkeypatch):
+    """Tables without a manifest are not read, wherever the run died; the run before stays whole."""
+    store = ArtifactStore(spark, scratch_path(spark, "killed"))
+    put(store, "run-1", "2024-01-01T00:00:00.000000Z", 2.0)
+    put(store, "run-2", "2024-01-02T00:00:00.000000Z", 1.0, publish=False)
+    assert [r["test_rmse"] for r in store.read(artifacts.METRICS).collect()] == [2.0]
+    assert [r["params"] for r in store.read(artifacts.CV).collect()] == [{"p": "run-1"}]
+
+    plain = {"regParam": [0.0], "elasticNetParam": [0.0]}
+    whole = train.train_family(table, store, "lr", features=["DEW_C"], grid=plain)
+    written = artifacts.Run.write
+
+    def dies(self, df, kind):
+        if kind == artifacts.PLOT:
+            raise RuntimeError("lost")
+        written(self, df, kind)
+
+    monkeypatch.setattr(artifacts.Run, "write", dies)
+    with pytest.raises(RuntimeError, match="lost"):
+        train.train_family(table, store, "lr", features=["HOUR"], grid=plain)
+    monkeypatch.undo()
+    got = {r["model_name"]: r["test_rmse"] for r in store.read(artifacts.METRICS).collect()}
+    assert got == {"m": 2.0, LR: pytest.approx(whole.test_rmse)}
+    assert {r["feature"] for r in store.read(artifacts.COEFFICIENTS).collect()} == {"DEW_C"}
+
+
+def test_catalogue_reads_each_kind_once(trained):
+    """One scan per kind, and none of tables that belong to no run where there are none."""
+    store = ArtifactStore(trained[0].spark, scratch_path(trained[0].spark, "once"))
+    put(store, "run-1", None, 1.0)
+    plan = store.catalogue()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation ") == 2 and {r["kind"] for r in store.catalogue().collect()} == {artifacts.METRICS, artifacts.CV}
 
 
 def test_two_records_in_a_metrics_file_are_an_error(spark):
