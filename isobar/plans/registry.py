@@ -331,7 +331,7 @@ def cv_ols(spark, d):
 def gram_by_fold(spark, d):
     columns = ["DEW_C", "WIND_SPEED", "TMP_C"]
     gram = moments.moments_by(
-        split.kfold_assign(model(spark, d), S.MODEL_KEY), columns, ["fold"], S.TYPICAL
+        split.kfold_assign(model(spark, d), S.MODEL_KEY), columns, ["fold"], {"WIND_SPEED": 10.0}
     )
     sums = [c for c in gram.columns if c[:2] in ("s_", "p_")]
     return rounded(gram, *sums).select("fold", "n", *sums)

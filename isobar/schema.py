@@ -25,8 +25,6 @@ MODEL_COLUMNS = MODEL_KEY + FEATURES_ALL + [LABEL]
 # RH_PCT is computed from the label, so a fair model leaves it out.
 FEATURES_NO_LEAK = [c for c in FEATURES_ALL if c != "RH_PCT"]
 
-MEASUREMENTS = ["TMP_C", "WIND_SPEED", "DEW_C", "SLP_HPA", "PRECIP_MM", "RH_PCT"]
-
 # Closed physical ranges an observation must satisfy.
 VALID_RANGES = {
     "TMP_C": (-90.0, 65.0),
@@ -37,20 +35,14 @@ VALID_RANGES = {
     "RH_PCT": (0.0, 100.0),
 }
 
-# Typical magnitudes, subtracted before products are summed so that one-pass
-# second moments keep their digits. Any constants give the same fit.
-TYPICAL = {
-    "HOUR": 12.0, "MONTH": 6.0, "DAY_OF_YEAR": 180.0, "WIND_DIR": 180.0,
-    "WIND_SPEED": 10.0, "SLP_HPA": 1000.0, "RH_PCT": 50.0, "VIS_M": 10000.0,
-}
+# The measurements that have a valid range.
+MEASUREMENTS = list(VALID_RANGES)
 
 
 def all_string(columns) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-RAW_SCHEMA = all_string(RAW_COLUMNS)
-
 CV_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()),
     T.StructField("grid_idx", T.IntegerType()),
