@@ -50,7 +50,7 @@ def differences(df, con, sql: str):
 
 def main() -> None:
     from __spark_entry__ import oracle_sql, queries
-    from isobar.session import local_session
+    from isobar.session import local_session, scratch_scope
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(queries())
@@ -61,11 +61,12 @@ def main() -> None:
     for name in names:
         t = time.time()
         try:
-            df = queries()[name](spark, sf_dir)
-            if name not in oracle_sql():
-                print(f"\n{name}: rows only, {len(df.collect())} rows, {time.time() - t:.1f}s", flush=True)
-                continue
-            result = differences(df, con, oracle_sql()[name])
+            with scratch_scope(spark):
+                df = queries()[name](spark, sf_dir)
+                if name not in oracle_sql():
+                    print(f"\n{name}: rows only, {len(df.collect())} rows, {time.time() - t:.1f}s", flush=True)
+                    continue
+                result = differences(df, con, oracle_sql()[name])
         except Exception as exc:  # noqa: BLE001
             result = f"{type(exc).__name__}: {str(exc)[:600]}"
         if isinstance(result, str) or result[2] or result[3]:
