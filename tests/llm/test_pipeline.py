@@ -117,3 +117,23 @@ def test_every_query_gives_its_contract_columns(spark):
         if name not in ("op3_grouping_packing", "op6_exact_topk"):
             assert df.count() == n, name
     assert np.all([r.accepted in (True, False) for r in QUERIES["op1_quality_ordinal"](spark, SMALL).collect()])
+
+
+def test_language_stage_rejects_other_languages_and_keeps_learned_ones(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    other = {
+        -1: "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        -2: "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+        -3: "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler.",
+        -4: "Все люди рождаются свободными и равными в своем достоинстве и правах.", -5: "12345 67890 !!!", -6: None,
+    }
+    learned = {
+        -11: "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience.",
+        -12: "Alle Menschen sind frei und gleich an Würde und Rechten geboren. Sie sind mit Vernunft und Gewissen begabt.",
+    }
+    rows = [(i, t, None, "s", len(t or "")) for i, t in {**other, **learned}.items()]
+    every = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = {r.doc_id for r in corpus_pipeline.languages(spark, every, SMALL).collect()}
+    assert not kept & set(other) and set(learned) <= kept
+    named = {r.doc_id for r in docs.filter("lang IS NOT NULL AND length(text) > 40").collect()}
+    assert named <= kept
