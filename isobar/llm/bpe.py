@@ -8,9 +8,10 @@ nothing fits it marks the place as no boundary and steps back. A place is marked
 so the work grows with the length of the text, whatever the text. Pairs are judged by undoing the
 merges on both sides of the border, latest first, and remembered.
 
-White space never enters a token here, so distinct words between ASCII white space are encoded once
-per task and joined by position. Decoding goes through an offset table: the signs of all tokens in
-one pool and where each begins; a row of ids is a gather from the pool.
+White space never enters a token here, so the distinct words of a slice, between ASCII white space, are cut
+into the library's pieces once, all new pieces encoded together and ids joined by position. Decoding goes
+through an offset table: the signs of all tokens in one pool and where each begins; a row of ids is a
+gather from the pool.
 
 A null or empty text has no tokens; no ids decode to an empty text. Ids outside the vocabulary and
 null ids are left out when decoding, as the library does. Rows with equal ids or texts stay separate rows.
@@ -23,22 +24,28 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 
 from isobar.llm.batches import distinct, gather, map_slices, offsets_of, words
 from isobar.llm.packing import byte_signs
 
-MEMO = 400_000  # words a task remembers
-LONG = 64  # signs from which a word is not remembered
-STEP = 1 << 18  # ids that are gathered at once
+MEMO = 600_000  # parts a task remembers
+SLICE = 2_000_000  # bytes of text that are encoded at once
+LONG = 64  # signs from which a part is not remembered
+STEP = 1 << 18
 # Signs at the end of a word are symbols of their own, written in a private area.
 FINAL = 0xE000
-# The library's split for lower-cased ASCII. Fixed value: its alternatives and their order.
+BORDER = "\0"  # no symbol: a zero byte is written by another sign
+COMPOSED = "\u0300"
+# The library's split for lower-cased ASCII and Latin text. Its alternatives and their order.
+LATIN_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
 
 
@@ -69,6 +76,7 @@ class Merges:
             if halves:
                 self.symbols[token] = self.symbols[halves[0]] + self.symbols[halves[1]]
         self.sizes = [len(s) for s in self.symbols]
+        self.size_array = np.array(self.sizes, np.int64)
         self.pairs: dict[tuple[int, int], bool] = {}
         # A token counts only if merging its own signs gives it back.
         sound: list[bool] = []
@@ -116,30 +124,94 @@ class Merges:
             known = self.prefixes[token] = next((t for t in found if t >= 0), -1)
         return known
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of one run of symbols that merges may join."""
-        sizes = self.sizes
-        longest = [-1] * len(text)
+    def longest_from(self, text: str) -> list[int]:
+        """The longest token that begins at each place."""
+        sizes, out = self.sizes, [-1] * len(text)
         for end, token in self.automaton.iter(text):  # ends ascend, so the longest comes last
-            longest[end + 1 - sizes[token]] = token
-        out: list[int] = []
+            out[end + 1 - sizes[token]] = token
+        return out
+
+    def encode(self, text: str, begun: list[int] | None = None) -> list[int]:
+        """Ids of one run of symbols that merges may join, stepping back where pairs do not fit.
+
+        ``begun`` are longest matches from the start, the last of which may not fit behind the others, which do.
+        """
+        sizes, pairs, prefixes, n = self.sizes, self.pairs, self.prefixes, len(text)
+        longest: list[int] | None = None
+        out = list(begun or [])
         closed: set[int] = set()  # places that are no border of the result
-        at, token = 0, longest[0] if text else -1
-        while at < len(text):
+        at = 0
+        if out:
+            token = out.pop()
+            at = sum([sizes[t] for t in out])
+        else:
+            longest = self.longest_from(text)
+            token = longest[0] if text else -1
+        while at < n:
             if token < 0:
                 if not out:
                     raise ValueError(f"no tokens for {text[:40]!r}")
                 closed.add(at)
                 token = out.pop()
                 at -= sizes[token]
-            elif at + sizes[token] not in closed and (not out or self.compatible(out[-1], token)):
-                out.append(token)
-                at += sizes[token]
-                token = longest[at] if at < len(text) else -1
-                continue
-            token = self.shorter(token)
+            elif at + sizes[token] not in closed:
+                fits = True
+                if out:
+                    pair = out[-1], token
+                    fits = pairs.get(pair)
+                    if fits is None:
+                        fits = pairs[pair] = not self.crossed(*pair)
+                if fits:
+                    out.append(token)
+                    at += sizes[token]
+                    if at < n:
+                        if longest is None:
+                            longest = self.longest_from(text)
+                        token = longest[at]
+                    continue
+            known = prefixes.get(token)
+            token = self.shorter(token) if known is None else known
         return out
 
+    def encode_all(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many runs in a row, and where each begins.
+
+        One pass of the automaton cuts all runs into longest matches. Where a run is covered and all its pairs
+        fit, that is the result; the others go through ``encode``.
+        """
+        lengths = np.fromiter(map(len, runs), np.int64, len(runs))
+        borders = offsets_of(lengths + 1)[:-1]
+        found = np.fromiter(chain.from_iterable(self.automaton.iter_long(BORDER.join(runs))), np.int64).reshape(-1, 2)
+        ends, tokens = found[:, 0] + 1, found[:, 1]
+        starts = ends - self.size_array[tokens]
+        own = np.searchsorted(borders, starts, side="right") - 1
+        first = np.append(True, own[1:] != own[:-1])[: len(own)]
+        fits = np.where(first, starts == borders[own], starts == np.append(0, ends[:-1])[: len(ends)])
+        left, right = tokens[:-1][~first[1:]], tokens[1:][~first[1:]]
+        pairs, which = np.unique(left * len(self.sizes) + right, return_inverse=True)
+        good = np.array([self.compatible(*divmod(p, len(self.sizes))) for p in pairs.tolist()], bool)
+        inner = np.flatnonzero(~first)
+        fits[inner] &= good[which] if len(pairs) else True
+        counts = np.bincount(own, minlength=len(runs))
+        whole = np.bincount(own, self.size_array[tokens], len(runs)).astype(np.int64) == lengths
+        whole &= np.bincount(own, ~fits, len(runs)) == 0
+        again = np.flatnonzero(~whole)
+        if not len(again):
+            return tokens, offsets_of(counts)
+        begin = offsets_of(counts)
+        # Up to its first pair that does not fit a run's matches stand.
+        wrong = np.flatnonzero(~fits)
+        _, at = np.unique(own[wrong], return_index=True)
+        stops = dict(zip(own[wrong[at]].tolist(), (wrong[at] + 1).tolist()))
+        all_tokens, begins = tokens.tolist(), begin.tolist()
+        mended = [self.encode(runs[i], all_tokens[begins[i]:stops[i]] if i in stops else None) for i in again.tolist()]
+        sizes = counts.copy()
+        sizes[again] = np.fromiter(map(len, mended), np.int64, len(mended))
+        out, out_begin = np.empty(int(sizes.sum()), np.int64), offsets_of(sizes)
+        out[np.repeat(whole, sizes)] = tokens[np.repeat(whole, counts)]
+        out[np.repeat(~whole, sizes)] = np.fromiter(chain.from_iterable(mended), np.int64)
+        return out, out_begin
+
 
 class Encoder:
     """Ids of words and whole texts as the library's tokenizer file defines them."""
@@ -163,61 +235,65 @@ class Encoder:
         # Longer ones first: the library takes the longest that stands at a place.
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")
         self.signs = byte_signs()
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, list[int]] = {}
-
-    def part(self, part: str) -> list[int]:
-        """Ids of one piece between the library's splits, in byte signs."""
-        ids = self.parts.get(part)
-        if ids is None:
-            run = part[:-1] + chr(FINAL + ord(part[-1])) if self.suffix else part
-            ids = self.merges.encode(run)
-            if len(part) < LONG:
-                self.parts[part] = ids
-        return ids
-
-    def plain(self, text: str) -> list[int]:
-        """Ids of text without special tokens."""
+        # Parts and their ids; a special token is a part of its own.
+        self.fixed = {t: np.array([i], np.int32).tobytes() for t, i in special.items()}
+        self.parts = dict(self.fixed)
+
+    def plain(self, text: str) -> list[str]:
+        """The library's pieces of a text without special tokens, in byte signs."""
         if text.isascii():
             pieces = ASCII_PARTS.findall(text.lower())
-            if not text.isprintable():
-                pieces = [p.translate(self.signs) for p in pieces]
-        else:
-            pieces = [p for p, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))]
-        return [i for p in pieces for i in self.part(p)]
-
-    def word(self, word: str) -> bytes:
-        if self.special and "<" in word and self.special_split.search(word):
-            parts = self.special_split.split(word)
-            ids = [i for p in parts if p for i in ([self.special[p]] if p in self.special else self.plain(p))]
-        else:
-            ids = self.plain(word)
-        return np.array(ids, "<i4").tobytes()
+            return pieces if text.isprintable() else [p.translate(self.signs) for p in pieces]
+        if text.isprintable() and max(text) < COMPOSED:
+            low = text.lower()
+            if max(low) < COMPOSED:  # composed already, lower-cased sign by sign
+                return [p if p.isascii() else p.encode().decode("latin-1").translate(self.signs) for p in LATIN_PARTS.findall(low)]
+        return [p for p, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))]
+
+    def pieces(self, word: str) -> list[str]:
+        if "<" in word and self.special and self.special_split.search(word):
+            return [x for p in self.special_split.split(word) if p for x in ([p] if p in self.special else self.plain(p))]
+        return self.plain(word)
+
+    def learn(self, parts: list[str]) -> None:
+        """Ids of parts that are not known yet."""
+        runs = [p[:-1] + chr(FINAL + ord(p[-1])) for p in parts] if self.suffix else parts
+        ids, begin = self.merges.encode_all(runs)
+        data, begin = ids.astype("<i4").tobytes(), (4 * begin).tolist()
+        self.parts.update({p: data[a:b] for p, a, b in zip(parts, begin, begin[1:])})
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text begins."""
-        if len(self.known) > MEMO or len(self.parts) > MEMO:
-            self.known, self.parts = {}, {}
-        if len(self.merges.pairs) > 4 * MEMO:
-            self.merges.pairs = {}
         flat, begin = words(texts)
         names, codes = distinct(flat)
-        table = []
-        for name in names:
-            ids = self.known.get(name)
-            if ids is None:
-                ids = self.word(name)
-                if len(name) < LONG:
-                    self.known[name] = ids
-            table.append(ids)
+        if not names:
+            return np.empty(0, np.int32), begin
+        cut = [self.pieces(name) for name in names]
+        numbers: dict[str, int] = {}
+        places = np.array([numbers.setdefault(p, len(numbers)) for c in cut for p in c], np.int64)
+        if len(self.parts) > MEMO:
+            self.parts = dict(self.fixed)
+        if len(self.merges.pairs) > MEMO:
+            self.merges.pairs = {}
+        new = [p for p in numbers if p not in self.parts]
+        if new:
+            self.learn(new)
+        table = [self.parts[p] for p in numbers]
+        for p in new:
+            if len(p) >= LONG:
+                del self.parts[p]
         sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
         pool = np.frombuffer(b"".join(table), "<i4")
-        places, each = gather(offsets_of(sizes)[:-1], sizes, codes)
-        return pool[places], offsets_of(each)[begin]
+        # From parts to words, from words to texts.
+        inside, each = gather(offsets_of(sizes)[:-1], sizes, places)
+        word_ends = offsets_of(each)[offsets_of(np.fromiter(map(len, cut), np.int64, len(cut)))]
+        pool, word_sizes = pool[inside], np.diff(word_ends)
+        inside, each = gather(word_ends[:-1], word_sizes, codes)
+        return pool[inside], offsets_of(each)[begin]
 
 
 class OffsetTable:
-    """The tokens' texts, each with a blank behind it, in one pool; ``begin`` says where each starts."""
+    """The tokens' texts in one pool with the offsets where each begins and ends, an Arrow array."""
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
@@ -226,22 +302,17 @@ class OffsetTable:
         if library.decoder is not None:
             raise ValueError("only tokens joined by blanks are decoded this way")
         named = {i: t for t, i in library.get_vocab(with_added_tokens=True).items()}
-        entries = [(named[i] + " ").encode() if i in named else b"" for i in range(max(named) + 1)]
-        self.sizes = np.fromiter(map(len, entries), np.int64, len(entries))
-        self.begin = offsets_of(self.sizes)[:-1]
-        self.pool = np.frombuffer(b"".join(entries), np.uint8)
+        self.known = np.array([i in named for i in range(max(named) + 1)])
+        self.texts = pa.array([named.get(i, "") for i in range(len(self.known))], pa.string())
 
-    def decode(self, ids: np.ndarray, begin: np.ndarray) -> list[bytes]:
+    def decode(self, ids: np.ndarray, begin: np.ndarray) -> pa.Array:
         """The text of each row of ids."""
-        inside = (ids >= 0) & (ids < len(self.sizes))
-        safe = np.where(inside, ids, 0)
-        sizes = np.where(inside, self.sizes[safe], 0)
-        parts = []
-        for at in range(0, len(safe), STEP):
-            places, _ = gather(self.begin, self.sizes, safe[at:at + STEP][inside[at:at + STEP]])
-            parts.append(self.pool[places].tobytes())
-        text, ends = b"".join(parts), offsets_of(sizes)[begin]
-        return [text[a:b - 1] if b > a else b"" for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        inside = (ids >= 0) & (ids < len(self.known))
+        inside &= self.known[np.where(inside, ids, 0)]
+        if not inside.all():
+            begin, ids = offsets_of(inside)[begin], ids[inside]
+        picked = self.texts.take(pa.array(ids, pa.int32()))
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(begin, pa.int32()), picked), " ")
 
 
 # A worker of Spark's serves many tasks; the tables are the same for all.
@@ -255,16 +326,28 @@ def offset_table(tokenizer_file: str) -> OffsetTable:
     return OffsetTable(tokenizer_file)
 
 
-def encode(docs: DataFrame, tokenizer_file: str, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """(id, ids array<int>) per row: the exact ids of the whole text, special tokens only where it spells them."""
+def id_lists(ids: np.ndarray, begin: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(ids, pa.int32()))
+
+
+def encode(
+    docs: DataFrame, tokenizer_file: str, text: str = "text", id_column: str = "doc_id", decoded: bool = False
+) -> DataFrame:
+    """(id, ids array<int>) per row: the exact ids of the whole text, special tokens only where it spells them.
+
+    With ``decoded`` also what the ids decode to, from the same task: one worker instead of two.
+    """
+    names = [id_column, "ids", *["decoded"] * decoded]
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
         ids, begin = encoder(tokenizer_file).encode(part.column(text))
-        lists = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(ids, pa.int32()))
-        return pa.RecordBatch.from_arrays([part.column(id_column), lists], [id_column, "ids"])
+        columns = [part.column(id_column), id_lists(ids, begin)]
+        if decoded:
+            columns.append(offset_table(tokenizer_file).decode(ids, begin))
+        return pa.RecordBatch.from_arrays(columns, names)
 
-    schema = f"`{id_column}` {dict(docs.dtypes)[id_column]}, ids array<int>"
-    return map_slices(docs.select(id_column, text), text, run, schema)
+    schema = f"`{id_column}` {dict(docs.dtypes)[id_column]}, ids array<int>" + ", decoded string" * decoded
+    return map_slices(docs.select(id_column, text), text, run, schema, size=SLICE)
 
 
 def decode(rows: DataFrame, tokenizer_file: str, ids: str = "ids", id_column: str = "doc_id") -> DataFrame:
@@ -282,8 +365,7 @@ def decode(rows: DataFrame, tokenizer_file: str, ids: str = "ids", id_column: st
                 part = batch.slice(start, stop - start)
                 flat = pc.fill_null(part.column(ids).flatten(), -1).to_numpy(zero_copy_only=False)
                 texts = table.decode(flat, offsets_of(sizes[start:stop]))
-                columns = [part.column(id_column), part.column(ids), pa.array(texts, pa.binary()).cast(pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, [id_column, ids, "decoded"])
+                yield pa.RecordBatch.from_arrays([part.column(id_column), part.column(ids), texts], [id_column, ids, "decoded"])
                 start = stop
 
     kinds = dict(rows.dtypes)
