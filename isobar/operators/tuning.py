@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -15,16 +17,20 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from isobar import schema as S
 from isobar.operators import features as feat
 from isobar.operators import forest, split
 from isobar.operators.metrics import r2_of, rmse_of
 from isobar.operators.results import small_table
+from isobar.session import delete_path, scratch_path
 
 SEED = 42
+# Every level of every tree is a job with a task per partition: smaller partitions cost more to start than to read.
+ROWS_PER_TASK = 1 << 16
 FAMILIES = {
     "lr": LinearRegression,
     "dt": DecisionTreeRegressor,
@@ -138,6 +144,37 @@ def group_scores(
     return scores
 
 
+@contextmanager
+def kept_for_fits(table: DataFrame, least: int = 1, rows_per_task: int = ROWS_PER_TASK) -> Iterator[DataFrame]:
+    """``table`` written once, read back and persisted, in no more partitions than its rows need.
+
+    A fit is hundreds of short jobs. Their tasks carry the plan behind the persisted rows, which ends at a scan here
+    instead of holding the whole cleaning job, and there are as many as there are rows for, not as
+    many as the shuffle that made the table had. Neighbouring partitions are put together and rows keep
+    their order, so the same table is laid out alike each time; ``least`` partitions or fewer stay as they are.
+    """
+    spark, seen, at = table.sparkSession, Observation(), split.unused(table, "_at")
+    path = scratch_path(spark, "fits")
+    kept, source = None, table.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        partition = F.shiftright(at, 33)
+        source.withColumn(at, F.monotonically_increasing_id()).observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.max(partition).alias("last")
+        ).write.parquet(path)
+        source.unpersist()
+        found = (seen.get["last"] or 0) + 1
+        count = min(found, max(least, math.ceil(seen.get["rows"] / rows_per_task)))
+        placed = F.floor(partition * count / found).cast("int")
+        back = spark.read.schema(T.StructType([*table.schema, T.StructField(at, T.LongType())])).parquet(path)
+        kept = back.repartitionById(count, placed).sortWithinPartitions(at).drop(at).persist(StorageLevel.MEMORY_AND_DISK)
+        yield kept
+    finally:
+        source.unpersist()
+        if kept is not None:
+            kept.unpersist()
+        delete_path(spark, path)
+
+
 def tune_by_fits(
     df: DataFrame, keys: Sequence[str], family: str, features: Sequence[str],
     label: str = S.LABEL, grid: Mapping[str, list] | None = None, folds: int = 3,
@@ -149,7 +186,7 @@ def tune_by_fits(
     Takes any family; linear models are better served by ``linear.tune_linear``. ``hf`` is the forest
     of ``forest.fit_forest``: the same model on any partitioning, its scores by prefix. Trees do not
     change when features are scaled, so ``scale`` is off unless a saved pipeline has to contain
-    the scaler. Folds and curve samples are hash filters on the one persisted table; nothing is
+    the scaler. Folds and curve samples are hash filters on the one table kept for the fits; nothing is
     reshuffled or copied per fold. All pairs of a fold and a setting go through one pool of
     ``parallelism`` fits, the refit and the points of the curve through the same afterwards; each
     running fit keeps a binned copy of its rows inside MLlib. ``options`` go to every estimator,
@@ -162,11 +199,10 @@ def tune_by_fits(
     table = df.na.drop(subset=[*features, label]).select(
         "split", split.fold_number(keys, folds).alias("fold"),
         F.coalesce(split.fraction_index(keys, fractions), F.lit(len(fractions))).alias("part"),
-        *features, F.col(label).cast("double").alias("label"), *[F.col(k).alias(n) for n, k in zip(named, keys)],
+        *features, F.col(label).cast("double").alias("label"), *[F.col(k).cast("string").alias(n) for n, k in zip(named, keys)],
     )
     stages = feat.feature_stages(features, scale)
-    table = table.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with kept_for_fits(table) as table:
         with ThreadPool(parallelism) as pool:
             def at_once(fn, tasks: list) -> list:
                 return pool.map(inheritable_thread_target(df.sparkSession)(fn), tasks, chunksize=1)
@@ -209,8 +245,6 @@ def tune_by_fits(
 
             points = [None, *[i for i, f in enumerate(fractions) if f < 1.0]]
             done = dict(zip(points, at_once(point, points)))
-    finally:
-        table.unpersist()
     if done[None] is None:
         raise ValueError("no training rows")
     model, scores = done[None]

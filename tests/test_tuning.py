@@ -103,3 +103,46 @@ def test_family_options_reach_the_study(table, spark):
 
 def test_earliest_of_equal_scores_wins():
     assert tuning.best_setting([{"a": 1}, {"a": 2}, {"a": 3}], [2.0, 1.0, 1.0]) == {"a": 2}
+
+
+def laid_out(df):
+    """Rows by partition, in their order."""
+    return [[tuple(r) for r in part] for part in df.rdd.glom().collect()]
+
+
+def test_fits_get_as_many_partitions_as_their_rows_need(table, monkeypatch):
+    seen, scores = [], tuning.group_scores
+
+    def watched(family, settings, members, train, held, options=None):
+        seen.append(train.rdd.getNumPartitions())
+        return scores(family, settings, members, train, held, options)
+
+    monkeypatch.setattr(tuning, "group_scores", watched)
+    grid, spread = {"maxDepth": [1, 2], "maxIter": [1]}, table.repartition(40)
+    study = tuning.tune_by_fits(spread, S.MODEL_KEY, "gbt", FEATURES, grid=grid, fractions=[0.5, 1.0])
+    assert seen and set(seen) == {1}
+    again = tuning.tune_by_fits(table, S.MODEL_KEY, "gbt", FEATURES, grid=grid, fractions=[0.5, 1.0])
+    assert [r[3] for r in study.cv_rows] == pytest.approx([r[3] for r in again.cv_rows], rel=1e-9)
+    assert study.curve_rows[0][2] == again.curve_rows[0][2] and study.test_rmse == pytest.approx(again.test_rmse, rel=1e-9)
+
+
+def test_kept_rows_stay_whole_and_in_order(spark):
+    rows = [(i, None if i % 7 == 0 else float(i % 5), "a" if i % 3 else None) for i in range(500)]
+    df = spark.createDataFrame(rows + rows[:50], "_at int, x double, s string").repartition(6).persist()
+    before = laid_out(df)
+    with tuning.kept_for_fits(df, least=8) as kept:
+        assert laid_out(kept) == before and kept.columns == df.columns
+    with tuning.kept_for_fits(df, least=1, rows_per_task=300) as kept:
+        assert laid_out(kept) == [sum(before[:3], []), sum(before[3:], [])]
+    df.unpersist()
+
+
+def test_kept_rows_leave_no_files_and_may_be_none(spark, monkeypatch):
+    paths, make = [], tuning.scratch_path
+    monkeypatch.setattr(tuning, "scratch_path", lambda s, label: paths.append(make(s, label)) or paths[-1])
+    with tuning.kept_for_fits(spark.range(0).withColumn("x", F.lit(1.0))) as kept:
+        assert kept.count() == 0
+    with pytest.raises(ValueError), tuning.kept_for_fits(spark.range(9)):
+        raise ValueError
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    assert len(paths) == 2 and not any(path(p).getFileSystem(spark._jsc.hadoopConfiguration()).exists(path(p)) for p in paths)
