@@ -92,6 +92,14 @@ def test_tuning_scores_prefixes_like_separate_fits(rows):
     assert sum(r[2] for r in weights) == pytest.approx(1.0) and {r[1] for r in weights} == set(FEATURES)
 
 
+def test_tuning_fits_trees_on_as_many_partitions_as_the_rows_need(rows, monkeypatch):
+    seen, fit = [], tuning.hashed_fit
+    monkeypatch.setattr(tuning, "hashed_fit", lambda train, *rest: seen.append(train.rdd.getNumPartitions()) or fit(train, *rest))
+    tuning.tune_by_fits(
+        rows.repartition(40), S.MODEL_KEY, "hf", FEATURES, grid={"maxDepth": [1], "numTrees": [1, 2]}, fractions=[0.5, 1.0])
+    assert len(seen) == 5 and set(seen) == {1}
+
+
 def test_stored_and_reported_like_any_family(spark, table):
     store = ArtifactStore(spark, scratch_path(spark, "hashed"))
     study = train.train_family(table, store, "hf", features=FEATURES, grid={"maxDepth": [2], "numTrees": [3]}, sample_fraction=0.2)
