@@ -41,10 +41,24 @@ def poisson_steps(mean: float = 1.0) -> list[int]:
 
 def bootstrap_weight(keys: Sequence[str], tree: int, salt: str = "forest") -> Column:
     """How often tree number ``tree`` draws the row."""
-    drawn = row_hash(keys, f"{salt}-{tree}")
+    return draws_of(row_hash(keys, f"{salt}-{tree}"))
+
+
+def draws_of(drawn: Column) -> Column:
     return sum((F.when(drawn >= step, 1.0).otherwise(0.0) for step in poisson_steps()), F.lit(0.0))
 
 
+def bootstrap_rows(df: DataFrame, keys: Sequence[str], tree: int, salt: str = "forest") -> DataFrame:
+    """The rows that tree number ``tree`` draws, how often as ``_draws``.
+
+    The hash comes out of a one-element inline(): through a projection Catalyst would copy it into the
+    filter, once per step, and every pass over the rows would hash each of them a dozen times.
+    """
+    drawn = F.inline(F.array(F.struct(row_hash(keys, f"{salt}-{tree}").alias("_drawn"))))
+    hashed = df.select("*", drawn).filter(F.col("_drawn") >= poisson_steps()[0])
+    return hashed.withColumn("_draws", draws_of(F.col("_drawn"))).drop("_drawn")
+
+
 def feature_subset(features: Sequence[str], tree: int, salt: str = "forest", share: float = 1 / 3) -> list[str]:
     """The features of a tree, in their given order."""
     count = max(1, math.ceil(len(features) * share - 1e-9))
@@ -91,7 +105,7 @@ def fit_forest(
     subsets = [feature_subset(features, t, salt) for t in range(trees)]
 
     def grow(t: int):
-        rows = df.withColumn("_draws", bootstrap_weight(keys, t, salt)).filter(F.col("_draws") > 0)
+        rows = bootstrap_rows(df, keys, t, salt)
         vectors = feat.assembler(subsets[t], f"_features_{t}").transform(rows).select(f"_features_{t}", label, "_draws")
         learner = DecisionTreeRegressor(
             featuresCol=f"_features_{t}", labelCol=label, weightCol="_draws", predictionCol=f"_prediction_{t}",

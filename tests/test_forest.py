@@ -44,6 +44,16 @@ def test_draws_are_poisson(rows):
     assert abs(np.corrcoef(values.T)[0, 1]) < 5 / np.sqrt(n)
 
 
+def test_drawn_rows_are_hashed_once(rows, capsys):
+    some = rows.select(*S.MODEL_KEY, "label")
+    got = forest.bootstrap_rows(some, S.MODEL_KEY, 2)
+    want = some.withColumn("_draws", forest.bootstrap_weight(S.MODEL_KEY, 2)).filter("_draws > 0")
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    capsys.readouterr()
+    got.explain("simple")
+    assert capsys.readouterr().out.count("md5(") == 1
+
+
 def test_subsets_are_a_third_and_differ():
     subsets = [tuple(forest.feature_subset(S.FEATURES_ALL, t)) for t in range(20)]
     assert {len(s) for s in subsets} == {5} and len(set(subsets)) > 15
